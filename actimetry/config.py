@@ -24,6 +24,7 @@ DEFAULT_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.log.structuredLogging.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

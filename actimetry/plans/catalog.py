@@ -18,11 +18,11 @@ from actimetry.config import scratch_dir
 from actimetry.functions.jsonfmt import json_field, parse_logs, stamp_json, to_json_record
 from actimetry.functions.keys import composite_key, namespaced_key, select_columns, upper_columns
 from actimetry.functions.timefmt import (
-    as_of_date, date_hour_text, epoch_ms_from_ntz, prev_day, prev_day_str, split_date_hour,
+    as_of_date, date_hour_text, epoch_ms_from_ntz, prev_day, prev_day_str, split_date_hour, stamp_ms,
 )
 from actimetry.operators.dedup import anti_asof, anti_by_date, distinct_devices, first_per_key
 from actimetry.operators.metrics import (
-    dau_daily, dau_hours, dau_total, gmv_hours, gmv_total, hour_map, new_device_hours,
+    dau_daily, dau_hours, dau_total, first_seen, gmv_hours, gmv_total, hour_map, new_device_hours,
     new_device_total, stage_counts,
 )
 from actimetry.operators.route import route, split_valid, with_topic
@@ -65,8 +65,7 @@ def orders(spark, sf, first=None, last=None) -> DataFrame:
 
 def stamped_lines(spark, sf) -> DataFrame:
     """Raw lines stamped with their arrival ms: ``(seq, value, ts)``."""
-    ev = events(spark, sf)
-    raw = raw_lines_from_events(ev).withColumn("ts_ms", epoch_ms_from_ntz(ev["ts"]))
+    raw = raw_lines_from_events(events(spark, sf)).withColumn("ts_ms", stamp_ms("arrival"))
     return raw.select("seq", stamp_json("value", "ts_ms").alias("value"), F.col("ts_ms").alias("ts"))
 
 
@@ -94,7 +93,7 @@ def dau_table(spark: SparkSession, sf: str) -> str:
         table.process(startup_logs(spark, sf, before=SPLIT), 0)
         ev = events(spark, sf).where(F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz"))
         table.process(logs_from_events(ev, startup_only=True).select(*DAU_OUT), 1)
-        _TABLES[key] = path
+        _TABLES[key] = table.dau_path
     return _TABLES[key]
 
 
@@ -314,6 +313,19 @@ def a9_new_device_hours(spark, sf):
     return new_device_hours(dau(spark, sf, last=DATE), [prev_day_str(DATE), DATE])
 
 
+def a8_new_device_daily(spark, sf):
+    """All-days form: new devices per first day ``(log_date, new_devices)``."""
+    fs = first_seen(dau(spark, sf))
+    return fs.groupBy(F.col("first_date").alias("log_date")).agg(F.count(F.lit(1)).alias("new_devices"))
+
+
+def a9_new_device_hours_all(spark, sf):
+    """All-days form: new devices by first day and hour ``(log_date, log_hour, ct)``."""
+    fs = first_seen(dau(spark, sf))
+    return fs.groupBy(F.col("first_date").alias("log_date"), F.col("first_hour").alias("log_hour")) \
+        .agg(F.count(F.lit(1)).alias("ct"))
+
+
 def a10_distinct_devices(spark, sf):
     return distinct_devices(startup_logs(spark, sf))
 

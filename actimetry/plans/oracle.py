@@ -172,6 +172,11 @@ UNION ALL SELECT 'after_dedup', count(*) FROM (SELECT DISTINCT mid, log_date FRO
     "a8_new_device_total": W_FIRST + f"SELECT ({NEW_TOTAL}) AS new_devices",
     "a9_new_device_hours": W_FIRST + f"""SELECT first_date AS log_date, first_hour AS log_hour, count(*) AS ct
   FROM firsts WHERE first_date IN ('{PREV}', '{D}') GROUP BY 1, 2""",
+    "a8_new_device_daily": W_DAU + """SELECT first_date AS log_date, count(*) AS new_devices
+  FROM (SELECT mid, min(log_date) AS first_date FROM dau GROUP BY mid) t GROUP BY 1""",
+    "a9_new_device_hours_all": W_DAU + """SELECT first_date AS log_date, first_hour AS log_hour, count(*) AS ct
+  FROM (SELECT mid, min(log_date) AS first_date, arg_min(log_hour, log_date) AS first_hour
+        FROM dau GROUP BY mid) t GROUP BY 1, 2""",
     "a10_distinct_devices": W_START + "SELECT log_date, count(DISTINCT mid) AS devices FROM startup GROUP BY 1",
     # unions
     "u1_realtime_total": W_FIRST + W_ORD.replace("WITH ", ", ", 1) + f"""

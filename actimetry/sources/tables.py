@@ -81,4 +81,4 @@ def raw_lines_from_events(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("seq"),
     )
     return events.select(F.col("event_id").alias("seq"), F.to_json(rec).alias("value"),
-                         F.col("ts").cast("timestamp").alias("arrival"))
+                         F.timestamp_millis(epoch_ms_from_ntz("ts")).alias("arrival"))
