@@ -74,7 +74,7 @@ def first_seen(dau: DataFrame, upto: str | None = None) -> DataFrame:
     first = dau.groupBy("mid").agg(F.min(packed).alias("_first"))
     return first.select(
         "mid",
-        F.date_format(F.date_from_unix_date(F.floor(F.col("_first") / 24).cast("int")), "yyyy-MM-dd").alias("first_date"),
+        F.date_from_unix_date(F.floor(F.col("_first") / 24).cast("int")).cast("string").alias("first_date"),
         F.lpad(F.pmod(F.col("_first"), F.lit(24)).cast("string"), 2, "0").alias("first_hour"),
     )
 
