@@ -364,6 +364,11 @@ def r2_stream_dropdup(spark, sf):
     return stream_dropdup_keys(spark, sf)
 
 
+def r2_stream_from_json(spark, sf):
+    from actimetry.plans.stream_checks import stream_from_json
+    return stream_from_json(spark, sf)
+
+
 def r7_stream_hours(spark, sf):
     from actimetry.plans.stream_checks import stream_run
     return stream_run(spark, sf).hours()

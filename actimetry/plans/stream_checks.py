@@ -10,10 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from actimetry.config import scratch_dir
 from actimetry.functions.timefmt import epoch_ms_from_ntz
-from actimetry.sources.tables import logs_from_events, read_table
+from actimetry.schemas import STARTUP_RAW, TOPIC_START
+from actimetry.sources.tables import logs_from_events, raw_lines_from_events, read_table
+from actimetry.streaming.collector import (
+    Collector, JsonDauConsumer, start_collector_stream, start_json_dau_stream,
+)
 from actimetry.streaming.dau_stream import (
     DauTable, replay_in_slices, start_dau_stream, start_dropdup_stream,
 )
@@ -79,3 +84,28 @@ def stream_logs_to_table(spark: SparkSession, sf: str) -> DataFrame:
          .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
     _once(q)
     return spark.read.schema(logs.schema).parquet(f"{root}/out")
+
+
+def stream_from_json(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole log path on ``events``: raw JSON lines with their arrival time (as a
+    broker delivers them) → collector stream (stamp, archive, route) → START topic
+    folder → JSON consumer stream (parse, quarantine, cross-batch dedup) → DAU table."""
+    root = scratch_dir(spark, "json-stream")
+    raw = raw_lines_from_events(read_table(spark, sf, "events")).select("value", "arrival")
+    staging, routed, archive = f"{root}/incoming", f"{root}/routed", f"{root}/archive"
+    collector = Collector(archive, routed)
+    parsed_schema = StructType([f for f in STARTUP_RAW.fields])
+    record = StructType(list(parsed_schema.fields) + [
+        StructField("log_date", StringType()), StructField("log_hour", StringType())])
+    table = DauTable(spark, f"{root}/table", record)
+    consumer = JsonDauConsumer(table, f"{root}/quarantine")
+    start_topic = f"{routed}/topic={TOPIC_START}/batch_id=*"
+
+    def run_once():
+        lines = spark.readStream.schema(raw.schema).parquet(staging)
+        _once(start_collector_stream(lines, collector, f"{root}/ckpt-collector", {"availableNow": True}))
+        topic = spark.readStream.schema("value string").parquet(start_topic)
+        _once(start_json_dau_stream(topic, consumer, f"{root}/ckpt-consumer", trigger={"availableNow": True}))
+
+    replay_in_slices(raw, staging, N_SLICES, lambda: F.unix_millis("arrival"), run_once)
+    return table.dau().select("mid", "uid", "type", "ts", "log_date", "log_hour")

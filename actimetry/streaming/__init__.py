@@ -1,7 +1,14 @@
-"""Structured Streaming jobs: first log per device per day, kept across micro-batches."""
+"""Structured Streaming jobs: the collector (stamp, archive, route) and the cross-batch
+first-log-per-device-per-day consumer."""
 
 from actimetry.streaming.dau_stream import (
-    DauTable, start_dau_stream, start_dropdup_stream, replay_in_slices,
+    DauTable, start_dau_stream, start_dropdup_stream, replay_in_slices, start_console_preview,
+)
+from actimetry.streaming.collector import (
+    Collector, JsonDauConsumer, parse_startup, stamp_lines, start_collector_stream,
+    start_json_dau_stream,
 )
 
-__all__ = ["DauTable", "start_dau_stream", "start_dropdup_stream", "replay_in_slices"]
+__all__ = ["DauTable", "start_dau_stream", "start_dropdup_stream", "replay_in_slices",
+           "start_console_preview", "Collector", "JsonDauConsumer", "parse_startup",
+           "stamp_lines", "start_collector_stream", "start_json_dau_stream"]

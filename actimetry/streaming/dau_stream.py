@@ -124,6 +124,13 @@ def start_dropdup_stream(logs: DataFrame, out_path: str, checkpoint: str,
             .option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger).start())
 
 
+def start_console_preview(stream: DataFrame, n: int = 10, trigger: dict | None = None):
+    """Print the first ``n`` rows of each micro-batch on the driver console (a preview)."""
+    trigger = trigger or {"processingTime": "5 seconds"}
+    return (stream.writeStream.format("console").option("numRows", n).option("truncate", False)
+            .trigger(**trigger).start())
+
+
 def replay_in_slices(table: DataFrame, staging: str, n_slices: int, ts_ms: Callable,
                      run_once: Callable[[], None]) -> None:
     """Feed ``table`` to a file-source stream in ``n_slices`` arrival-ordered slices:
