@@ -326,6 +326,37 @@ def a9_new_device_hours_all(spark, sf):
         .agg(F.count(F.lit(1)).alias("ct"))
 
 
+def a9_first_seen_table(spark, sf):
+    """New devices by first day and hour from the incremental first-seen table:
+    seeded from history up to the day before ``DATE``, then advanced by ``DATE``."""
+    from actimetry.streaming.first_seen import FirstSeenTable
+    table = FirstSeenTable(spark, scratch_dir(spark, "first-seen"))
+    table.build(dau(spark, sf, last=prev_day_str(DATE)), upto=prev_day_str(DATE))
+    table.advance(dau(spark, sf, DATE), DATE)
+    return table.read().groupBy(F.col("first_date").alias("log_date"), F.col("first_hour").alias("log_hour")) \
+        .agg(F.count(F.lit(1)).alias("ct"))
+
+
+def a1_dau_total_sql(spark, sf):
+    from actimetry.plans.sql import dau_total_sql
+    return dau_total_sql(spark, dau(spark, sf, DATE), DATE)
+
+
+def a2_dau_hours_sql(spark, sf):
+    from actimetry.plans.sql import dau_hours_sql
+    return dau_hours_sql(spark, dau(spark, sf, DATE), DATE)
+
+
+def a5_gmv_total_sql(spark, sf):
+    from actimetry.plans.sql import gmv_total_sql
+    return gmv_total_sql(spark, orders(spark, sf, DATE), DATE)
+
+
+def a6_gmv_hours_sql(spark, sf):
+    from actimetry.plans.sql import gmv_hours_sql
+    return gmv_hours_sql(spark, orders(spark, sf, DATE), DATE)
+
+
 def a10_distinct_devices(spark, sf):
     return distinct_devices(startup_logs(spark, sf))
 

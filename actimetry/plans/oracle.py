@@ -158,6 +158,10 @@ UNION ALL SELECT 'new_id', period, hour, CAST(value AS DOUBLE) FROM ({NEW_PAIRS}
     "a1_dau_total": W_DAU + f"SELECT count(*) AS dau FROM dau WHERE log_date = '{D}'",
     "a1_dau_daily": W_DAU + "SELECT log_date, count(*) AS dau FROM dau GROUP BY log_date",
     "a2_dau_hours": W_DAU + f"SELECT log_hour AS lh, count(*) AS ct FROM dau WHERE log_date = '{D}' GROUP BY 1",
+    "a1_dau_total_sql": W_DAU + f"SELECT count(*) AS dau FROM dau WHERE log_date = '{D}'",
+    "a2_dau_hours_sql": W_DAU + f"SELECT log_hour AS lh, count(*) AS ct FROM dau WHERE log_date = '{D}' GROUP BY 1",
+    "a5_gmv_total_sql": W_ORD + f"SELECT {MONEY} AS gmv FROM ord WHERE create_date = '{D}'",
+    "a6_gmv_hours_sql": W_ORD + f"SELECT create_hour, {MONEY} AS sum_amount FROM ord WHERE create_date = '{D}' GROUP BY 1",
     "a3_first_per_key": W_DAU + f"SELECT {DAU_OUT} FROM dau",
     "a4_stage_counts": W_BATCH + """, kept AS (
   SELECT * FROM batch b WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.mid = b.mid AND s.log_date = b.log_date))
@@ -177,6 +181,9 @@ UNION ALL SELECT 'after_dedup', count(*) FROM (SELECT DISTINCT mid, log_date FRO
     "a9_new_device_hours_all": W_DAU + """SELECT first_date AS log_date, first_hour AS log_hour, count(*) AS ct
   FROM (SELECT mid, min(log_date) AS first_date, arg_min(log_hour, log_date) AS first_hour
         FROM dau GROUP BY mid) t GROUP BY 1, 2""",
+    "a9_first_seen_table": W_DAU + f"""SELECT first_date AS log_date, first_hour AS log_hour, count(*) AS ct
+  FROM (SELECT mid, min(log_date) AS first_date, arg_min(log_hour, log_date) AS first_hour
+        FROM dau WHERE log_date <= '{D}' GROUP BY mid) t GROUP BY 1, 2""",
     "a10_distinct_devices": W_START + "SELECT log_date, count(DISTINCT mid) AS devices FROM startup GROUP BY 1",
     # unions
     "u1_realtime_total": W_FIRST + W_ORD.replace("WITH ", ", ", 1) + f"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 
 def read_raw_lines(spark: SparkSession, path: str, stream: bool = False,
@@ -53,12 +54,25 @@ def dau_table_schema(record: T.StructType) -> T.StructType:
 
 def read_dau_table(spark: SparkSession, path: str, record: T.StructType,
                    dates: list[str] | None = None, before_batch: int | None = None) -> DataFrame:
-    """Scan the DAU table. ``dates`` and ``before_batch`` become partition filters,
-    so only those folders are listed and read. The explicit schema keeps
-    ``log_date`` as text (no partition type inference)."""
-    df = spark.read.schema(dau_table_schema(record)).option("basePath", path).parquet(path)
+    """Scan the DAU table. With ``dates`` only those ``log_date=`` folders are listed (a
+    brace glob), so the per-batch read does not walk the whole table; ``before_batch``
+    is a partition filter on ``batch_id``. The explicit schema keeps ``log_date`` text."""
+    schema = dau_table_schema(record)
+    root = path.rstrip("/")
     if dates is not None:
-        df = df.where(F.col("log_date").isin(list(dates)))
+        dates = sorted({d for d in dates if d is not None})
+        if not dates:
+            return spark.createDataFrame([], schema)
+        target = f"{root}/log_date={{{','.join(dates)}}}"
+        try:
+            df = spark.read.schema(schema).option("basePath", root).parquet(target)
+        except AnalysisException as e:  # none of the days has a folder yet
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            return spark.createDataFrame([], schema)
+        df = df.where(F.col("log_date").isin(dates))
+    else:
+        df = spark.read.schema(schema).option("basePath", root).parquet(root)
     if before_batch is not None:
         df = df.where(F.col("batch_id") < F.lit(before_batch))
     return df

@@ -69,3 +69,21 @@ def test_new_devices_first_day(spark):
     assert fs == [("m1", "2024-01-01", "05"), ("m2", "2024-01-02", "07"), ("m3", "2024-01-03", "23")]
     assert new_device_total(dau, "2024-01-02").first().new_devices == 1
     assert new_device_total(dau, "2024-01-01").first().new_devices == 1
+
+
+def test_first_seen_table_advance_is_incremental_and_idempotent(spark, tmp_root):
+    from actimetry.streaming.first_seen import FirstSeenTable
+    rows = [("m1", "2024-01-01", "05"), ("m1", "2024-01-02", "01"), ("m2", "2024-01-02", "07"),
+            ("m3", "2024-01-03", "23"), ("m2", "2024-01-03", "02")]
+    dau = spark.createDataFrame(rows, "mid string, log_date string, log_hour string")
+    t = FirstSeenTable(spark, tmp_root)
+    t.build(dau, upto="2024-01-01")
+    t.advance(dau, "2024-01-02")
+    t.advance(dau, "2024-01-03")
+    t.advance(dau, "2024-01-03")          # re-run of a day: unchanged
+    got = sorted(tuple(r) for r in t.read().select("mid", "first_date", "first_hour").collect())
+    assert got == [("m1", "2024-01-01", "05"), ("m2", "2024-01-02", "07"), ("m3", "2024-01-03", "23")]
+    assert t.new_device_total("2024-01-03").first().new_devices == 1
+    assert t.new_device_total("2024-02-01").first().new_devices == 0
+    hours = sorted(tuple(r) for r in t.new_device_hours(["2024-01-02", "2024-01-03"]).collect())
+    assert hours == [("2024-01-02", "07", 1), ("2024-01-03", "23", 1)]
