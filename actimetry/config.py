@@ -28,6 +28,28 @@ DEFAULT_CONF = {
 }
 
 
+# Additional settings for a large cluster (hundreds of executors, TB-scale input).
+# Size shuffle partitions from the data: ~input bytes / 200 MB for the widest stage;
+# AQE then coalesces small ones and splits skewed ones.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    # broadcast only what is measured small; the rest is a sort-merge join
+    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 200 * 1024 * 1024,
+                           minimum: int = 200) -> int:
+    """Shuffle partition count for a stage reading ``input_bytes``."""
+    return max(minimum, -(-int(input_bytes) // target_bytes))
+
+
 def get_or_create_session(master: str | None = None, shuffle_partitions: int = 8,
                           app_name: str = "actimetry", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with our defaults; ``master`` only for local use."""

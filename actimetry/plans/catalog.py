@@ -400,6 +400,14 @@ def r2_stream_from_json(spark, sf):
     return stream_from_json(spark, sf)
 
 
+def a4_stream_stage_totals(spark, sf):
+    """Per-batch counts observed inside the stream, summed over its batches:
+    rows that arrived and rows that became new DAU rows."""
+    from actimetry.plans.stream_checks import stream_run
+    return stream_run(spark, sf).stats().agg(F.sum("rows_in").cast("long").alias("rows_in"),
+                                             F.sum("rows_new").cast("long").alias("rows_new"))
+
+
 def r7_stream_hours(spark, sf):
     from actimetry.plans.stream_checks import stream_run
     return stream_run(spark, sf).hours()

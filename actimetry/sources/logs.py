@@ -20,7 +20,7 @@ def read_raw_lines(spark: SparkSession, path: str, stream: bool = False,
 
 
 def read_log_stream(spark: SparkSession, source: str, path: str | None = None,
-                    schema: T.StructType | None = None, options: dict | None = None) -> DataFrame:
+                    schema: T.StructType | str | None = None, options: dict | None = None) -> DataFrame:
     """A stream of log records.
 
     * ``kafka``: ``path`` is the comma-separated topic list; the record value is the
