@@ -408,6 +408,11 @@ def a4_stream_stage_totals(spark, sf):
                                              F.sum("rows_new").cast("long").alias("rows_new"))
 
 
+def r7_stream_daily(spark, sf):
+    from actimetry.plans.stream_checks import stream_daily_counts
+    return stream_daily_counts(spark, sf)
+
+
 def r7_stream_hours(spark, sf):
     from actimetry.plans.stream_checks import stream_run
     return stream_run(spark, sf).hours()

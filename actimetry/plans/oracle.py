@@ -203,5 +203,6 @@ UNION ALL SELECT 'new_mid', doc FROM ({_hour_doc(NEW_PAIRS)}) c""",
     "r2_stream_from_json": W_DAU + "SELECT mid, uid, type, ts, log_date, log_hour FROM dau",
     "a4_stream_stage_totals": W_DAU + """SELECT (SELECT count(*) FROM startup) AS rows_in,
   (SELECT count(*) FROM dau) AS rows_new""",
+    "r7_stream_daily": W_DAU + "SELECT log_date, count(*) AS dau FROM dau GROUP BY log_date",
     "r7_stream_hours": W_DAU + "SELECT log_date, log_hour, count(*) AS ct FROM dau GROUP BY 1, 2",
 }

@@ -103,14 +103,10 @@ def realtime_hours(metric_id: str, dau: DataFrame, orders: DataFrame, date: str)
     return long.agg(fold("yesterday"), fold("today"))
 
 
-def to_json_doc(df: DataFrame, as_array: bool = False, name: str = "doc") -> DataFrame:
-    """Render a result as JSON text: one object per row, or (``as_array``) one array of
-    all rows – use that only for small results such as metric lists. Null fields are
-    omitted, so an unknown id's ``{yesterday: null, today: null}`` prints ``{}``."""
-    row = F.struct(*[F.col(c) for c in df.columns])
-    if as_array:
-        return df.agg(F.to_json(F.collect_list(row)).alias(name))
-    return df.select(F.to_json(row).alias(name))
+def to_json_doc(df: DataFrame, name: str = "doc") -> DataFrame:
+    """Render each row as one JSON object. Null fields are omitted, so an unknown id's
+    ``{yesterday: null, today: null}`` prints ``{}``."""
+    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(name))
 
 
 def totals_json(totals: DataFrame, name: str = "doc") -> DataFrame:

@@ -20,7 +20,8 @@ from actimetry.streaming.collector import (
     Collector, JsonDauConsumer, start_collector_stream, start_json_dau_stream,
 )
 from actimetry.streaming.dau_stream import (
-    DauTable, replay_in_slices, start_dau_stream, start_dropdup_stream,
+    DailyCountSink, DauTable, replay_in_slices, start_daily_count_stream, start_dau_stream,
+    start_dropdup_stream,
 )
 
 N_SLICES = 3
@@ -73,6 +74,21 @@ def stream_dropdup_keys(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).select("mid", "log_date")
 
 
+def stream_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Update-mode streaming aggregate of daily DAU over the sliced replay."""
+    root = scratch_dir(spark, "daily-stream")
+    events = read_table(spark, sf, "events")
+    staging, ckpt = f"{root}/incoming", f"{root}/checkpoint"
+    sink = DailyCountSink(f"{root}/out")
+
+    def run_once():
+        _once(start_daily_count_stream(_startup_stream(spark, staging, events.schema), sink, ckpt,
+                                       {"availableNow": True}))
+
+    replay_in_slices(events, staging, N_SLICES, lambda: epoch_ms_from_ntz("ts"), run_once)
+    return sink.read(spark).select("log_date", "dau")
+
+
 def stream_logs_to_table(spark: SparkSession, sf: str) -> DataFrame:
     """S1: subscribe to the log source as a stream (here the ``events`` file), type the
     records, land them in a Parquet table; return the landed table."""

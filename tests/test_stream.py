@@ -76,3 +76,19 @@ def test_restart_from_checkpoint_processes_nothing_twice(spark):
     q.awaitTermination()
     assert sorted(tuple(r) for r in table.dau().collect()) == before
     assert table.stats().count() == 3
+
+
+def test_dropdup_within_watermark_keeps_all_keys_on_ordered_arrival(spark):
+    from actimetry.streaming.dau_stream import start_dropdup_stream
+    root = scratch_dir(spark, "wm-test")
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    _write_slices(spark, events, f"{root}/in", 3, ordered=True)
+    src = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/slice*")
+    logs = logs_from_events(src, startup_only=True).select(*OUT)
+    q = start_dropdup_stream(logs, f"{root}/out", f"{root}/ckpt", {"availableNow": True},
+                             within_watermark="2 days")
+    q.awaitTermination()
+    assert q.exception() is None
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{root}/out").select("mid", "log_date").collect())
+    keys = sorted(tuple(r) for r in C.dau(spark, SF_SMALL).select("mid", "log_date").collect())
+    assert got == keys
