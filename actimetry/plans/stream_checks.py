@@ -21,7 +21,7 @@ from actimetry.streaming.collector import (
 )
 from actimetry.streaming.dau_stream import (
     DailyCountSink, DauTable, replay_in_slices, start_daily_count_stream, start_dau_stream,
-    start_dropdup_stream,
+    start_dropdup_stream, stream_partitions,
 )
 
 N_SLICES = 3
@@ -30,6 +30,11 @@ LOG_OUT = ["seq", "mid", "uid", "type", "evid", "ts", "log_date", "log_hour"]
 _RUNS: dict = {}
 
 
+def _parts(spark: SparkSession) -> int:
+    """Shuffle/state partitions for these streams: the cluster's parallelism."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _once(q) -> None:
     q.awaitTermination()
     if q.exception() is not None:
@@ -53,7 +58,7 @@ def stream_run(spark: SparkSession, sf: str) -> DauTable:
 
         def run_once():
             _once(start_dau_stream(_startup_stream(spark, staging, events.schema), table, ckpt,
-                                   {"availableNow": True}))
+                                   {"availableNow": True}, _parts(spark)))
 
         replay_in_slices(events, staging, N_SLICES, lambda: epoch_ms_from_ntz("ts"), run_once)
         _RUNS[key] = table
@@ -68,7 +73,7 @@ def stream_dropdup_keys(spark: SparkSession, sf: str) -> DataFrame:
 
     def run_once():
         _once(start_dropdup_stream(_startup_stream(spark, staging, events.schema), out, ckpt,
-                                   {"availableNow": True}))
+                                   {"availableNow": True}, partitions=_parts(spark)))
 
     replay_in_slices(events, staging, N_SLICES, lambda: epoch_ms_from_ntz("ts"), run_once)
     return spark.read.parquet(out).select("mid", "log_date")
@@ -83,7 +88,7 @@ def stream_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
 
     def run_once():
         _once(start_daily_count_stream(_startup_stream(spark, staging, events.schema), sink, ckpt,
-                                       {"availableNow": True}))
+                                       {"availableNow": True}, _parts(spark)))
 
     replay_in_slices(events, staging, N_SLICES, lambda: epoch_ms_from_ntz("ts"), run_once)
     return sink.read(spark).select("log_date", "dau")
@@ -96,8 +101,9 @@ def stream_logs_to_table(spark: SparkSession, sf: str) -> DataFrame:
     events = read_table(spark, sf, "events")
     src = spark.readStream.schema(events.schema).parquet(f"{sf.rstrip('/')}/event[s].parquet")
     logs = logs_from_events(src).select(*LOG_OUT)
-    q = (logs.writeStream.format("parquet").option("path", f"{root}/out")
-         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    with stream_partitions(spark, _parts(spark)):
+        q = (logs.writeStream.format("parquet").option("path", f"{root}/out")
+             .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
     _once(q)
     return spark.read.schema(logs.schema).parquet(f"{root}/out")
 
@@ -119,9 +125,11 @@ def stream_from_json(spark: SparkSession, sf: str) -> DataFrame:
 
     def run_once():
         lines = spark.readStream.schema(raw.schema).parquet(staging)
-        _once(start_collector_stream(lines, collector, f"{root}/ckpt-collector", {"availableNow": True}))
+        _once(start_collector_stream(lines, collector, f"{root}/ckpt-collector", {"availableNow": True},
+                                     _parts(spark)))
         topic = spark.readStream.schema("value string").parquet(start_topic)
-        _once(start_json_dau_stream(topic, consumer, f"{root}/ckpt-consumer", trigger={"availableNow": True}))
+        _once(start_json_dau_stream(topic, consumer, f"{root}/ckpt-consumer", trigger={"availableNow": True},
+                                    partitions=_parts(spark)))
 
     replay_in_slices(raw, staging, N_SLICES, lambda: F.unix_millis("arrival"), run_once)
     return table.dau().select("mid", "uid", "type", "ts", "log_date", "log_hour")

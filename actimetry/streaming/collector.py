@@ -23,7 +23,7 @@ from actimetry.functions.timefmt import stamp_ms, with_date_hour
 from actimetry.operators.route import split_valid, with_topic
 from actimetry.schemas import STARTUP_RAW
 from actimetry.sinks.files import write_by_batch
-from actimetry.streaming.dau_stream import DauTable
+from actimetry.streaming.dau_stream import DauTable, stream_partitions
 
 
 def stamp_lines(lines: DataFrame, arrival_col: str = "arrival") -> DataFrame:
@@ -62,10 +62,11 @@ class Collector:
 
 
 def start_collector_stream(lines: DataFrame, collector: Collector, checkpoint: str,
-                           trigger: dict | None = None):
+                           trigger: dict | None = None, partitions: int | None = None):
     trigger = trigger or {"processingTime": "5 seconds"}
-    return (stamp_lines(lines).writeStream.foreachBatch(collector.process)
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+    with stream_partitions(lines.sparkSession, partitions):
+        return (stamp_lines(lines).writeStream.foreachBatch(collector.process)
+                .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
 def parse_startup(lines: DataFrame, value_col: str = "value", tz: str = "UTC", schema=STARTUP_RAW) -> DataFrame:
@@ -91,8 +92,9 @@ class JsonDauConsumer:
 
 
 def start_json_dau_stream(lines: DataFrame, consumer: JsonDauConsumer, checkpoint: str,
-                          tz: str = "UTC", trigger: dict | None = None):
+                          tz: str = "UTC", trigger: dict | None = None, partitions: int | None = None):
     """``lines`` is a stream with a ``value`` column of startup JSON text (the START topic)."""
     trigger = trigger or {"processingTime": "5 seconds"}
-    return (parse_startup(lines, "value", tz).writeStream.foreachBatch(consumer.process)
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+    with stream_partitions(lines.sparkSession, partitions):
+        return (parse_startup(lines, "value", tz).writeStream.foreachBatch(consumer.process)
+                .option("checkpointLocation", checkpoint).trigger(**trigger).start())

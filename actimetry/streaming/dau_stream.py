@@ -18,6 +18,7 @@ The first arrived batch wins for a key, even if a later batch has a smaller ts.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -43,6 +44,23 @@ HOURS_SCHEMA = T.StructType([
 ])
 
 
+@contextmanager
+def stream_partitions(spark: SparkSession, n: int | None):
+    """Start a stream with ``n`` shuffle/state partitions. A stream copies the session
+    conf when it starts and records the partition count in its checkpoint (it cannot
+    change later), so it is set around ``start()`` only and restored after."""
+    if n is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(int(n)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 class DauTable:
     """DAU table at ``path/dau`` + hourly partial counts ``path/hours`` + stats ``path/stats``."""
 
@@ -99,16 +117,18 @@ class DauTable:
 
 
 def start_dau_stream(logs: DataFrame, table: DauTable, checkpoint: str,
-                     trigger: dict | None = None):
+                     trigger: dict | None = None, partitions: int | None = None):
     """Start the cross-batch dedup stream. ``logs`` is a streaming frame of startup
     records with ``mid, ts, log_date, log_hour``. Default trigger: every 5 seconds."""
     trigger = trigger or {"processingTime": "5 seconds"}
-    return (logs.writeStream.foreachBatch(table.process)
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+    with stream_partitions(logs.sparkSession, partitions):
+        return (logs.writeStream.foreachBatch(table.process)
+                .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
 def start_dropdup_stream(logs: DataFrame, out_path: str, checkpoint: str,
-                         trigger: dict | None = None, within_watermark: str | None = None):
+                         trigger: dict | None = None, within_watermark: str | None = None,
+                         partitions: int | None = None):
     """JVM-state form: ``dropDuplicates(mid, log_date)`` into a Parquet sink (append).
     It keeps *a* row per key (not the least ts), so only the key set is meaningful.
     ``within_watermark`` (e.g. ``"2 days"``) bounds the state but drops rows later
@@ -120,8 +140,9 @@ def start_dropdup_stream(logs: DataFrame, out_path: str, checkpoint: str,
             .dropDuplicatesWithinWatermark(["mid", "log_date"]).drop("_event_time")
     else:
         deduped = logs.dropDuplicates(["mid", "log_date"])
-    return (deduped.writeStream.format("parquet").option("path", out_path)
-            .option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger).start())
+    with stream_partitions(logs.sparkSession, partitions):
+        return (deduped.writeStream.format("parquet").option("path", out_path)
+                .option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger).start())
 
 
 class DailyCountSink:
@@ -140,15 +161,16 @@ class DailyCountSink:
 
 
 def start_daily_count_stream(logs: DataFrame, sink: DailyCountSink, checkpoint: str,
-                             trigger: dict | None = None):
+                             trigger: dict | None = None, partitions: int | None = None):
     """Running daily DAU with JVM state only: ``dropDuplicates(mid, log_date)`` →
     ``count`` per day, emitted in update mode. (Hours cannot be kept this way: the
     dropDuplicates row of a key is arbitrary, so its hour is too.)"""
     trigger = trigger or {"processingTime": "5 seconds"}
     daily = logs.dropDuplicates(["mid", "log_date"]).groupBy("log_date") \
         .agg(F.count(F.lit(1)).alias("dau"))
-    return (daily.writeStream.outputMode("update").foreachBatch(sink.process)
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+    with stream_partitions(logs.sparkSession, partitions):
+        return (daily.writeStream.outputMode("update").foreachBatch(sink.process)
+                .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
 def start_console_preview(stream: DataFrame, n: int = 10, trigger: dict | None = None):
