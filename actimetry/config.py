@@ -58,6 +58,9 @@ def get_or_create_session(master: str | None = None, shuffle_partitions: int = 8
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor, so its heap is the memory knob
+        conf["spark.driver.memory"] = "16g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

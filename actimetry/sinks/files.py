@@ -17,7 +17,7 @@ def write_routed(df: DataFrame, path: str, value_col: str = "value", topic_col:
                  fmt: str = "text", options: dict | None = None) -> None:
     """Publish each row's JSON text to its topic. ``fmt='kafka'`` writes to brokers (the
     sink honours the ``topic`` column); a file format writes ``topic=…`` folders.
-    No shuffle: each task writes its own file per topic it holds."""
+    No shuffle: each task writes its own file per topic it holds (two topics)."""
     out = df.select(F.col(topic_col).alias("topic"), F.col(value_col).alias("value"))
     if fmt == "kafka":
         out.write.format("kafka").options(**(options or {})).save()
@@ -27,7 +27,9 @@ def write_routed(df: DataFrame, path: str, value_col: str = "value", topic_col:
 
 def write_raw_archive(df: DataFrame, path: str, value_col: str = "value", ts_col: str = "ts",
                       tz: str = "UTC") -> None:
-    """Archive stamped lines as text, one folder per stamp day (``dt=yyyy-MM-dd``)."""
+    """Archive stamped lines as text, one folder per stamp day (``dt=yyyy-MM-dd``). No
+    shuffle: logs arrive time-clustered, so an input split holds one or two days and a
+    task writes one file per day it holds."""
     from actimetry.functions.timefmt import with_date_hour
     out = with_date_hour(df.select(value_col, ts_col), ts_col, tz, "dt", "_h")
     out.select(F.col(value_col).alias("value"), "dt").write.mode("append").partitionBy("dt").text(path)
@@ -38,6 +40,16 @@ def init_table(spark: SparkSession, path: str, schema: T.StructType, partition_c
     spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition_cols).parquet(path)
 
 
+def spread_for_partitioned_write(df: DataFrame, part_cols, key_cols, n: int | None = None) -> DataFrame:
+    """Before a ``partitionBy(part_cols)`` write that spans many partition values: range
+    partition on ``(part_cols, key_cols)``. Sampled bounds give balanced tasks even when one
+    value holds a third of the rows, and each task covers a contiguous range, i.e. one or
+    two folders – so files ≈ tasks instead of tasks × folders. (A plain ``repartition`` on
+    the partition column would send a hot value to a single task.)"""
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *[F.col(c) for c in list(part_cols) + list(key_cols)])
+
+
 def write_by_batch(df: DataFrame, path: str, batch_id: int, partition_cols=("log_date",)) -> None:
     """Write ``df`` into ``<partition>=…/batch_id=<id>`` folders, replacing only those
     folders (idempotent per batch id)."""

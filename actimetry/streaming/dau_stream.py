@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from actimetry.operators.dedup import anti_by_date, first_per_key
-from actimetry.sinks.files import init_table, write_by_batch
+from actimetry.sinks.files import init_table, spread_for_partitioned_write, write_by_batch
 from actimetry.sources.logs import dau_table_schema, read_dau_table
 
 STATS_SCHEMA = T.StructType([
@@ -64,8 +64,10 @@ def stream_partitions(spark: SparkSession, n: int | None):
 class DauTable:
     """DAU table at ``path/dau`` + hourly partial counts ``path/hours`` + stats ``path/stats``."""
 
-    def __init__(self, spark: SparkSession, path: str, record: T.StructType, tie_break=None):
+    def __init__(self, spark: SparkSession, path: str, record: T.StructType, tie_break=None,
+                 spread_above_days: int = 31):
         self.spark, self.path, self.record, self.tie_break = spark, path.rstrip("/"), record, tie_break
+        self.spread_above_days = spread_above_days
         self.dau_path = f"{self.path}/dau"
         self.hours_path = f"{self.path}/hours"
         self.stats_path = f"{self.path}/stats"
@@ -86,7 +88,18 @@ class DauTable:
             counted = batch.observe(o_in, F.count(F.lit(1)).alias("n"))
             first = first_per_key(counted, tie_break=self.tie_break).observe(o_first, F.count(F.lit(1)).alias("n"))
             new = anti_by_date(first, seen).observe(o_new, F.count(F.lit(1)).alias("n"))
-            write_by_batch(new.select(*[f.name for f in self.record.fields]), self.dau_path, batch_id)
+            cols = [f.name for f in self.record.fields]
+            if len(dates) > self.spread_above_days:
+                # a backfill: many day folders at once. Keep the (one row per key) result so
+                # the range bounds are sampled from it rather than by recomputing the dedup.
+                new = new.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+                try:
+                    write_by_batch(spread_for_partitioned_write(new, ["log_date"], ["mid"]),
+                                   self.dau_path, batch_id)
+                finally:
+                    new.unpersist()
+            else:
+                write_by_batch(new.select(*cols), self.dau_path, batch_id)
 
             # hourly counts of the rows this batch added (read back only this batch's folders)
             mine = read_dau_table(spark, self.dau_path, self.record, dates=dates) \

@@ -13,9 +13,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from actimetry.operators.metrics import first_seen
-from actimetry.sinks.files import init_table
+from actimetry.sinks.files import init_table, spread_for_partitioned_write
 
 SCHEMA = T.StructType([
     T.StructField("mid", T.StringType()),
@@ -34,8 +35,13 @@ class FirstSeenTable:
            .option("partitionOverwriteMode", "dynamic").partitionBy("first_date").parquet(self.path))
 
     def build(self, dau: DataFrame, upto: str) -> None:
-        """Seed from the DAU history up to ``upto`` (inclusive)."""
-        self._write(first_seen(dau, upto=upto))
+        """Seed from the DAU history up to ``upto`` (inclusive). Many days are written at
+        once, so rows are range-spread on ``(first_date, mid)`` first (see sinks)."""
+        fs = first_seen(dau, upto=upto).persist(StorageLevel.MEMORY_AND_DISK)  # sampled, then written
+        try:
+            self._write(spread_for_partitioned_write(fs, ["first_date"], ["mid"]))
+        finally:
+            fs.unpersist()
 
     def advance(self, dau: DataFrame, date: str) -> None:
         """Add the devices first seen on ``date``; ``dau`` needs only that day's rows."""
