@@ -7,7 +7,7 @@
 
 ``--lines`` is a folder of raw JSON text lines (``--source kafka --lines topics`` reads
 Kafka; ``--source parquet`` reads ``value`` columns, e.g. the collector's
-``routed/topic=REAL_TIME_GMALL_START/batch_id=*``). ``--orders`` is a Parquet table of ``(create_date, create_hour, amount)``.
+``routed/topic=startup_log/batch_id=*``). ``--orders`` is a Parquet table of ``(create_date, create_hour, amount)``.
 The reports print one JSON document; the jobs run until stopped (``--once`` processes
 what is available and exits).
 """

@@ -20,11 +20,12 @@ def route(df: DataFrame, type_col: str = "type") -> tuple[DataFrame, DataFrame]:
     return df.where(start), df.where(~start)
 
 
-def with_topic(df: DataFrame, type_col: str = "type", topic_col: str = "topic") -> DataFrame:
+def with_topic(df: DataFrame, type_col: str = "type", topic_col: str = "topic",
+               start_topic: str = TOPIC_START, event_topic: str = TOPIC_EVENT) -> DataFrame:
     """Add the destination topic; a Kafka sink honours a ``topic`` column, a file sink
     can ``partitionBy`` it. One pass, no duplication of the input."""
-    return df.withColumn(topic_col, F.when(is_startup(type_col), F.lit(TOPIC_START))
-                         .otherwise(F.lit(TOPIC_EVENT)))
+    return df.withColumn(topic_col, F.when(is_startup(type_col), F.lit(start_topic))
+                         .otherwise(F.lit(event_topic)))
 
 
 def _problem(required: tuple[str, ...]) -> Column:

@@ -11,11 +11,9 @@ D = "2024-01-15"
 PREV = "2024-01-14"
 SPLIT = "2024-01-15 12:00:00"
 
-# ---------------------------------------------------------------------------
-# Fixed values (same as actimetry.schemas)
-TOPIC_START = "REAL_TIME_GMALL_START"
-TOPIC_EVENT = "REAL_TIME_GMALL_EVENT"
-# ---------------------------------------------------------------------------
+# default topic names (same as actimetry.schemas)
+TOPIC_START = "startup_log"
+TOPIC_EVENT = "event_log"
 
 LOGS = """logs AS (
   SELECT event_id AS seq, CAST(user_id AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,

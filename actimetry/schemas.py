@@ -6,12 +6,14 @@ log (in-app action), both JSON lines stamped with ``ts`` (epoch ms) on arrival.
 
 from pyspark.sql import types as T
 
+# Default topic names of the two routed log streams (deployment configuration:
+# pass your own to ``with_topic`` / ``Collector``).
+TOPIC_START = "startup_log"
+TOPIC_EVENT = "event_log"
+
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the original system's output for compatible results)
 # ---------------------------------------------------------------------------
-# Topic names of the two routed log streams.
-TOPIC_START = "REAL_TIME_GMALL_START"
-TOPIC_EVENT = "REAL_TIME_GMALL_EVENT"
 # The value of ``type`` that marks a startup log.
 STARTUP_TYPE = "startup"
 # Metric ids and display names of the dashboard totals and hourly series.

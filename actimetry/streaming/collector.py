@@ -21,26 +21,29 @@ from pyspark.storagelevel import StorageLevel
 from actimetry.functions.jsonfmt import json_field, parse_logs, stamp_json
 from actimetry.functions.timefmt import stamp_ms, with_date_hour
 from actimetry.operators.route import split_valid, with_topic
-from actimetry.schemas import STARTUP_RAW
+from actimetry.schemas import STARTUP_RAW, TOPIC_EVENT, TOPIC_START
 from actimetry.sinks.files import write_by_batch
 from actimetry.streaming.dau_stream import DauTable, stream_partitions
 
 
-def stamp_lines(lines: DataFrame, arrival_col: str = "arrival") -> DataFrame:
+def stamp_lines(lines: DataFrame, arrival_col: str = "arrival",
+                topics: tuple[str, str] = (TOPIC_START, TOPIC_EVENT)) -> DataFrame:
     """``(value, arrival)`` → ``(value stamped, ts, type, topic)``; stateless, streams or batch."""
     ms = stamp_ms(arrival_col)
     stamped = lines.select(stamp_json("value", ms).alias("value"), ms.alias("ts"),
                            F.col("value").alias("_raw"))
     typed = stamped.withColumn("type", json_field("value", "$.type"))
-    return with_topic(typed)
+    return with_topic(typed, start_topic=topics[0], event_topic=topics[1])
 
 
 class Collector:
     """foreachBatch body writing the daily archive and the routed topics."""
 
     def __init__(self, archive_path: str, routed_path: str, quarantine_path: str | None = None,
-                 tz: str = "UTC", kafka_options: dict | None = None):
+                 tz: str = "UTC", kafka_options: dict | None = None,
+                 topics: tuple[str, str] = (TOPIC_START, TOPIC_EVENT)):
         self.archive_path, self.routed_path, self.tz = archive_path, routed_path, tz
+        self.topics = topics
         self.quarantine_path = quarantine_path or routed_path.rstrip("/") + "_quarantine"
         self.kafka_options = kafka_options
 
@@ -65,7 +68,7 @@ def start_collector_stream(lines: DataFrame, collector: Collector, checkpoint: s
                            trigger: dict | None = None, partitions: int | None = None):
     trigger = trigger or {"processingTime": "5 seconds"}
     with stream_partitions(lines.sparkSession, partitions):
-        return (stamp_lines(lines).writeStream.foreachBatch(collector.process)
+        return (stamp_lines(lines, topics=collector.topics).writeStream.foreachBatch(collector.process)
                 .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 

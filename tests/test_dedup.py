@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from actimetry.functions.timefmt import check_date, prev_day, prev_day_str, with_date_hour
 from actimetry.operators.dedup import anti_asof, anti_by_date, dedup_batch, first_per_key
