@@ -52,7 +52,7 @@ def cmd_dau(spark, args) -> None:
     from actimetry.streaming.collector import JsonDauConsumer, start_json_dau_stream
     from actimetry.streaming.dau_stream import DauTable
     lines = _lines(spark, args)
-    table = DauTable(spark, args.table, _dau_record())
+    table = DauTable(spark, args.table, _dau_record(), seen_mode=args.seen_mode)
     q = start_json_dau_stream(lines, JsonDauConsumer(table, f"{args.table}/quarantine"),
                               args.checkpoint, args.tz, _trigger(args))
     q.awaitTermination()
@@ -94,6 +94,8 @@ def main(argv=None) -> int:
             s.add_argument("--routed", required=True)
         else:
             s.add_argument("--table", required=True)
+            s.add_argument("--seen-mode", default="record_date", choices=["record_date", "as_of"],
+                           help="check a device against its record's day (default) or today's set")
     for name in ("total", "hours"):
         s = sub.add_parser(name)
         s.add_argument("--table", required=True)

@@ -18,6 +18,7 @@ The first arrived batch wins for a key, even if a later batch has a smaller ts.
 
 from __future__ import annotations
 
+import datetime as _dt
 from contextlib import contextmanager
 from typing import Callable
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from actimetry.operators.dedup import anti_by_date, first_per_key
+from actimetry.operators.dedup import anti_asof, anti_by_date, first_per_key
 from actimetry.sinks.files import init_table, spread_for_partitioned_write, write_by_batch
 from actimetry.sources.logs import dau_table_schema, read_dau_table
 
@@ -61,13 +62,27 @@ def stream_partitions(spark: SparkSession, n: int | None):
         spark.conf.set(key, old)
 
 
+def utc_today() -> str:
+    return _dt.datetime.now(_dt.timezone.utc).date().isoformat()
+
+
 class DauTable:
-    """DAU table at ``path/dau`` + hourly partial counts ``path/hours`` + stats ``path/stats``."""
+    """DAU table at ``path/dau`` + hourly partial counts ``path/hours`` + stats ``path/stats``.
+
+    ``seen_mode``: ``"record_date"`` (default) drops a row whose device is already stored
+    for the row's own day; ``"as_of"`` drops a row whose device is stored for the day
+    ``as_of()`` returns when the batch runs (today by the clock), whatever the row's day
+    – a late row of yesterday is then checked against today's set.
+    """
 
     def __init__(self, spark: SparkSession, path: str, record: T.StructType, tie_break=None,
-                 spread_above_days: int = 31):
+                 spread_above_days: int = 31, seen_mode: str = "record_date",
+                 as_of: Callable[[], str] = utc_today):
+        if seen_mode not in ("record_date", "as_of"):
+            raise ValueError(f"unknown seen_mode {seen_mode!r}")
         self.spark, self.path, self.record, self.tie_break = spark, path.rstrip("/"), record, tie_break
         self.spread_above_days = spread_above_days
+        self.seen_mode, self.as_of = seen_mode, as_of
         self.dau_path = f"{self.path}/dau"
         self.hours_path = f"{self.path}/hours"
         self.stats_path = f"{self.path}/stats"
@@ -82,12 +97,17 @@ class DauTable:
         try:
             # days present in this batch: a handful of values, used as partition filters
             dates = sorted(r[0] for r in batch.select("log_date").distinct().collect() if r[0] is not None)
-            seen = read_dau_table(spark, self.dau_path, self.record, dates=dates, before_batch=batch_id) \
-                .select("mid", "log_date")
             o_in, o_first, o_new = Observation(), Observation(), Observation()
             counted = batch.observe(o_in, F.count(F.lit(1)).alias("n"))
             first = first_per_key(counted, tie_break=self.tie_break).observe(o_first, F.count(F.lit(1)).alias("n"))
-            new = anti_by_date(first, seen).observe(o_new, F.count(F.lit(1)).alias("n"))
+            if self.seen_mode == "as_of":
+                day = self.as_of()
+                seen = read_dau_table(spark, self.dau_path, self.record, dates=[day], before_batch=batch_id)
+                kept = anti_asof(first, seen.select("mid", "log_date"), day)
+            else:
+                seen = read_dau_table(spark, self.dau_path, self.record, dates=dates, before_batch=batch_id)
+                kept = anti_by_date(first, seen.select("mid", "log_date"))
+            new = kept.observe(o_new, F.count(F.lit(1)).alias("n"))
             cols = [f.name for f in self.record.fields]
             if len(dates) > self.spread_above_days:
                 # a backfill: many day folders at once. Keep the (one row per key) result so

@@ -80,3 +80,20 @@ def test_dedup_is_idempotent_and_equals_distinct_keys(spark):
     twice = dedup_batch(once, tie_break=["seq"])
     assert sorted(once.collect()) == sorted(twice.collect())
     assert once.count() == df.select("mid", "log_date").distinct().count()
+
+
+def test_dau_table_as_of_mode_checks_todays_set(spark, tmp_root):
+    # batch 0 stores m1 for the 14th and m2 for the 15th; batch 1 brings late rows of the 14th
+    b0 = logs(spark, [(1, "m1", ms("2024-01-14 10:00:00")), (2, "m2", ms("2024-01-15 08:00:00"))])
+    b1 = logs(spark, [(3, "m1", ms("2024-01-14 23:00:00")), (4, "m2", ms("2024-01-14 22:00:00"))])
+    by_mode = {}
+    for mode in ("record_date", "as_of"):
+        t = DauTable(spark, f"{tmp_root}/{mode}", b0.schema, tie_break=["seq"], seen_mode=mode,
+                     as_of=lambda: "2024-01-15")
+        t.process(b0, 0)
+        t.process(b1, 1)
+        by_mode[mode] = sorted((r.mid, r.log_date, r.seq) for r in t.dau().where("batch_id = 1").collect())
+    assert by_mode["record_date"] == [("m2", "2024-01-14", 4)]   # m1 already counted on the 14th
+    assert by_mode["as_of"] == [("m1", "2024-01-14", 3)]         # m2 active today -> dropped
+    with pytest.raises(ValueError):
+        DauTable(spark, f"{tmp_root}/bad", b0.schema, seen_mode="nope")
