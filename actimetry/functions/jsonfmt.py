@@ -42,6 +42,12 @@ def json_field(value, path: str) -> Column:
     return F.get_json_object(_col(value), path)
 
 
+def json_value(value, path: str, type_name: str = "string") -> Column:
+    """Typed read of one field via the VARIANT type (``variant_get``); a missing field or a
+    value that does not fit the type gives null."""
+    return F.try_variant_get(F.try_parse_json(_col(value)), path, type_name)
+
+
 def stamp_json(value, ts_ms, field: str = "ts") -> Column:
     """Return the JSON object text with ``field`` set to ``ts_ms`` (any incoming value is
     overwritten, other fields kept in order). Malformed text gives null."""

@@ -61,3 +61,12 @@ def test_json_field_and_write_roundtrip(spark):
     parsed = parse_logs(df).drop("_corrupt_record")
     text = parsed.select(to_json_record(["type", "mid", "itemid", "ts"]).alias("j")).first().j
     assert json.loads(text) == {"type": "event", "mid": "m1", "itemid": 7, "ts": 9}
+
+
+def test_typed_variant_field_read(spark):
+    from actimetry.functions.jsonfmt import json_value
+    df = lines(spark, ['{"type":"event","itemid":7,"pgid":"x"}', 'not json', None])
+    r = df.select(json_value("value", "$.itemid", "int").alias("i"),
+                  json_value("value", "$.pgid", "int").alias("p"),
+                  json_value("value", "$.type").alias("t")).collect()
+    assert [(x.i, x.p, x.t) for x in r] == [(7, None, "event"), (None, None, None), (None, None, None)]

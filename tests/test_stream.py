@@ -92,3 +92,14 @@ def test_dropdup_within_watermark_keeps_all_keys_on_ordered_arrival(spark):
     got = sorted(tuple(r) for r in spark.read.parquet(f"{root}/out").select("mid", "log_date").collect())
     keys = sorted(tuple(r) for r in C.dau(spark, SF_SMALL).select("mid", "log_date").collect())
     assert got == keys
+
+
+def test_console_preview_runs(spark):
+    from actimetry.streaming.dau_stream import start_console_preview
+    root = scratch_dir(spark, "preview-test")
+    src = spark.readStream.schema(spark.read.parquet(f"{SF_SMALL}/events.parquet").schema) \
+        .parquet(f"{SF_SMALL}/event[s].parquet")
+    q = start_console_preview(logs_from_events(src, startup_only=True), 10, {"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
+    assert q.lastProgress["numInputRows"] == 1000
