@@ -50,32 +50,56 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 200 * 1024 * 10
     return max(minimum, -(-int(input_bytes) // target_bytes))
 
 
-def get_or_create_session(master: str | None = None, shuffle_partitions: int = 8,
+_NOT_SQL = {"spark.ui.enabled", "spark.log.structuredLogging.enabled", "spark.ui.showConsoleProgress"}
+
+
+def get_or_create_session(master: str | None = None, shuffle_partitions: int | None = None,
                           app_name: str = "actimetry", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with our defaults; ``master`` only for local use."""
+    """Build (or reuse) a session.
+
+    * ``master='local[N]'`` (tests, bench, a laptop): our defaults, a 16 GB driver heap,
+      ``shuffle_partitions`` (default 8).
+    * no master (under ``spark-submit`` on a cluster): whatever the submitter set wins;
+      our SQL defaults and ``CLUSTER_CONF`` fill in only keys left unset.
+    """
     builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
+        conf = dict(DEFAULT_CONF)
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
         # local mode: the driver JVM is the only executor, so its heap is the memory knob
         conf["spark.driver.memory"] = "16g"
-    conf.update(extra or {})
-    for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+        conf.update(extra or {})
+        for k, v in conf.items():
+            builder = builder.config(k, v)
+        spark = builder.master(master).getOrCreate()
+    else:
+        if master:
+            builder = builder.master(master)
+        for k, v in (extra or {}).items():
+            builder = builder.config(k, v)
+        spark = builder.getOrCreate()
+        given = {k for k, _ in spark.sparkContext.getConf().getAll()} | set(extra or {})
+        fill = {k: v for k, v in {**DEFAULT_CONF, **CLUSTER_CONF}.items() if k not in _NOT_SQL}
+        if shuffle_partitions:
+            fill["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        for k, v in fill.items():
+            if k not in given:
+                try:
+                    spark.conf.set(k, v)
+                except Exception:  # noqa: BLE001 - a static conf cannot be changed at runtime
+                    pass
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set a local one only if unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared folder named by ``spark.checkpoint.dir`` (or set with ``setCheckpointDir``).
+    Only when neither is set (a local run) a temporary folder is made and registered."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) \
+        or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="actimetry-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="actimetry-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 

@@ -48,12 +48,28 @@ def json_value(value, path: str, type_name: str = "string") -> Column:
     return F.try_variant_get(F.try_parse_json(_col(value)), path, type_name)
 
 
+def json_object(value) -> Column:
+    """JSON object text → ``map<string, variant>`` (every field, in order, any type);
+    null for text that is not a JSON object."""
+    return F.from_json(_col(value), "map<string,variant>")
+
+
+def object_field(obj, name: str, type_name: str = "string") -> Column:
+    """A typed field of a ``json_object`` map (null if absent or not of that type)."""
+    return F.try_variant_get(F.element_at(obj, F.lit(name)), "$", type_name)
+
+
+def stamp_object(obj, ts_ms, field: str = "ts") -> Column:
+    """JSON text of a ``json_object`` map with ``field`` set to ``ts_ms`` (an incoming
+    value is overwritten, other fields kept in order)."""
+    kept = F.map_filter(obj, lambda k, v: k != F.lit(field))
+    return F.to_json(F.map_concat(kept, F.create_map(F.lit(field), _col(ts_ms).cast("variant"))))
+
+
 def stamp_json(value, ts_ms, field: str = "ts") -> Column:
     """Return the JSON object text with ``field`` set to ``ts_ms`` (any incoming value is
     overwritten, other fields kept in order). Malformed text gives null."""
-    obj = F.from_json(_col(value), "map<string,variant>")
-    kept = F.map_filter(obj, lambda k, v: k != F.lit(field))
-    return F.to_json(F.map_concat(kept, F.create_map(F.lit(field), _col(ts_ms).cast("variant"))))
+    return stamp_object(json_object(value), ts_ms, field)
 
 
 def to_json_record(cols: list | None = None) -> Column:

@@ -65,7 +65,7 @@ def _hour_text(ts_ms, tz: str) -> Column:
 
 def date_hour_text(ts_ms, tz: str = "UTC") -> Column:
     """Epoch ms → ``yyyy-MM-dd HH`` text in zone ``tz``."""
-    return F.concat_ws(" ", _date_text(ts_ms, tz), _hour_text(ts_ms, tz))
+    return F.concat(_date_text(ts_ms, tz), F.lit(" "), _hour_text(ts_ms, tz))
 
 
 def split_date_hour(text) -> tuple[Column, Column]:

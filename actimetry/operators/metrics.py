@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from actimetry.operators.dedup import anti_by_date, first_per_key
 
 
 def by_date(df: DataFrame, date: str, date_col: str = "log_date") -> DataFrame:
@@ -96,15 +95,15 @@ def new_device_hours(dau: DataFrame, dates: list[str]) -> DataFrame:
 def stage_counts(batch: DataFrame, seen: DataFrame) -> DataFrame:
     """Row counts at the three checkpoints of one batch, in the original order:
     ``input`` → after the set filter (``after_anti``) → after in-batch first-per-key
-    (``after_dedup``). Returns ``(stage, rows)``; three independent aggregates."""
-    kept = anti_by_date(batch, seen)
-    parts = [
-        batch.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("input").alias("stage"), "n_rows"),
-        kept.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("after_anti").alias("stage"), "n_rows"),
-        first_per_key(kept, tie_break=["seq"] if "seq" in batch.columns else None)
-        .agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("after_dedup").alias("stage"), "n_rows"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    (``after_dedup``). One scan and one join: rows are flagged (not dropped) by a left
+    join with the distinct seen keys, then all three counts come from one aggregate.
+    Returns ``(stage, n_rows)``."""
+    keys = seen.select("mid", "log_date").distinct().withColumn("_seen", F.lit(True))
+    flagged = batch.select("mid", "log_date").join(keys, ["mid", "log_date"], "left")
+    unseen = F.col("_seen").isNull()
+    counts = flagged.agg(
+        F.count(F.lit(1)).alias("n_in"),
+        F.count(F.when(unseen, F.lit(1))).alias("n_anti"),
+        F.count_distinct(F.when(unseen, F.struct("mid", "log_date"))).alias("n_dedup"))
+    return counts.select(F.expr(
+        "stack(3, 'input', n_in, 'after_anti', n_anti, 'after_dedup', n_dedup) AS (stage, n_rows)"))

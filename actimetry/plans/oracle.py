@@ -47,12 +47,12 @@ _MID = "CAST(user_id AS VARCHAR)"
 LINE = f"""CASE WHEN event_type = 'view'
   THEN json_object('type', 'startup', 'mid', {_MID}, 'uid', {_MID}, 'seq', event_id)
   ELSE json_object('type', 'event', 'mid', {_MID}, 'uid', {_MID}, 'evid', event_type,
-                   'itemid', CAST(props->>'$.k' AS INTEGER), 'seq', event_id) END"""
+                   'itemid', TRY_CAST(props->>'$.k' AS INTEGER), 'seq', event_id) END"""
 STAMPED = f"""CASE WHEN event_type = 'view'
   THEN json_object('type', 'startup', 'mid', {_MID}, 'uid', {_MID}, 'seq', event_id,
                    'ts', epoch_us(ts) // 1000)
   ELSE json_object('type', 'event', 'mid', {_MID}, 'uid', {_MID}, 'evid', event_type,
-                   'itemid', CAST(props->>'$.k' AS INTEGER), 'seq', event_id,
+                   'itemid', TRY_CAST(props->>'$.k' AS INTEGER), 'seq', event_id,
                    'ts', epoch_us(ts) // 1000) END"""
 
 
@@ -114,7 +114,7 @@ SELECT '[' || string_agg(j, ',' ORDER BY o) || ']' AS doc FROM (
     # projections
     "p1_json_parse": W_LOGS + """SELECT type, mid, uid, NULL::VARCHAR AS appid, NULL::VARCHAR AS area,
   NULL::VARCHAR AS os, NULL::VARCHAR AS ch, NULL::VARCHAR AS vs, evid, NULL::INTEGER AS pgid,
-  NULL::INTEGER AS npgid, CASE WHEN type = 'event' THEN CAST(props->>'$.k' AS INTEGER) END AS itemid,
+  NULL::INTEGER AS npgid, CASE WHEN type = 'event' THEN TRY_CAST(props->>'$.k' AS INTEGER) END AS itemid,
   seq, ts, NULL::VARCHAR AS _corrupt_record FROM logs""",
     "p2_json_field": W_LOGS + "SELECT seq, type, CASE WHEN type = 'event' THEN props->>'$.k' END AS itemid FROM logs",
     "p3_stamp_ts": f"SELECT CAST({STAMPED} AS VARCHAR) AS value FROM events",

@@ -17,9 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from actimetry.functions.timefmt import check_date, prev_day_str
-from actimetry.operators.metrics import (
-    dau_total, first_seen, gmv_total, money_sum, new_device_total,
-)
+from actimetry.operators.metrics import dau_total, first_seen, gmv_total, money_sum
 from actimetry.schemas import (
     METRIC_DAU, METRIC_DAU_NAME, METRIC_GMV, METRIC_GMV_NAME, METRIC_NEW_DEVICE_HOURS_ID,
     METRIC_NEW_DEVICE_NAME, METRIC_NEW_DEVICE_TOTAL_ID,
@@ -31,15 +29,23 @@ def _metric_row(df: DataFrame, value_col: str, mid: str, name: str) -> DataFrame
                      F.col(value_col).cast("double").alias("value"))
 
 
+def _firsts(dau: DataFrame, firsts: DataFrame | None, upto: str) -> DataFrame:
+    """First-seen rows ``(mid, first_date, first_hour)``: from the maintained first-seen
+    table when given (reads one or two day folders), else aggregated from history."""
+    return firsts if firsts is not None else first_seen(dau, upto=upto)
+
+
 def realtime_total(dau: DataFrame, orders: DataFrame, date: str,
-                   new_device_id: str = METRIC_NEW_DEVICE_TOTAL_ID) -> DataFrame:
+                   new_device_id: str = METRIC_NEW_DEVICE_TOTAL_ID,
+                   firsts: DataFrame | None = None) -> DataFrame:
     """``(id, name, value DOUBLE)``: dau (count), new devices (count), order_amount (sum,
-    null on a day without orders). ``dau`` must include the history up to ``date``
-    for the new-device count; the DAU total itself only reads ``date``."""
+    null on a day without orders). New devices come from ``firsts`` (a first-seen
+    table) or, without it, from the DAU history up to ``date``."""
     date = check_date(date)
+    new = _firsts(dau, firsts, date).where(F.col("first_date") == date) \
+        .agg(F.count(F.lit(1)).alias("new_devices"))
     return _metric_row(dau_total(dau, date), "dau", METRIC_DAU, METRIC_DAU_NAME) \
-        .unionByName(_metric_row(new_device_total(dau, date), "new_devices", new_device_id,
-                                 METRIC_NEW_DEVICE_NAME)) \
+        .unionByName(_metric_row(new, "new_devices", new_device_id, METRIC_NEW_DEVICE_NAME)) \
         .unionByName(_metric_row(gmv_total(orders, date), "gmv", METRIC_GMV, METRIC_GMV_NAME))
 
 
@@ -53,18 +59,18 @@ def two_day_pair(df: DataFrame, date: str, date_col: str, hour_col: str, value)
         .groupBy(period.alias("period"), F.col(hour_col).alias("hour")).agg(value.alias("value"))
 
 
-def _dau_pairs(dau: DataFrame, orders: DataFrame, date: str) -> DataFrame:
+def _dau_pairs(dau: DataFrame, orders: DataFrame, date: str, firsts=None) -> DataFrame:
     return two_day_pair(dau, date, "log_date", "log_hour", F.count(F.lit(1)))
 
 
-def _gmv_pairs(dau: DataFrame, orders: DataFrame, date: str) -> DataFrame:
+def _gmv_pairs(dau: DataFrame, orders: DataFrame, date: str, firsts=None) -> DataFrame:
     return two_day_pair(orders, date, "create_date", "create_hour", money_sum("amount"))
 
 
-def _new_device_pairs(dau: DataFrame, orders: DataFrame, date: str) -> DataFrame:
+def _new_device_pairs(dau: DataFrame, orders: DataFrame, date: str, firsts=None) -> DataFrame:
     date = check_date(date)
     days = [prev_day_str(date), date]
-    fs = first_seen(dau, upto=date).where(F.col("first_date").isin(days))
+    fs = _firsts(dau, firsts, date).where(F.col("first_date").isin(days))
     period = F.when(F.col("first_date") == date, F.lit("today")).otherwise(F.lit("yesterday"))
     return fs.groupBy(period.alias("period"), F.col("first_hour").alias("hour")) \
         .agg(F.count(F.lit(1)).alias("value"))
@@ -72,7 +78,7 @@ def _new_device_pairs(dau: DataFrame, orders: DataFrame, date: str) -> DataFrame
 
 # Metric id → builder of its two-day long form. ``new_id`` (the id the totals
 # use) is accepted as an alias of ``new_mid``.
-METRICS: dict[str, Callable[[DataFrame, DataFrame, str], DataFrame]] = {
+METRICS: dict[str, Callable[..., DataFrame]] = {
     METRIC_DAU: _dau_pairs,
     METRIC_GMV: _gmv_pairs,
     METRIC_NEW_DEVICE_HOURS_ID: _new_device_pairs,
@@ -80,17 +86,19 @@ METRICS: dict[str, Callable[[DataFrame, DataFrame, str], DataFrame]] = {
 }
 
 
-def dispatch(metric_id: str, dau: DataFrame, orders: DataFrame, date: str) -> DataFrame | None:
+def dispatch(metric_id: str, dau: DataFrame, orders: DataFrame, date: str,
+             firsts: DataFrame | None = None) -> DataFrame | None:
     """Long form ``(period, hour, value)`` for a metric id; ``None`` for an unknown id."""
     check_date(date)
     builder = METRICS.get(metric_id)
-    return None if builder is None else builder(dau, orders, date)
+    return None if builder is None else builder(dau, orders, date, firsts)
 
 
-def realtime_hours(metric_id: str, dau: DataFrame, orders: DataFrame, date: str) -> DataFrame:
+def realtime_hours(metric_id: str, dau: DataFrame, orders: DataFrame, date: str,
+                   firsts: DataFrame | None = None) -> DataFrame:
     """One row ``(yesterday MAP, today MAP)``: hour → value, keys sorted, empty map for a
     day without rows; both null for an unknown id (renders as ``{}``)."""
-    long = dispatch(metric_id, dau, orders, date)
+    long = dispatch(metric_id, dau, orders, date, firsts)
     spark = dau.sparkSession
     if long is None:
         return spark.createDataFrame([(None, None)], "yesterday map<string,bigint>, today map<string,bigint>")

@@ -121,7 +121,7 @@ def stream_from_json(spark: SparkSession, sf: str) -> DataFrame:
         StructField("log_date", StringType()), StructField("log_hour", StringType())])
     table = DauTable(spark, f"{root}/table", record)
     consumer = JsonDauConsumer(table, f"{root}/quarantine")
-    start_topic = f"{routed}/topic={TOPIC_START}/batch_id=*"
+    start_topic = f"{routed}/topic={TOPIC_START}/run=*/batch_id=*"
 
     def run_once():
         lines = spark.readStream.schema(raw.schema).parquet(staging)

@@ -1,9 +1,11 @@
 """File (and Kafka) sinks.
 
 The DAU table is the per-day device set *and* the data: one write per batch into
-``log_date=…/batch_id=…`` folders with dynamic partition overwrite. Replaying a
-batch id rewrites exactly its own folders, so a retry after a lost executor or
-a restart from the checkpoint leaves the table unchanged.
+``log_date=…/run=…/batch_id=…`` folders with dynamic partition overwrite (``run`` is
+the writer – one token per stream checkpoint). Replaying a batch id rewrites
+exactly its own folders, so a retry after a lost executor or a restart from the
+checkpoint leaves the table unchanged; a new checkpoint on an existing table is a
+new run, and everything already stored counts as seen.
 """
 
 from __future__ import annotations
@@ -50,17 +52,18 @@ def spread_for_partitioned_write(df: DataFrame, part_cols, key_cols, n: int | No
     return df.repartitionByRange(n, *[F.col(c) for c in list(part_cols) + list(key_cols)])
 
 
-def write_by_batch(df: DataFrame, path: str, batch_id: int, partition_cols=("log_date",)) -> None:
-    """Write ``df`` into ``<partition>=…/batch_id=<id>`` folders, replacing only those
-    folders (idempotent per batch id)."""
-    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+def write_by_batch(df: DataFrame, path: str, batch_id: int, partition_cols=("log_date",),
+                   run: str = "batch") -> None:
+    """Write ``df`` into ``<partition>=…/run=<run>/batch_id=<id>`` folders, replacing only
+    those folders (idempotent per writer and batch id)."""
+    (df.withColumn("run", F.lit(run)).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_cols, "batch_id").parquet(path))
+       .partitionBy(*partition_cols, "run", "batch_id").parquet(path))
 
 
-def write_dau_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def write_dau_batch(df: DataFrame, path: str, batch_id: int, run: str = "batch") -> None:
     """K3: store a batch's new first-of-day rows (see module doc)."""
-    write_by_batch(df, path, batch_id, ("log_date",))
+    write_by_batch(df, path, batch_id, ("log_date",), run)
 
 
 def preview(df: DataFrame, n: int = 10, order=("ts",)) -> DataFrame:

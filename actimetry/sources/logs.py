@@ -46,17 +46,27 @@ def read_log_stream(spark: SparkSession, source: str, path: str | None = None,
 
 
 def dau_table_schema(record: T.StructType) -> T.StructType:
-    """Stored DAU table: record columns + partition columns ``log_date`` (text) and ``batch_id``."""
-    fields = [f for f in record.fields if f.name not in ("log_date", "batch_id")]
+    """Stored DAU table: record columns + partition columns ``log_date`` (text), ``run``
+    (the writer: one token per stream checkpoint) and ``batch_id`` (its micro-batch)."""
+    fields = [f for f in record.fields if f.name not in ("log_date", "run", "batch_id")]
     return T.StructType(fields + [T.StructField("log_date", T.StringType()),
+                                  T.StructField("run", T.StringType()),
                                   T.StructField("batch_id", T.LongType())])
 
 
+def stored_before(run: str, batch_id: int):
+    """Rows that count as already stored for batch ``batch_id`` of writer ``run``: every
+    other writer's rows, and this writer's earlier batches (its own current or later
+    folders are a previous attempt being replayed)."""
+    return ~((F.col("run") == F.lit(run)) & (F.col("batch_id") >= F.lit(int(batch_id))))
+
+
 def read_dau_table(spark: SparkSession, path: str, record: T.StructType,
-                   dates: list[str] | None = None, before_batch: int | None = None) -> DataFrame:
+                   dates: list[str] | None = None, before: tuple[str, int] | None = None) -> DataFrame:
     """Scan the DAU table. With ``dates`` only those ``log_date=`` folders are listed (a
-    brace glob), so the per-batch read does not walk the whole table; ``before_batch``
-    is a partition filter on ``batch_id``. The explicit schema keeps ``log_date`` text."""
+    brace glob), so the per-batch read does not walk the whole table; ``before=(run,
+    batch_id)`` keeps what counts as stored for that batch (a partition filter). The
+    explicit schema keeps ``log_date`` text."""
     schema = dau_table_schema(record)
     root = path.rstrip("/")
     if dates is not None:
@@ -73,8 +83,8 @@ def read_dau_table(spark: SparkSession, path: str, record: T.StructType,
         df = df.where(F.col("log_date").isin(dates))
     else:
         df = spark.read.schema(schema).option("basePath", root).parquet(root)
-    if before_batch is not None:
-        df = df.where(F.col("batch_id") < F.lit(before_batch))
+    if before is not None:
+        df = df.where(stored_before(*before))
     return df
 
 

@@ -29,10 +29,11 @@ def events_in_days(events: DataFrame, first_date: str | None = None,
                    last_date: str | None = None, before: str | None = None) -> DataFrame:
     """Restrict raw events to whole days ``[first_date, last_date]`` and/or to ``ts < before``.
     Both become comparisons on the raw column, i.e. Parquet pushed filters."""
-    if first_date is not None:
-        lo, hi = day_bounds(first_date, last_date)
-        events = events.where((F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
-                              & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
+    if first_date is not None or last_date is not None:
+        lo, hi = day_bounds(first_date or last_date, last_date or first_date)
+        if first_date is not None:
+            events = events.where(F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
+        events = events.where(F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
     if before is not None:
         events = events.where(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
     return events
@@ -77,7 +78,7 @@ def raw_lines_from_events(events: DataFrame) -> DataFrame:
         F.col("user_id").cast("string").alias("mid"),
         F.col("user_id").cast("string").alias("uid"),
         F.when(~is_start, et).alias("evid"),
-        F.when(~is_start, F.get_json_object("props", "$.k").cast("int")).alias("itemid"),
+        F.when(~is_start, F.get_json_object("props", "$.k").try_cast("int")).alias("itemid"),
         F.col("event_id").alias("seq"),
     )
     return events.select(F.col("event_id").alias("seq"), F.to_json(rec).alias("value"),

@@ -18,22 +18,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from actimetry.functions.jsonfmt import json_field, parse_logs, stamp_json
+from actimetry.functions.jsonfmt import json_object, object_field, parse_logs, stamp_object
 from actimetry.functions.timefmt import stamp_ms, with_date_hour
 from actimetry.operators.route import split_valid, with_topic
 from actimetry.schemas import STARTUP_RAW, TOPIC_EVENT, TOPIC_START
 from actimetry.sinks.files import write_by_batch
-from actimetry.streaming.dau_stream import DauTable, stream_partitions
+from actimetry.streaming.dau_stream import DauTable, run_token, stream_partitions
 
 
 def stamp_lines(lines: DataFrame, arrival_col: str = "arrival",
                 topics: tuple[str, str] = (TOPIC_START, TOPIC_EVENT)) -> DataFrame:
     """``(value, arrival)`` → ``(value stamped, ts, type, topic)``; stateless, streams or batch."""
     ms = stamp_ms(arrival_col)
-    stamped = lines.select(stamp_json("value", ms).alias("value"), ms.alias("ts"),
-                           F.col("value").alias("_raw"))
-    typed = stamped.withColumn("type", json_field("value", "$.type"))
-    return with_topic(typed, start_topic=topics[0], event_topic=topics[1])
+    parsed = lines.select(F.col("value").alias("_raw"), json_object("value").alias("_obj"), ms.alias("ts"))
+    # one parse per line: the stamped text and the routing type come from the same map
+    stamped = parsed.select(stamp_object("_obj", "ts").alias("value"), "ts", "_raw",
+                            object_field("_obj", "type").alias("type"))
+    return with_topic(stamped, start_topic=topics[0], event_topic=topics[1])
 
 
 class Collector:
@@ -44,6 +45,7 @@ class Collector:
                  topics: tuple[str, str] = (TOPIC_START, TOPIC_EVENT)):
         self.archive_path, self.routed_path, self.tz = archive_path, routed_path, tz
         self.topics = topics
+        self.run = "batch"        # set to the stream's run token when started
         self.quarantine_path = quarantine_path or routed_path.rstrip("/") + "_quarantine"
         self.kafka_options = kafka_options
 
@@ -51,15 +53,15 @@ class Collector:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             bad = batch.where(F.col("value").isNull()).select(F.col("_raw").alias("raw"), "ts")
-            write_by_batch(bad, self.quarantine_path, batch_id, ())
+            write_by_batch(bad, self.quarantine_path, batch_id, (), self.run)
             good = batch.where(F.col("value").isNotNull())
             arch = with_date_hour(good.select("value", "ts"), "ts", self.tz, "dt", "_h")
-            write_by_batch(arch.select("value", "dt"), self.archive_path, batch_id, ("dt",))
+            write_by_batch(arch.select("value", "dt"), self.archive_path, batch_id, ("dt",), self.run)
             routed = good.select("topic", "value")
             if self.kafka_options:
                 routed.write.format("kafka").options(**self.kafka_options).save()
             else:
-                write_by_batch(routed, self.routed_path, batch_id, ("topic",))
+                write_by_batch(routed, self.routed_path, batch_id, ("topic",), self.run)
         finally:
             batch.unpersist()
 
@@ -67,14 +69,19 @@ class Collector:
 def start_collector_stream(lines: DataFrame, collector: Collector, checkpoint: str,
                            trigger: dict | None = None, partitions: int | None = None):
     trigger = trigger or {"processingTime": "5 seconds"}
+    collector.run = run_token(checkpoint)
     with stream_partitions(lines.sparkSession, partitions):
         return (stamp_lines(lines, topics=collector.topics).writeStream.foreachBatch(collector.process)
                 .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
-def parse_startup(lines: DataFrame, value_col: str = "value", tz: str = "UTC", schema=STARTUP_RAW) -> DataFrame:
-    """Typed startup records with ``log_date``/``log_hour`` and ``_corrupt_record``."""
-    return with_date_hour(parse_logs(lines, value_col, schema), "ts", tz)
+def parse_startup(lines: DataFrame, value_col: str = "value", tz: str = "UTC", schema=STARTUP_RAW,
+                  keep_line: bool = False) -> DataFrame:
+    """Typed startup records with ``log_date``/``log_hour`` and ``_corrupt_record``
+    (and the original text as ``_line`` when ``keep_line``)."""
+    src = lines.withColumn("_line", F.col(value_col)) if keep_line else lines
+    parsed = parse_logs(src, value_col, schema, keep=["_line"] if keep_line else None)
+    return with_date_hour(parsed, "ts", tz)
 
 
 class JsonDauConsumer:
@@ -87,8 +94,10 @@ class JsonDauConsumer:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good, bad = split_valid(batch)
-            write_by_batch(bad.select(F.col("_corrupt_record").alias("raw"), "mid", "ts", "reason"),
-                           self.quarantine_path, batch_id, ())
+            raw = F.coalesce(F.col("_corrupt_record"), F.col("_line")) if "_line" in batch.columns \
+                else F.col("_corrupt_record")
+            write_by_batch(bad.select(raw.alias("raw"), "mid", "ts", "reason"),
+                           self.quarantine_path, batch_id, (), self.table.run)
             self.table.process(good.select(*[f.name for f in self.table.record.fields]), batch_id)
         finally:
             batch.unpersist()
@@ -98,6 +107,7 @@ def start_json_dau_stream(lines: DataFrame, consumer: JsonDauConsumer, checkpoin
                           tz: str = "UTC", trigger: dict | None = None, partitions: int | None = None):
     """``lines`` is a stream with a ``value`` column of startup JSON text (the START topic)."""
     trigger = trigger or {"processingTime": "5 seconds"}
+    consumer.table.run = run_token(checkpoint)
     with stream_partitions(lines.sparkSession, partitions):
-        return (parse_startup(lines, "value", tz).writeStream.foreachBatch(consumer.process)
+        return (parse_startup(lines, "value", tz, keep_line=True).writeStream.foreachBatch(consumer.process)
                 .option("checkpointLocation", checkpoint).trigger(**trigger).start())

@@ -19,7 +19,9 @@ The first arrived batch wins for a key, even if a later batch has a smaller ts.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 from contextlib import contextmanager
+from zoneinfo import ZoneInfo
 from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -35,12 +37,14 @@ STATS_SCHEMA = T.StructType([
     T.StructField("rows_in", T.LongType()),
     T.StructField("rows_first", T.LongType()),
     T.StructField("rows_new", T.LongType()),
+    T.StructField("run", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
 HOURS_SCHEMA = T.StructType([
     T.StructField("log_hour", T.StringType()),
     T.StructField("ct", T.LongType()),
     T.StructField("log_date", T.StringType()),
+    T.StructField("run", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
 
@@ -62,8 +66,16 @@ def stream_partitions(spark: SparkSession, n: int | None):
         spark.conf.set(key, old)
 
 
-def utc_today() -> str:
-    return _dt.datetime.now(_dt.timezone.utc).date().isoformat()
+def run_token(checkpoint: str) -> str:
+    """Stable writer id of a stream: derived from its checkpoint location, so a restart
+    from the same checkpoint is the same run and a new checkpoint is a new one."""
+    return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
+def today_in(tz: str) -> Callable[[], str]:
+    def today() -> str:
+        return _dt.datetime.now(ZoneInfo(tz)).date().isoformat()
+    return today
 
 
 class DauTable:
@@ -71,67 +83,65 @@ class DauTable:
 
     ``seen_mode``: ``"record_date"`` (default) drops a row whose device is already stored
     for the row's own day; ``"as_of"`` drops a row whose device is stored for the day
-    ``as_of()`` returns when the batch runs (today by the clock), whatever the row's day
-    – a late row of yesterday is then checked against today's set.
+    ``as_of()`` returns when the batch runs (today by the clock in ``tz``), whatever the
+    row's day – a late row of yesterday is then checked against today's set.
+    One writer per table at a time: concurrent writers would not see each other's rows.
     """
 
     def __init__(self, spark: SparkSession, path: str, record: T.StructType, tie_break=None,
                  spread_above_days: int = 31, seen_mode: str = "record_date",
-                 as_of: Callable[[], str] = utc_today):
+                 as_of: Callable[[], str] | None = None, tz: str = "UTC", run: str = "batch"):
         if seen_mode not in ("record_date", "as_of"):
             raise ValueError(f"unknown seen_mode {seen_mode!r}")
         self.spark, self.path, self.record, self.tie_break = spark, path.rstrip("/"), record, tie_break
         self.spread_above_days = spread_above_days
-        self.seen_mode, self.as_of = seen_mode, as_of
+        self.seen_mode, self.as_of = seen_mode, as_of or today_in(tz)
+        self.run = run
         self.dau_path = f"{self.path}/dau"
         self.hours_path = f"{self.path}/hours"
         self.stats_path = f"{self.path}/stats"
-        init_table(spark, self.dau_path, dau_table_schema(record), ["log_date", "batch_id"])
-        init_table(spark, self.hours_path, HOURS_SCHEMA, ["log_date", "batch_id"])
-        init_table(spark, self.stats_path, STATS_SCHEMA, ["batch_id"])
+        init_table(spark, self.dau_path, dau_table_schema(record), ["log_date", "run", "batch_id"])
+        init_table(spark, self.hours_path, HOURS_SCHEMA, ["log_date", "run", "batch_id"])
+        init_table(spark, self.stats_path, STATS_SCHEMA, ["run", "batch_id"])
 
     # -- the foreachBatch body ------------------------------------------------
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        cols = [f.name for f in self.record.fields]
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        new = None
         try:
             # days present in this batch: a handful of values, used as partition filters
             dates = sorted(r[0] for r in batch.select("log_date").distinct().collect() if r[0] is not None)
             o_in, o_first, o_new = Observation(), Observation(), Observation()
             counted = batch.observe(o_in, F.count(F.lit(1)).alias("n"))
             first = first_per_key(counted, tie_break=self.tie_break).observe(o_first, F.count(F.lit(1)).alias("n"))
+            before = (self.run, batch_id)
             if self.seen_mode == "as_of":
                 day = self.as_of()
-                seen = read_dau_table(spark, self.dau_path, self.record, dates=[day], before_batch=batch_id)
+                seen = read_dau_table(spark, self.dau_path, self.record, dates=[day], before=before)
                 kept = anti_asof(first, seen.select("mid", "log_date"), day)
             else:
-                seen = read_dau_table(spark, self.dau_path, self.record, dates=dates, before_batch=batch_id)
+                seen = read_dau_table(spark, self.dau_path, self.record, dates=dates, before=before)
                 kept = anti_by_date(first, seen.select("mid", "log_date"))
-            new = kept.observe(o_new, F.count(F.lit(1)).alias("n"))
-            cols = [f.name for f in self.record.fields]
-            if len(dates) > self.spread_above_days:
-                # a backfill: many day folders at once. Keep the (one row per key) result so
-                # the range bounds are sampled from it rather than by recomputing the dedup.
-                new = new.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-                try:
-                    write_by_batch(spread_for_partitioned_write(new, ["log_date"], ["mid"]),
-                                   self.dau_path, batch_id)
-                finally:
-                    new.unpersist()
-            else:
-                write_by_batch(new.select(*cols), self.dau_path, batch_id)
+            # the new rows (one per new key) are kept: written, then counted by hour
+            new = kept.observe(o_new, F.count(F.lit(1)).alias("n")).select(*cols) \
+                .persist(StorageLevel.MEMORY_AND_DISK)
+            out = new
+            if len(dates) > self.spread_above_days:   # a backfill: many day folders at once
+                out = spread_for_partitioned_write(new, ["log_date"], ["mid"])
+            write_by_batch(out, self.dau_path, batch_id, ("log_date",), self.run)
 
-            # hourly counts of the rows this batch added (read back only this batch's folders)
-            mine = read_dau_table(spark, self.dau_path, self.record, dates=dates) \
-                .where(F.col("batch_id") == batch_id)
-            hours = mine.groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("ct"))
-            write_by_batch(hours, self.hours_path, batch_id)
+            hours = new.groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("ct"))
+            write_by_batch(hours, self.hours_path, batch_id, ("log_date",), self.run)
 
             stats = spark.createDataFrame(
                 [(o_in.get.get("n", 0), o_first.get.get("n", 0), o_new.get.get("n", 0))],
                 "rows_in long, rows_first long, rows_new long")
-            write_by_batch(stats, self.stats_path, batch_id, ())
+            write_by_batch(stats, self.stats_path, batch_id, (), self.run)
         finally:
+            if new is not None:
+                new.unpersist()
             batch.unpersist()
 
     # -- readers --------------------------------------------------------------
@@ -152,8 +162,10 @@ class DauTable:
 def start_dau_stream(logs: DataFrame, table: DauTable, checkpoint: str,
                      trigger: dict | None = None, partitions: int | None = None):
     """Start the cross-batch dedup stream. ``logs`` is a streaming frame of startup
-    records with ``mid, ts, log_date, log_hour``. Default trigger: every 5 seconds."""
+    records with ``mid, ts, log_date, log_hour``. Default trigger: every 5 seconds.
+    The table's writer id becomes the checkpoint's run token."""
     trigger = trigger or {"processingTime": "5 seconds"}
+    table.run = run_token(checkpoint)
     with stream_partitions(logs.sparkSession, partitions):
         return (logs.writeStream.foreachBatch(table.process)
                 .option("checkpointLocation", checkpoint).trigger(**trigger).start())
@@ -228,5 +240,7 @@ def replay_in_slices(table: DataFrame, staging: str, n_slices: int, ts_ms: Calla
             cond = cond & (ts_ms() >= F.lit(lo))
         if hi is not None:
             cond = cond & (ts_ms() < F.lit(hi))
+        else:                      # the last slice also carries rows without a time
+            cond = cond | ts_ms().isNull()
         table.where(cond).write.mode("append").parquet(staging)
         run_once()

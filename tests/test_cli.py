@@ -18,8 +18,8 @@ def test_cli_flow(spark, capsys):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     raw_lines_from_events(ev).select("value").write.text(f"{root}/lines")
     cli.main(["collect", "--lines", f"{root}/lines", "--archive", f"{root}/archive",
-              "--routed", f"{root}/routed", "--checkpoint", f"{root}/c1", "--once"])
-    cli.main(["dau", "--source", "parquet", "--lines", f"{root}/routed/topic={TOPIC_START}/batch_id=*",
+              "--routed", f"{root}/routed", "--checkpoint", f"{root}/c1", "--once", "--tz", "UTC"])
+    cli.main(["dau", "--source", "parquet", "--lines", f"{root}/routed/topic={TOPIC_START}/run=*/batch_id=*",
               "--table", f"{root}/dau", "--checkpoint", f"{root}/c2", "--once"])
     C.orders(spark, SF_SMALL).write.parquet(f"{root}/orders")
     capsys.readouterr()
@@ -33,3 +33,12 @@ def test_cli_flow(spark, capsys):
     cli.main(["hours", "--table", f"{root}/dau", "--orders", f"{root}/orders", "--date", day, "--id", "dau"])
     doc = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert sum(doc["today"].values()) == devices
+    # the first-seen table gives the same new-device answers as the history aggregate
+    cli.main(["first-seen", "--table", f"{root}/dau", "--path", f"{root}/fs", "--date", day, "--build"])
+    for cmd in (["total"], ["hours", "--id", "new_mid"]):
+        capsys.readouterr()
+        base = ["--table", f"{root}/dau", "--orders", f"{root}/orders", "--date", day]
+        cli.main(cmd + base)
+        plain = capsys.readouterr().out.strip().splitlines()[-1]
+        cli.main(cmd + base + ["--first-seen", f"{root}/fs"])
+        assert capsys.readouterr().out.strip().splitlines()[-1] == plain

@@ -49,7 +49,7 @@ def test_collector_then_consumer(spark):
     table = DauTable(spark, f"{root}/table", parse_startup(spark.createDataFrame([], "value string"))
                      .drop("_corrupt_record").schema)
     consumer = JsonDauConsumer(table, f"{root}/quarantine")
-    topic = spark.readStream.schema("value string").parquet(f"{root}/routed/topic={TOPIC_START}/batch_id=*")
+    topic = spark.readStream.schema("value string").parquet(f"{root}/routed/topic={TOPIC_START}/run=*/batch_id=*")
     q2 = start_json_dau_stream(topic, consumer, f"{root}/c2", trigger={"availableNow": True})
     q2.awaitTermination()
     assert q2.exception() is None

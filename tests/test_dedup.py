@@ -97,3 +97,38 @@ def test_dau_table_as_of_mode_checks_todays_set(spark, tmp_root):
     assert by_mode["as_of"] == [("m1", "2024-01-14", 3)]         # m2 active today -> dropped
     with pytest.raises(ValueError):
         DauTable(spark, f"{tmp_root}/bad", b0.schema, seen_mode="nope")
+
+
+def test_new_checkpoint_on_existing_table_keeps_stored_rows(spark, tmp_root):
+    b0 = logs(spark, [(1, "m1", ms("2024-01-15 08:00:00")), (2, "m2", ms("2024-01-15 09:00:00"))])
+    b1 = logs(spark, [(3, "m3", ms("2024-01-15 10:00:00"))])
+    again = logs(spark, [(4, "m3", ms("2024-01-15 11:00:00")), (5, "m9", ms("2024-01-15 12:00:00"))])
+    t = DauTable(spark, tmp_root, b0.schema, tie_break=["seq"], run="first")
+    t.process(b0, 0)
+    t.process(b1, 1)
+    t2 = DauTable(spark, tmp_root, b0.schema, tie_break=["seq"], run="second")   # ids restart at 0
+    t2.process(again, 0)
+    got = sorted((r.mid, r.seq) for r in t2.dau().collect())
+    assert got == [("m1", 1), ("m2", 2), ("m3", 3), ("m9", 5)]
+
+
+def test_checkpoint_root_falls_back_only_when_unset(tmp_path):
+    from actimetry.config import checkpoint_root
+
+    class Conf:
+        def __init__(self, v): self.v = v
+        def get(self, k, d=None): return self.v if k == "spark.checkpoint.dir" else d
+
+    class SC:
+        def __init__(self, v): self.conf, self.dir = Conf(v), None
+        def getConf(self): return self.conf
+        def getCheckpointDir(self): return self.dir
+        def setCheckpointDir(self, d): self.dir = d + "/uuid"
+
+    class S:
+        def __init__(self, v): self.sparkContext = SC(v)
+
+    assert checkpoint_root(S("hdfs://nn/ckpt/")) == "hdfs://nn/ckpt"
+    s = S(None)
+    root = checkpoint_root(s)
+    assert root.endswith("/uuid") and s.sparkContext.dir == root
