@@ -46,6 +46,11 @@ def gmv_total(orders: DataFrame, date: str) -> DataFrame:
     return by_date(orders, date, "create_date").agg(money_sum("amount").alias("gmv"))
 
 
+def gmv_daily(orders: DataFrame) -> DataFrame:
+    """All-days form: ``(create_date, gmv)``."""
+    return orders.groupBy("create_date").agg(money_sum("amount").alias("gmv"))
+
+
 def gmv_hours(orders: DataFrame, date: str) -> DataFrame:
     """Order amount by hour: ``(create_hour, sum_amount)``."""
     return by_date(orders, date, "create_date").groupBy("create_hour") \

@@ -295,6 +295,13 @@ def a5_gmv_total(spark, sf):
     return gmv_total(orders(spark, sf, DATE), DATE)
 
 
+def a5_gmv_daily_orders(spark, sf):
+    """Daily order amount from the ``orders`` table (dates only, so no hours)."""
+    from actimetry.operators.metrics import gmv_daily
+    from actimetry.sources.tables import orders_from_orders_table
+    return gmv_daily(orders_from_orders_table(read_table(spark, sf, "orders")))
+
+
 def a6_gmv_hours(spark, sf):
     return gmv_hours(orders(spark, sf, DATE), DATE)
 

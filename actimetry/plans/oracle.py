@@ -167,6 +167,8 @@ SELECT 'input' AS stage, count(*) AS n_rows FROM batch
 UNION ALL SELECT 'after_anti', count(*) FROM kept
 UNION ALL SELECT 'after_dedup', count(*) FROM (SELECT DISTINCT mid, log_date FROM kept) k""",
     "a5_gmv_total": W_ORD + f"SELECT {MONEY} AS gmv FROM ord WHERE create_date = '{D}'",
+    "a5_gmv_daily_orders": """SELECT strftime(o_orderdate, '%Y-%m-%d') AS create_date,
+  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS gmv FROM orders GROUP BY 1""",
     "a6_gmv_hours": W_ORD + f"SELECT create_hour, {MONEY} AS sum_amount FROM ord WHERE create_date = '{D}' GROUP BY 1",
     "a7_hour_map": W_DAU + """SELECT log_date,
   CAST(to_json(map_from_entries(list({'k': log_hour, 'v': ct} ORDER BY log_hour))) AS VARCHAR) AS hours

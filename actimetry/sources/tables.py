@@ -66,6 +66,14 @@ def orders_from_events(events: DataFrame, tz: str = "UTC") -> DataFrame:
     return with_date_hour(rows, "ts", tz, "create_date", "create_hour").drop("ts")
 
 
+def orders_from_orders_table(orders: DataFrame) -> DataFrame:
+    """The ``orders`` table as order rows ``(order_id, create_date, amount)``. It has an
+    order date but no time of day, so it serves daily totals only (no ``create_hour``)."""
+    return orders.select(F.col("o_orderkey").alias("order_id"),
+                         F.col("o_orderdate").cast("date").cast("string").alias("create_date"),
+                         F.col("o_totalprice").alias("amount"))
+
+
 def raw_lines_from_events(events: DataFrame) -> DataFrame:
     """Events rendered as the JSON log lines a collector receives (before stamping):
     ``{"type":"startup","mid":..,"uid":..,"seq":..}`` or with ``evid`` and ``itemid`` for
