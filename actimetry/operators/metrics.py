@@ -89,12 +89,20 @@ def new_device_total(dau: DataFrame, date: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("new_devices"))
 
 
+def new_devices_by_hour(firsts: DataFrame) -> DataFrame:
+    """First-seen rows → new devices per first day and hour ``(log_date, log_hour, ct)``."""
+    return firsts.groupBy(F.col("first_date").alias("log_date"), F.col("first_hour").alias("log_hour")) \
+        .agg(F.count(F.lit(1)).alias("ct"))
+
+
+def new_devices_by_day(firsts: DataFrame) -> DataFrame:
+    """First-seen rows → new devices per first day ``(log_date, new_devices)``."""
+    return firsts.groupBy(F.col("first_date").alias("log_date")).agg(F.count(F.lit(1)).alias("new_devices"))
+
+
 def new_device_hours(dau: DataFrame, dates: list[str]) -> DataFrame:
     """New devices by first hour on each of ``dates``: ``(log_date, log_hour, ct)``."""
-    upto = max(dates)
-    fs = first_seen(dau, upto=upto).where(F.col("first_date").isin(list(dates)))
-    return fs.groupBy(F.col("first_date").alias("log_date"), F.col("first_hour").alias("log_hour")) \
-        .agg(F.count(F.lit(1)).alias("ct"))
+    return new_devices_by_hour(first_seen(dau, upto=max(dates)).where(F.col("first_date").isin(list(dates))))
 
 
 def stage_counts(batch: DataFrame, seen: DataFrame) -> DataFrame:

@@ -9,37 +9,42 @@ Parameters: sample day ``DATE``; the "seen" / "batch" split at ``SPLIT``.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actimetry.config import scratch_dir
-from actimetry.functions.jsonfmt import json_field, parse_logs, stamp_json, to_json_record
+from actimetry.functions.jsonfmt import json_field, parse_logs, to_json_record
 from actimetry.functions.keys import composite_key, namespaced_key, select_columns, upper_columns
 from actimetry.functions.timefmt import (
-    as_of_date, date_hour_text, epoch_ms_from_ntz, prev_day, prev_day_str, split_date_hour, stamp_ms,
+    as_of_date, date_hour_text, epoch_ms_from_ntz, prev_day, prev_day_str, split_date_hour,
 )
 from actimetry.operators.dedup import anti_asof, anti_by_date, distinct_devices, first_per_key
 from actimetry.operators.metrics import (
-    dau_daily, dau_hours, dau_total, first_seen, gmv_hours, gmv_total, hour_map, new_device_hours,
-    new_device_total, stage_counts,
+    dau_daily, dau_hours, dau_total, first_seen, gmv_daily, gmv_hours, gmv_total, hour_map,
+    new_device_hours, new_device_total, new_devices_by_day, new_devices_by_hour, stage_counts,
 )
-from actimetry.operators.route import route, split_valid, with_topic
+from actimetry.operators.route import route, split_valid
+from actimetry.plans import stream_checks
 from actimetry.plans.report import (
     dispatch, realtime_hours, realtime_total, to_json_doc, totals_json, two_day_pair,
 )
+from actimetry.plans.sql import dau_hours_sql, dau_total_sql, gmv_hours_sql, gmv_total_sql
 from actimetry.schemas import DAU_COLUMNS
 from actimetry.sinks.files import preview, write_raw_archive, write_routed
 from actimetry.sources.logs import read_dau_table, read_raw_lines, seen_keys
 from actimetry.sources.tables import (
-    events_in_days, logs_from_events, orders_from_events, raw_lines_from_events, read_table,
+    LOG_COLUMNS as LOG_OUT, STARTUP_COLUMNS as DAU_OUT, events_in_days, logs_from_events,
+    orders_from_events, orders_from_orders_table, raw_lines_from_events, read_table,
 )
+from actimetry.streaming.collector import stamp_lines
+from actimetry.streaming.dau_stream import DauTable
+from actimetry.streaming.first_seen import FirstSeenTable
 
 DATE = "2024-01-15"
 SPLIT = "2024-01-15 12:00:00"
-DAU_OUT = ["seq", "mid", "uid", "type", "ts", "log_date", "log_hour"]
-LOG_OUT = ["seq", "mid", "uid", "type", "evid", "ts", "log_date", "log_hour"]
 HOUR_IDS = ["dau", "order_amount", "new_mid"]
 DISPATCH_IDS = ["dau", "order_amount", "new_mid", "new_id", "no_such_metric"]
 
@@ -49,8 +54,8 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, sf, "events")
 
 
-def startup_logs(spark, sf, first=None, last=None, before=None) -> DataFrame:
-    ev = events_in_days(events(spark, sf), first, last, before)
+def startup_logs(spark, sf, first=None, last=None, before=None, since=None) -> DataFrame:
+    ev = events_in_days(events(spark, sf), first, last, before, since)
     return logs_from_events(ev, startup_only=True).select(*DAU_OUT)
 
 
@@ -64,18 +69,15 @@ def orders(spark, sf, first=None, last=None) -> DataFrame:
 
 
 def stamped_lines(spark, sf) -> DataFrame:
-    """Raw lines stamped with their arrival ms: ``(seq, value, ts)``."""
-    raw = raw_lines_from_events(events(spark, sf)).withColumn("ts_ms", stamp_ms("arrival"))
-    return raw.select("seq", stamp_json("value", "ts_ms").alias("value"), F.col("ts_ms").alias("ts"))
+    """Raw lines as the collector stamps and routes them: ``(value, ts, type, topic, _raw)``."""
+    return stamp_lines(raw_lines_from_events(events(spark, sf)))
 
 
 def _split_batches(spark, sf):
     """(seen keys from logs before SPLIT, startup logs at/after SPLIT)."""
     before = startup_logs(spark, sf, before=SPLIT)
     seen = first_per_key(before, tie_break=["seq"]).select("mid", "log_date")
-    ev = events(spark, sf).where(F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz"))
-    batch = logs_from_events(ev, startup_only=True).select(*DAU_OUT)
-    return seen, batch
+    return seen, startup_logs(spark, sf, since=SPLIT)
 
 
 # ------------------------------------------------------------------- DAU table (K3)
@@ -85,14 +87,12 @@ _TABLES: dict[tuple[str, str], str] = {}
 def dau_table(spark: SparkSession, sf: str) -> str:
     """Build the DAU table from two arriving batches (logs before / after SPLIT) with the
     batch writer, once per application and input folder; returns its path."""
-    from actimetry.streaming.dau_stream import DauTable
     key = (spark.sparkContext.applicationId, sf)
     if key not in _TABLES:
         path = scratch_dir(spark, "dau-table")
         table = DauTable(spark, path, startup_logs(spark, sf).schema, tie_break=["seq"])
         table.process(startup_logs(spark, sf, before=SPLIT), 0)
-        ev = events(spark, sf).where(F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz"))
-        table.process(logs_from_events(ev, startup_only=True).select(*DAU_OUT), 1)
+        table.process(startup_logs(spark, sf, since=SPLIT), 1)
         _TABLES[key] = table.dau_path
     return _TABLES[key]
 
@@ -104,8 +104,7 @@ def _read_dau_table(spark, sf, dates=None) -> DataFrame:
 
 # ------------------------------------------------------------------------ sources
 def s1_stream_source(spark, sf):
-    from actimetry.plans.stream_checks import stream_logs_to_table
-    return stream_logs_to_table(spark, sf)
+    return stream_checks.stream_logs_to_table(spark, sf)
 
 
 def s2_raw_ingest(spark, sf):
@@ -129,9 +128,7 @@ def s5_order_scan(spark, sf):
 # -------------------------------------------------------------------------- sinks
 def k1_routed_sink(spark, sf):
     path = scratch_dir(spark, "routed")
-    lines = stamped_lines(spark, sf)
-    typed = lines.withColumn("type", json_field("value", "$.type"))
-    write_routed(with_topic(typed), path)
+    write_routed(stamped_lines(spark, sf), path)
     return spark.read.text(path).select(F.col("topic").cast("string").alias("topic"), "value")
 
 
@@ -247,10 +244,7 @@ def f3_metric_dispatch(spark, sf):
         if long is not None:
             parts.append(long.select(F.lit(mid).alias("id"), "period", "hour",
                                      F.col("value").cast("double").alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 # -------------------------------------------------------------------------- joins
@@ -297,8 +291,6 @@ def a5_gmv_total(spark, sf):
 
 def a5_gmv_daily_orders(spark, sf):
     """Daily order amount from the ``orders`` table (dates only, so no hours)."""
-    from actimetry.operators.metrics import gmv_daily
-    from actimetry.sources.tables import orders_from_orders_table
     return gmv_daily(orders_from_orders_table(read_table(spark, sf, "orders")))
 
 
@@ -322,45 +314,36 @@ def a9_new_device_hours(spark, sf):
 
 def a8_new_device_daily(spark, sf):
     """All-days form: new devices per first day ``(log_date, new_devices)``."""
-    fs = first_seen(dau(spark, sf))
-    return fs.groupBy(F.col("first_date").alias("log_date")).agg(F.count(F.lit(1)).alias("new_devices"))
+    return new_devices_by_day(first_seen(dau(spark, sf)))
 
 
 def a9_new_device_hours_all(spark, sf):
     """All-days form: new devices by first day and hour ``(log_date, log_hour, ct)``."""
-    fs = first_seen(dau(spark, sf))
-    return fs.groupBy(F.col("first_date").alias("log_date"), F.col("first_hour").alias("log_hour")) \
-        .agg(F.count(F.lit(1)).alias("ct"))
+    return new_devices_by_hour(first_seen(dau(spark, sf)))
 
 
 def a9_first_seen_table(spark, sf):
     """New devices by first day and hour from the incremental first-seen table:
     seeded from history up to the day before ``DATE``, then advanced by ``DATE``."""
-    from actimetry.streaming.first_seen import FirstSeenTable
     table = FirstSeenTable(spark, scratch_dir(spark, "first-seen"))
     table.build(dau(spark, sf, last=prev_day_str(DATE)), upto=prev_day_str(DATE))
     table.advance(dau(spark, sf, DATE), DATE)
-    return table.read().groupBy(F.col("first_date").alias("log_date"), F.col("first_hour").alias("log_hour")) \
-        .agg(F.count(F.lit(1)).alias("ct"))
+    return new_devices_by_hour(table.read())
 
 
 def a1_dau_total_sql(spark, sf):
-    from actimetry.plans.sql import dau_total_sql
     return dau_total_sql(spark, dau(spark, sf, DATE), DATE)
 
 
 def a2_dau_hours_sql(spark, sf):
-    from actimetry.plans.sql import dau_hours_sql
     return dau_hours_sql(spark, dau(spark, sf, DATE), DATE)
 
 
 def a5_gmv_total_sql(spark, sf):
-    from actimetry.plans.sql import gmv_total_sql
     return gmv_total_sql(spark, orders(spark, sf, DATE), DATE)
 
 
 def a6_gmv_hours_sql(spark, sf):
-    from actimetry.plans.sql import gmv_hours_sql
     return gmv_hours_sql(spark, orders(spark, sf, DATE), DATE)
 
 
@@ -377,10 +360,7 @@ def u2_realtime_hours(spark, sf):
     d, o = dau(spark, sf, last=DATE), orders(spark, sf, prev_day_str(DATE), DATE)
     parts = [to_json_doc(realtime_hours(m, d, o, DATE)).select(F.lit(m).alias("id"), "doc")
              for m in HOUR_IDS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ----------------------------------------------------------------------- quality
@@ -393,36 +373,30 @@ def q1_quarantine(spark, sf):
 
 # --------------------------------------------------------------------- streaming
 def r2_stream_dedup(spark, sf):
-    from actimetry.plans.stream_checks import stream_run
-    return stream_run(spark, sf).dau().select(*DAU_OUT)
+    return stream_checks.stream_run(spark, sf).dau().select(*DAU_OUT)
 
 
 def r2_stream_dropdup(spark, sf):
-    from actimetry.plans.stream_checks import stream_dropdup_keys
-    return stream_dropdup_keys(spark, sf)
+    return stream_checks.stream_dropdup_keys(spark, sf)
 
 
 def r2_stream_from_json(spark, sf):
-    from actimetry.plans.stream_checks import stream_from_json
-    return stream_from_json(spark, sf)
+    return stream_checks.stream_from_json(spark, sf)
 
 
 def a4_stream_stage_totals(spark, sf):
     """Per-batch counts observed inside the stream, summed over its batches:
     rows that arrived and rows that became new DAU rows."""
-    from actimetry.plans.stream_checks import stream_run
-    return stream_run(spark, sf).stats().agg(F.sum("rows_in").cast("long").alias("rows_in"),
+    return stream_checks.stream_run(spark, sf).stats().agg(F.sum("rows_in").cast("long").alias("rows_in"),
                                              F.sum("rows_new").cast("long").alias("rows_new"))
 
 
 def r7_stream_daily(spark, sf):
-    from actimetry.plans.stream_checks import stream_daily_counts
-    return stream_daily_counts(spark, sf)
+    return stream_checks.stream_daily_counts(spark, sf)
 
 
 def r7_stream_hours(spark, sf):
-    from actimetry.plans.stream_checks import stream_run
-    return stream_run(spark, sf).hours()
+    return stream_checks.stream_run(spark, sf).hours()
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

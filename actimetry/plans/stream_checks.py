@@ -15,7 +15,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 from actimetry.config import scratch_dir
 from actimetry.functions.timefmt import epoch_ms_from_ntz
 from actimetry.schemas import STARTUP_RAW, TOPIC_START
-from actimetry.sources.tables import logs_from_events, raw_lines_from_events, read_table
+from actimetry.sources.tables import (
+    LOG_COLUMNS as LOG_OUT, STARTUP_COLUMNS as DAU_OUT, logs_from_events, raw_lines_from_events,
+    read_table,
+)
 from actimetry.streaming.collector import (
     Collector, JsonDauConsumer, start_collector_stream, start_json_dau_stream,
 )
@@ -25,8 +28,6 @@ from actimetry.streaming.dau_stream import (
 )
 
 N_SLICES = 3
-DAU_OUT = ["seq", "mid", "uid", "type", "ts", "log_date", "log_hour"]
-LOG_OUT = ["seq", "mid", "uid", "type", "evid", "ts", "log_date", "log_hour"]
 _RUNS: dict = {}
 
 

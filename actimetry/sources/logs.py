@@ -61,28 +61,35 @@ def stored_before(run: str, batch_id: int):
     return ~((F.col("run") == F.lit(run)) & (F.col("batch_id") >= F.lit(int(batch_id))))
 
 
+def read_partitioned(spark: SparkSession, root: str, schema: T.StructType | str,
+                     column: str | None = None, values: list[str] | None = None) -> DataFrame:
+    """Read a partitioned Parquet table with an explicit schema (partition values keep
+    their declared types). With ``column``/``values`` only those ``column=value`` folders
+    are listed (a brace glob); if none exists yet the result is empty."""
+    root = root.rstrip("/")
+    reader = spark.read.schema(schema).option("basePath", root)
+    if column is None:
+        return reader.parquet(root)
+    values = sorted({v for v in values or [] if v is not None})
+    if not values:
+        return spark.createDataFrame([], schema)
+    try:
+        df = reader.parquet(f"{root}/{column}={{{','.join(values)}}}")
+    except AnalysisException as e:  # none of the folders exists yet
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+    return df.where(F.col(column).isin(values))
+
+
 def read_dau_table(spark: SparkSession, path: str, record: T.StructType,
                    dates: list[str] | None = None, before: tuple[str, int] | None = None) -> DataFrame:
-    """Scan the DAU table. With ``dates`` only those ``log_date=`` folders are listed (a
-    brace glob), so the per-batch read does not walk the whole table; ``before=(run,
-    batch_id)`` keeps what counts as stored for that batch (a partition filter). The
-    explicit schema keeps ``log_date`` text."""
+    """Scan the DAU table. With ``dates`` only those ``log_date=`` folders are listed, so
+    the per-batch read does not walk the whole table; ``before=(run, batch_id)`` keeps
+    what counts as stored for that batch (a partition filter). The explicit schema keeps
+    ``log_date`` text."""
     schema = dau_table_schema(record)
-    root = path.rstrip("/")
-    if dates is not None:
-        dates = sorted({d for d in dates if d is not None})
-        if not dates:
-            return spark.createDataFrame([], schema)
-        target = f"{root}/log_date={{{','.join(dates)}}}"
-        try:
-            df = spark.read.schema(schema).option("basePath", root).parquet(target)
-        except AnalysisException as e:  # none of the days has a folder yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-            return spark.createDataFrame([], schema)
-        df = df.where(F.col("log_date").isin(dates))
-    else:
-        df = spark.read.schema(schema).option("basePath", root).parquet(root)
+    df = read_partitioned(spark, path, schema, "log_date" if dates is not None else None, dates)
     if before is not None:
         df = df.where(stored_before(*before))
     return df

@@ -21,14 +21,21 @@ from actimetry.functions.timefmt import day_bounds, epoch_ms_from_ntz, with_date
 from actimetry.schemas import STARTUP_TYPE
 
 
+# Columns of the event-derived log records: every log, and startup logs (no ``evid``).
+LOG_COLUMNS = ["seq", "mid", "uid", "type", "evid", "ts", "log_date", "log_hour"]
+STARTUP_COLUMNS = ["seq", "mid", "uid", "type", "ts", "log_date", "log_hour"]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def events_in_days(events: DataFrame, first_date: str | None = None,
-                   last_date: str | None = None, before: str | None = None) -> DataFrame:
-    """Restrict raw events to whole days ``[first_date, last_date]`` and/or to ``ts < before``.
-    Both become comparisons on the raw column, i.e. Parquet pushed filters."""
+                   last_date: str | None = None, before: str | None = None,
+                   since: str | None = None) -> DataFrame:
+    """Restrict raw events to whole days ``[first_date, last_date]`` and/or to
+    ``since <= ts < before`` (wall-clock text). All become comparisons on the raw
+    column, i.e. Parquet pushed filters."""
     if first_date is not None or last_date is not None:
         lo, hi = day_bounds(first_date or last_date, last_date or first_date)
         if first_date is not None:
@@ -36,6 +43,8 @@ def events_in_days(events: DataFrame, first_date: str | None = None,
         events = events.where(F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
     if before is not None:
         events = events.where(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
+    if since is not None:
+        events = events.where(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
     return events
 
 

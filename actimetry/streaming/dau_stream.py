@@ -31,7 +31,7 @@ from pyspark.storagelevel import StorageLevel
 
 from actimetry.operators.dedup import anti_asof, anti_by_date, first_per_key
 from actimetry.sinks.files import init_table, spread_for_partitioned_write, write_by_batch
-from actimetry.sources.logs import dau_table_schema, read_dau_table
+from actimetry.sources.logs import dau_table_schema, read_dau_table, read_partitioned
 
 STATS_SCHEMA = T.StructType([
     T.StructField("rows_in", T.LongType()),
@@ -150,13 +150,12 @@ class DauTable:
 
     def hours(self, dates: list[str] | None = None) -> DataFrame:
         """Running DAU by hour ``(log_date, log_hour, ct)``: sum of the per-batch counts."""
-        h = self.spark.read.schema(HOURS_SCHEMA).option("basePath", self.hours_path).parquet(self.hours_path)
-        if dates is not None:
-            h = h.where(F.col("log_date").isin(list(dates)))
+        h = read_partitioned(self.spark, self.hours_path, HOURS_SCHEMA,
+                             "log_date" if dates is not None else None, dates)
         return h.groupBy("log_date", "log_hour").agg(F.sum("ct").cast("long").alias("ct"))
 
     def stats(self) -> DataFrame:
-        return self.spark.read.schema(STATS_SCHEMA).option("basePath", self.stats_path).parquet(self.stats_path)
+        return read_partitioned(self.spark, self.stats_path, STATS_SCHEMA)
 
 
 def start_dau_stream(logs: DataFrame, table: DauTable, checkpoint: str,
@@ -202,7 +201,7 @@ class DailyCountSink:
               .option("partitionOverwriteMode", "dynamic").partitionBy("log_date").parquet(self.path))
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema("dau long, log_date string").option("basePath", self.path).parquet(self.path)
+        return read_partitioned(spark, self.path, "dau long, log_date string")
 
 
 def start_daily_count_stream(logs: DataFrame, sink: DailyCountSink, checkpoint: str,

@@ -9,14 +9,14 @@ day rewrites its own folder (dynamic overwrite); days must be advanced in order.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from actimetry.operators.metrics import first_seen
+from actimetry.operators.metrics import first_seen, new_devices_by_hour
 from actimetry.sinks.files import init_table, spread_for_partitioned_write
+from actimetry.sources.logs import read_partitioned
 
 SCHEMA = T.StructType([
     T.StructField("mid", T.StringType()),
@@ -52,16 +52,7 @@ class FirstSeenTable:
                                F.col("log_date").alias("first_date")))
 
     def read(self, dates: list[str] | None = None, before: str | None = None) -> DataFrame:
-        if dates is not None:
-            target = f"{self.path}/first_date={{{','.join(sorted(set(dates)))}}}"
-            try:
-                df = self.spark.read.schema(SCHEMA).option("basePath", self.path).parquet(target)
-            except AnalysisException as e:
-                if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                    raise
-                return self.spark.createDataFrame([], SCHEMA)
-            return df.where(F.col("first_date").isin(list(dates)))
-        df = self.spark.read.schema(SCHEMA).option("basePath", self.path).parquet(self.path)
+        df = read_partitioned(self.spark, self.path, SCHEMA, "first_date" if dates is not None else None, dates)
         if before is not None:
             df = df.where(F.col("first_date") < F.lit(before))
         return df
@@ -70,6 +61,4 @@ class FirstSeenTable:
         return self.read([date]).agg(F.count(F.lit(1)).alias("new_devices"))
 
     def new_device_hours(self, dates: list[str]) -> DataFrame:
-        return self.read(dates).groupBy(F.col("first_date").alias("log_date"),
-                                        F.col("first_hour").alias("log_hour")) \
-            .agg(F.count(F.lit(1)).alias("ct"))
+        return new_devices_by_hour(self.read(dates))

@@ -1,29 +1,15 @@
 """Every registered query against its DuckDB oracle at sf0.001 (the driver runs sf0.01)."""
 
-import math
-
 import duckdb
 import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
+from tools.oracle_check import canon as _canon
 
 TABLES = ["events", "orders"]
 
 
-def _norm(v):
-    if v is None:
-        return "NULL"
-    if isinstance(v, float):
-        return repr(round(v, 9)) if not math.isnan(v) else "NaN"
-    return str(v)
-
-
-def _canon(rows, cols):
-    idx = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted(tuple(_norm(r[i]) for i in idx) for r in rows)
-
-
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
