@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from actimetry.llm import secret_scan
+from actimetry.llm import simhash, secret_scan
 from actimetry.llm.common import table
 
 
@@ -12,5 +12,9 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_secret_scan,)}
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op6_simhash_near_dedup, op8_secret_scan,)}
 ORACLE: dict[str, str] = {}
