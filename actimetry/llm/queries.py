@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from actimetry.llm import simhash, secret_scan
+from actimetry.llm import decontaminate, simhash, secret_scan
 from actimetry.llm.common import table
 
 
@@ -16,5 +16,9 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_simhash_near_dedup, op8_secret_scan,)}
-ORACLE: dict[str, str] = {}
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op3_decontaminate, op6_simhash_near_dedup, op8_secret_scan,)}
+ORACLE: dict[str, str] = {"op3_decontaminate": decontaminate.REPORT_SQL}
