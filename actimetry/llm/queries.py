@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from actimetry.llm import decontaminate, simhash, secret_scan
+from actimetry.llm import quality, decontaminate, simhash, secret_scan
 from actimetry.llm.common import table
 
 
@@ -20,5 +20,9 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op6_simhash_near_dedup, op8_secret_scan,)}
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op10_quality_classifier, op3_decontaminate, op6_simhash_near_dedup, op8_secret_scan,)}
 ORACLE: dict[str, str] = {"op3_decontaminate": decontaminate.REPORT_SQL}
