@@ -129,9 +129,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int
                     "doc_id long, label double, slots array<int>, vals array<float>")
 
     def fit(part: pa.Table) -> pa.Table:
-        part = part.sort_by([("h", "ascending"), ("doc_id", "ascending")])
-        w = ftrl([(np.array(s, dtype=np.int32), np.array(v, dtype=np.float32), y)
-                  for s, v, y in zip(part["slots"].to_pylist(), part["vals"].to_pylist(), part["label"].to_pylist())])
+        part = part.sort_by([("h", "ascending"), ("doc_id", "ascending")]).combine_chunks()
+        slots, values = (part[c].combine_chunks() for c in ("slots", "vals"))
+        at = slots.offsets.to_numpy()
+        slots, values = slots.values.to_numpy(), values.values.to_numpy()
+        w = ftrl([(slots[i:j], values[i:j], y) for i, j, y in zip(at, at[1:], part["label"].to_pylist())])
         at = np.flatnonzero(w)
         return pa.table({"slot": pa.array(at.astype(np.int32)), "w": w[at]})
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from actimetry.llm import quality, decontaminate, simhash, secret_scan
+from actimetry.llm import mixing, quality, decontaminate, simhash, secret_scan
 from actimetry.llm.common import table
 
 
@@ -24,5 +24,9 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op10_quality_classifier, op3_decontaminate, op6_simhash_near_dedup, op8_secret_scan,)}
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_mixing, op10_quality_classifier, op3_decontaminate, op6_simhash_near_dedup, op8_secret_scan,)}
 ORACLE: dict[str, str] = {"op3_decontaminate": decontaminate.REPORT_SQL}
