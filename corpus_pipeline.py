@@ -1,19 +1,50 @@
-"""The corpus pipeline: STAGES in order over ``documents``, each written and read again."""
+"""The corpus pipeline: STAGES in order over ``documents``, each written and read again.
+
+1. quality classifier: documents scored under the threshold go;
+2. SimHash near-dedup: the smallest doc_id of each group of linked fingerprints stays;
+3. benchmark decontamination: documents that hold a window of a test item go;
+4. secret scans: every secret found is replaced by a mark in the text, all documents stay;
+5. mixing: documents are drawn by probabilities raked to source, language and topic targets.
+
+All stages but the last return the columns of ``documents``; the last adds mix_topic, mix_weight and
+mix_copies. No stage can be expressed in plain SQL as a whole (a trained model, components, an
+iterated fit), so ORACLE_SQL is None and the stages are tested against brute force.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from actimetry.llm import secret_scan
+from actimetry.llm import decontaminate, mixing, quality, secret_scan, simhash
 from actimetry.llm.common import materialise, table
 
-def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every secret found is replaced by a mark; all documents stay."""
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"), quality.THRESHOLD)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs, simhash.SHINGLE, simhash.DISTANCE)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"), decontaminate.WINDOW, max_coverage=0.0)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secret_scan.redact(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.sample(docs)
+
+
 STAGES = [
-    ("secret_scans", drop_secrets),
+    ("quality_classifier", keep_quality),
+    ("simhash_near_dedup", drop_near_copies),
+    ("benchmark_decontamination", drop_contaminated),
+    ("secret_scans", mask_secrets),
+    ("mixing", mix_sources),
 ]
 ORACLE_SQL = None
 
