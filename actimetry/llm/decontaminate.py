@@ -19,10 +19,12 @@ kept by ``remove``.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -188,13 +190,17 @@ def find(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, limit: int = BL
     done = docs.withColumns({"n_words__": F.lit(0).cast("long"), "hits__": F.array().cast("array<int>"),
                              "items__": F.array().cast("array<string>")})
     for k, automaton in enumerate(blocks(benchmark, n, limit)):
-        sent = spark.sparkContext.broadcast(automaton)
+        # pickled by value, so that executors need not have this package
+        sent = spark.sparkContext.broadcast(cloudpickle.dumps(automaton))
+        loaded: list[Automaton] = []
 
-        def run(c, sent=sent):
+        def run(c, sent=sent, loaded=loaded):
+            if not loaded:
+                loaded.append(pickle.loads(sent.value))
             count, hits, items = [], [], []
             for text, before, names in zip(c["text"], c["hits__"], c["items__"]):
                 words = words_of(text.encode() if text else None)
-                hit, found = sent.value.scan(words)
+                hit, found = loaded[0].scan(words)
                 if hit is not None:
                     for a, b in zip(before[::2], before[1::2]):
                         hit[a:b] = True
@@ -250,7 +256,6 @@ def remove(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, min_span: int
     return done
 
 
-
 REPORT_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
              'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
