@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from actimetry.llm import merkle, mixing, quality, decontaminate, simhash, secret_scan
+from actimetry.llm import suffix_dedup, merkle, mixing, quality, decontaminate, simhash, secret_scan
 from actimetry.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op4_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_merkle_fingerprint, op2_mixing, op10_quality_classifier, op3_decontaminate, op6_simhash_near_dedup, op8_secret_scan,)}
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op9_suffix_dedup, op4_merkle_fingerprint, op2_mixing, op10_quality_classifier, op3_decontaminate, op6_simhash_near_dedup, op8_secret_scan,)}
 ORACLE: dict[str, str] = {"op3_decontaminate": decontaminate.REPORT_SQL,
                           "op4_merkle_fingerprint": merkle.REPORT_SQL}
