@@ -9,7 +9,8 @@ crosses the network is records of a block: per distinct string one record, whate
    smaller document has the same one, every string that starts in it is repeated. A string's first document
    always holds it in a chunk that no smaller document has, so only these stay in play.
 2. Every string in play has a key, the least hash among its parts of ``K`` bytes; equal strings have equal
-   keys. Strings whose key no other document has are unique.
+   keys. Strings whose key no other document has are unique. Neighbouring strings with one key are a run; a run that a
+   smaller document has in the same bytes is repeated, and where all runs of a key are the same nothing is left to sort.
 3. The suffixes that are left are sorted in their block, deep-shallow: multikey quicksort on
    characters of eight bytes to ``SHALLOW`` bytes, then a blind trie for each group that is still equal. Suffixes that
    share ``LENGTH`` bytes are one string; the smallest doc_id of each string is found over all blocks by its 128-bit hash.
@@ -32,19 +33,21 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from actimetry.config import scratch_dir
 from actimetry.llm.common import materialise
 
 LENGTH = 50
-K = 24                      # bytes of a key part: LENGTH - K + 1 parts to a string
-CHUNK = 64                  # mean bytes of a chunk, a power of two
+K = 24                      # bytes of a key part, three words of eight: LENGTH - K + 1 parts to a string
+CHUNK = 128                  # mean bytes of a chunk, a power of two
 SHALLOW = 16
-BLOCK = 1_000_000
-BUCKET = 64_000_000         # bytes of text for each bucket of an exchange
+BLOCK = 500_000
+BUCKET = 16_000_000         # bytes of text for each bucket of an exchange
 NO_ID = -2 ** 63
+MIXED = 2 ** 63 - 1         # marks the key of several runs in an answer
 
 REC = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8")])
-_M = 0x9E3779B97F4A7C15 | 5
-_MINV = pow(_M, -1, 1 << 64)
+KEY_BYTES = 5               # of a key that are sent; equal keys stay equal
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
 # ---- one block -----------------------------------------------------------------------------
@@ -63,24 +66,18 @@ class Block:
         self.start = np.arange(self.n) + LENGTH <= self.end[self.owner] if self.n else np.zeros(0, bool)
 
     def parts(self) -> np.ndarray:
-        """Mixed hash of the ``K`` bytes from each position (the last ones of the block left out)."""
-        data = np.frombuffer(self.raw, dtype=np.uint8)
-        byte = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
-        h, width = byte[data], 1
-        power = {1: h}
-        while width * 2 <= K:
-            p = power[width]
-            power[width * 2] = p[:-width] * np.uint64(pow(_M, width, 1 << 64)) + p[width:]
-            width *= 2
-        h, done = power[width], width
-        for w in sorted(power, reverse=True):
-            while done + w <= K:
-                m = self.n - done - w + 1
-                h = h[:m] * np.uint64(pow(_M, w, 1 << 64)) + power[w][done:done + m]
-                done += w
+        """Mixed hash of the ``K`` bytes (three words of eight) from each position, the last ones left out."""
+        m = self.n - K + 1
+        word = np.ndarray(shape=(self.n - 7,), dtype="<u8", buffer=self.raw, strides=(1,))
+        h = np.zeros(m, dtype=np.uint64)
+        for i, odd in enumerate(_ODD):
+            h ^= h >> np.uint64(31)
+            h += word[8 * i:8 * i + m]
+            h *= np.uint64(odd)
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
-        return h ^ (h >> np.uint64(29))
+        h ^= h >> np.uint64(29)
+        return h
 
     def chunks(self, h: np.ndarray) -> list[tuple[int, int, int]]:
         """(first start, last start + 1, document) of every chunk that strings start in."""
@@ -157,24 +154,87 @@ def after_chunks(block: Block, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return dup, play, key
 
 
+def _runs(block: Block, play: np.ndarray, key: np.ndarray):
+    """Runs of starts in play that share their key and document: (first, last + 1, key, doc_id)."""
+    at = np.flatnonzero(play)
+    if not len(at):
+        return at, at, np.zeros(0, np.uint64), at
+    k, doc = key[at], block.owner[at]
+    lead = np.flatnonzero(np.concatenate(
+        ([True], (k[1:] != k[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1))))
+    end = at[np.concatenate((lead[1:], [len(at)])) - 1] + 1
+    return at[lead], end, k[lead], block.ids[doc[lead]]
+
+
+def _short(keys: np.ndarray) -> np.ndarray:
+    # keys are least hashes and crowd at the low end: an odd factor spreads them
+    return (keys * np.uint64(_ODD[1])) >> np.uint64(64 - 8 * KEY_BYTES)
+
+
 def keys_in_play(block: Block, first: np.ndarray) -> np.ndarray:
     _, play, key = after_chunks(block, first)
-    return np.unique(key[np.flatnonzero(play)]) if len(key) else np.zeros(0, np.uint64)
+    return np.unique(_short(_runs(block, play, key)[2]))
+
+
+def _several(group: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The groups that have more than one value, sorted."""
+    if not len(group):
+        return group
+    order = np.lexsort((value, group))
+    g, v = group[order], value[order]
+    head = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
+    tail = np.concatenate((head[1:], [len(g)])) - 1
+    return g[head][v[head] != v[tail]]
 
 
-def candidates(block: Block, first: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(repeated starts, positions left): in play, with a key that another block or another document of this one has."""
+def shared_runs(block: Block, first: np.ndarray, shared: np.ndarray):
+    """(repeated starts, runs): the runs in play whose key another block or another document of this one has."""
     dup, play, key = after_chunks(block, first)
-    at = np.flatnonzero(play)
-    if not len(at):
-        return dup, at
-    k, doc = key[at], block.owner[at]
-    order = np.lexsort((doc, k))
-    k2, d2 = k[order], doc[order]
-    lead = np.flatnonzero(np.concatenate(([True], k2[1:] != k2[:-1])))
-    tail = np.concatenate((lead[1:], [len(k2)])) - 1
-    local = k2[lead][block.ids[d2[lead]] != block.ids[d2[tail]]]
-    return dup, at[np.isin(k, np.union1d(local, shared))]
+    s, e, k, doc = _runs(block, play, key)
+    left = np.isin(_short(k), np.union1d(_several(_short(k), doc), shared))
+    return dup, s[left], e[left], k[left], doc[left]
+
+
+def run_hashes(block: Block, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    view, h64 = memoryview(block.raw), xxhash.xxh3_64_intdigest
+    return np.array([h64(view[i:j + LENGTH - 1]) for i, j in zip(s.tolist(), e.tolist())], dtype=np.uint64)
+
+
+def run_records(block: Block, first: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """One record per different run: its key, the hash of the bytes that its strings reach, its smallest doc_id."""
+    _, s, e, k, doc = shared_runs(block, first, shared)
+    rec = np.zeros(len(s), dtype=REC)
+    rec["a"], rec["b"], rec["doc"] = k, run_hashes(block, s, e), doc
+    return _merge(rec)
+
+
+def candidates(block: Block, first: np.ndarray, shared: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(repeated starts, positions left). A run that a smaller document has is repeated; where all runs of a
+    key are the same, nothing is left; else the strings of the first documents' runs have to be sorted. ``runs`` has the
+    records of this block whose key has several runs anywhere, or that a smaller document elsewhere has."""
+    dup, s, e, k, doc = shared_runs(block, first, shared)
+    if not len(s):
+        return dup, s
+    h = run_hashes(block, s, e)
+    own = np.zeros(len(s), dtype=REC)
+    own["a"], own["b"], own["doc"] = k, h, doc
+    least = _lookup(_merge(np.concatenate((own, runs))))
+    raw = own.tobytes()
+    low = np.array([least[raw[i:i + 16]] for i in range(0, len(raw), REC.itemsize)], dtype=np.int64)
+    again = low < doc
+    mixed = np.isin(k, np.union1d(_several(k, h), _several_keys(runs)))
+    at = []
+    for i, j, gone, left in zip(s.tolist(), e.tolist(), again.tolist(), mixed.tolist()):
+        if gone:
+            dup[i:j] = True
+        elif left:
+            at.append(np.arange(i, j))
+    return dup, np.concatenate(at) if at else np.zeros(0, np.int64)
+
+
+def _several_keys(runs: np.ndarray) -> np.ndarray:
+    """Keys told to have several runs: their records come with a marker record of hash 0 and the largest doc."""
+    return runs["a"][runs["doc"] == MIXED]
 
 
 # ---- deep-shallow sorting ------------------------------------------------------------------
@@ -221,50 +281,54 @@ class BlindTrie:
                 yield node[1]
 
 
-def sorted_groups(raw: bytes, at: np.ndarray) -> list[np.ndarray]:
-    """The positions ``at`` in the order of the LENGTH bytes there, equal strings as one group."""
+def sorted_groups(raw: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The positions ``at`` in the order of the LENGTH bytes there, and where each group of equal strings begins."""
     if not len(at):
-        return []
-    data = np.frombuffer(raw, dtype=np.uint8)
-    order, group = np.arange(len(at)), np.zeros(len(at), dtype=np.int64)
+        return at, at
+    word = np.ndarray(shape=(len(raw) - 7,), dtype=">u8", buffer=raw, strides=(1,))
+    pos, group = at, np.zeros(len(at), dtype=np.int64)
     for depth in range(0, SHALLOW, 8):              # quicksort on the next eight bytes, all groups at once
-        word = np.zeros(len(at), dtype=np.uint64)
-        for b in range(8):
-            word = (word << np.uint64(8)) | data[at[order] + depth + b].astype(np.uint64)
-        inner = np.lexsort((word, group))
-        order, word, group = order[inner], word[inner], group[inner]
-        new = np.concatenate(([False], (group[1:] != group[:-1]) | (word[1:] != word[:-1])))
-        group = np.cumsum(new)
-    pos = at[order]
-    cut = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True])))
-    out = []
-    for s, e in zip(cut[:-1].tolist(), cut[1:].tolist()):
-        if e - s == 1:
-            out.append(pos[s:e])
-            continue
+        char = word[pos + depth].astype(np.uint64)
+        order = np.lexsort((char, group))
+        pos, char, group = pos[order], char[order], group[order]
+        group = np.cumsum(np.concatenate(([False], (group[1:] != group[:-1]) | (char[1:] != char[:-1]))))
+    lead = np.concatenate(([True], group[1:] != group[:-1]))
+    cut = np.concatenate((np.flatnonzero(lead), [len(pos)]))
+    several = np.flatnonzero(np.diff(cut) > 1)
+    for s, e in zip(cut[several].tolist(), cut[several + 1].tolist()):
         trie = BlindTrie()
         for p in pos[s:e].tolist():
             trie.add(raw[p + SHALLOW:p + LENGTH], p)
-        out += [np.array(g, dtype=np.int64) for g in trie.groups()]
-    return out
+        for items in trie.groups():
+            pos[s:s + len(items)] = items
+            lead[s] = True
+            s += len(items)
+    return pos, np.flatnonzero(lead)
+
 
+def _string_digests(block: Block, pos: np.ndarray, lead: np.ndarray) -> list[bytes]:
+    raw = block.raw
+    return [_hash(raw[p:p + LENGTH]) for p in pos[lead].tolist()]
 
-def string_records(block: Block, first: np.ndarray, shared: np.ndarray) -> np.ndarray:
+
+def string_records(block: Block, first: np.ndarray, shared: np.ndarray, runs: np.ndarray) -> np.ndarray:
     """One record per string that is left: its hash and its smallest doc_id in the block."""
-    _, at = candidates(block, first, shared)
-    groups = sorted_groups(block.raw, at)
-    return _least([_hash(block.raw[g[0]:g[0] + LENGTH]) for g in groups],
-                  np.array([block.ids[block.owner[g]].min() for g in groups], dtype=np.int64))
+    pos, lead = sorted_groups(block.raw, candidates(block, first, shared, runs)[1])
+    if not len(pos):
+        return np.zeros(0, REC)
+    return _least(_string_digests(block, pos, lead), np.minimum.reduceat(block.ids[block.owner[pos]], lead))
 
 
-def removed(block: Block, first: np.ndarray, shared: np.ndarray, strings: np.ndarray) -> np.ndarray:
+def removed(block: Block, first: np.ndarray, shared: np.ndarray, runs: np.ndarray, strings: np.ndarray) -> np.ndarray:
     """Which bytes of the block go."""
-    dup, at = candidates(block, first, shared)
-    elsewhere = _lookup(strings)
-    for g in sorted_groups(block.raw, at):
-        ids = block.ids[block.owner[g]]
-        least = min(int(ids.min()), elsewhere.get(_hash(block.raw[g[0]:g[0] + LENGTH]), 2 ** 63))
-        dup[g[ids > least]] = True
+    dup, at = candidates(block, first, shared, runs)
+    pos, lead = sorted_groups(block.raw, at)
+    if len(pos):
+        elsewhere = _lookup(strings)
+        ids = block.ids[block.owner[pos]]
+        least = np.minimum(np.minimum.reduceat(ids, lead), np.array(
+            [elsewhere.get(d, 2 ** 63 - 1) for d in _string_digests(block, pos, lead)], dtype=np.int64))
+        dup[pos[ids > np.repeat(least, np.diff(np.concatenate((lead, [len(pos)]))))]] = True
     step = np.zeros(block.n + 1, dtype=np.int32)
     s = np.flatnonzero(dup)
     step[s] += 1
@@ -307,8 +371,18 @@ def _records(parts) -> np.ndarray:
     return np.concatenate([np.frombuffer(p, dtype=REC) for p in parts]) if parts else np.zeros(0, REC)
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    return keys.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+
+
+def _unpack_keys(part: bytes) -> np.ndarray:
+    out = np.zeros((len(part) // KEY_BYTES, 8), dtype=np.uint8)
+    out[:, :KEY_BYTES] = np.frombuffer(part, dtype=np.uint8).reshape(-1, KEY_BYTES)
+    return out.view("<u8").reshape(-1)
+
+
 def _keys(parts) -> np.ndarray:
-    return np.concatenate([np.frombuffer(p, dtype=np.uint64) for p in parts]) if parts else np.zeros(0, np.uint64)
+    return np.concatenate([_unpack_keys(p) for p in parts]) if parts else np.zeros(0, np.uint64)
 
 
 def _per_block(blocks: DataFrame, sides: list[DataFrame], fn, schema: str) -> DataFrame:
@@ -333,12 +407,12 @@ def _per_block(blocks: DataFrame, sides: list[DataFrame], fn, schema: str) -> Da
     return df.select("block", "ids", "sizes", "blob", *(f"side{i}" for i in range(n))).mapInArrow(run, schema)
 
 
-def _bucketed(block: int, sorted_values: np.ndarray, high: np.ndarray, buckets: int):
-    """Rows (bucket, block, bytes) of values sorted by ``high``, dealt by equal ranges of it."""
-    edge = np.searchsorted(high, np.array([(b << 64) // buckets for b in range(1, buckets)], dtype=np.uint64))
-    for b, part in enumerate(np.split(sorted_values, edge)):
+def _bucketed(block: int, values: np.ndarray, high: np.ndarray, bits: int, buckets: int, pack=lambda v: v.tobytes()):
+    """Rows (bucket, block, bytes) of values sorted by ``high``, dealt by equal ranges of its ``bits`` bits."""
+    edge = np.searchsorted(high, np.array([(b << bits) // buckets for b in range(1, buckets)], dtype=np.uint64))
+    for b, part in enumerate(np.split(values, edge)):
         if len(part):
-            yield b, block, part.tobytes()
+            yield b, block, pack(part)
 
 
 def _exchange(rows: DataFrame, fn) -> DataFrame:
@@ -361,61 +435,108 @@ def _exchange(rows: DataFrame, fn) -> DataFrame:
     return rows.repartition(n, "bucket").mapInArrow(run, "block long, part binary")
 
 
-def _smaller_elsewhere(parts):
-    """For each block the records whose smallest document over all blocks is smaller than its own."""
+def _grouped(parts):
+    """All records of a bucket in order: (record, its block, first of its kind, smallest doc of its kind)."""
     recs = [np.frombuffer(p, dtype=REC) for _, p in parts]
-    every = np.concatenate(recs)
     who = np.repeat(np.arange(len(recs)), [len(r) for r in recs])
+    every = np.concatenate(recs)
     order = np.lexsort((every["doc"], every["b"], every["a"]))
-    s = every[order]
+    s, who = every[order], who[order]
     lead = np.concatenate(([True], (s["a"][1:] != s["a"][:-1]) | (s["b"][1:] != s["b"][:-1])))
-    least = s["doc"][np.flatnonzero(lead)][np.cumsum(lead) - 1]
-    hit = np.flatnonzero(least < s["doc"])
+    return s, who, lead, s["doc"][np.flatnonzero(lead)][np.cumsum(lead) - 1]
+
+
+def _answers(parts, who: np.ndarray, out: np.ndarray):
+    order = np.argsort(who, kind="stable")
+    who, out = who[order], out[order]
+    cut = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1], [True]))) if len(who) else [0]
+    for i, j in zip(cut[:-1], cut[1:]):
+        yield parts[who[i]][0], out[i:j].tobytes()
+
+
+def _smaller_elsewhere(parts):
+    """For each block the records whose smallest document over all blocks is smaller than its own."""
+    s, who, _, least = _grouped(parts)
+    hit = least < s["doc"]
+    out = s[hit].copy()
+    out["doc"] = least[hit]
+    yield from _answers(parts, who[hit], out)
+
+
+def _smaller_or_mixed(parts):
+    """The same, and a marker for each of the block's keys that has several runs."""
+    s, who, lead, least = _grouped(parts)
+    hit = least < s["doc"]
     out = s[hit].copy()
     out["doc"] = least[hit]
-    by = who[order][hit]
-    for w in np.unique(by):
-        yield parts[w][0], out[by == w].tobytes()
+    kind = np.concatenate(([True], s["a"][1:] != s["a"][:-1]))
+    number = np.cumsum(kind) - 1
+    many = np.bincount(number[lead]) > 1
+    pair = np.unique(np.stack((who[many[number]], np.flatnonzero(kind)[number[many[number]]])), axis=1)
+    mark = np.zeros(pair.shape[1], dtype=REC)
+    mark["a"], mark["doc"] = s["a"][pair[1]], MIXED
+    yield from _answers(parts, np.concatenate((who[hit], pair[0])), np.concatenate((out, mark)))
 
 
 def _in_two_blocks(parts):
     """For each block its keys that another block has too."""
-    keys = [np.frombuffer(p, dtype=np.uint64) for _, p in parts]
+    keys = [_unpack_keys(p) for _, p in parts]
     value, count = np.unique(np.concatenate(keys), return_counts=True)
     shared = value[count > 1]
     for (block, _), k in zip(parts, keys):
-        yield block, k[np.isin(k, shared, assume_unique=True)].tobytes()
+        yield block, _pack_keys(k[np.isin(k, shared, assume_unique=True)])
+
+
+def _by_block(blocks: DataFrame) -> DataFrame:
+    """The blocks as a bucketed table in the shared folder: the joins below deal only their small sides."""
+    spark = blocks.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"suffix_blocks_{uuid.uuid4().hex}"
+    (blocks.repartition(n, "block").write.bucketBy(n, "block").option("path", scratch_dir(spark, "suffix-blocks") + "/t")
+     .format("parquet").saveAsTable(name))
+    return spark.table(name)
 
 
 def report(docs: DataFrame) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans and the digest of the bytes kept."""
-    blocks = materialise(pack(docs), "suffix-blocks")
+    blocks = _by_block(pack(docs))
     total = blocks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     buckets = max(16, -(-total // BUCKET))
 
     def chunks(block, ids, b):
         rec = chunk_records(b)
-        return _bucketed(block, rec, rec["a"], buckets)
+        return _bucketed(block, rec, rec["a"], 64, buckets)
 
     def keys(block, ids, b, first):
         k = keys_in_play(b, _records(first))
-        return _bucketed(block, k, k, buckets)
+        return _bucketed(block, k, k, 8 * KEY_BYTES, buckets, _pack_keys)
 
-    def strings(block, ids, b, first, shared):
-        rec = string_records(b, _records(first), _keys(shared))
-        return _bucketed(block, rec, rec["a"], buckets)
+    def same_runs(block, ids, b, first, shared):
+        rec = run_records(b, _records(first), _keys(shared))
+        # keys are least hashes and lie at the low end: the hash of the key deals them evenly
+        high = rec["a"] * np.uint64(_ODD[0])
+        order = np.argsort(high)
+        return _bucketed(block, rec[order], high[order], 64, buckets)
 
-    def final(block, ids, b, first, shared, least):
-        gone = removed(b, _records(first), _keys(shared), _records(least))
+    def strings(block, ids, b, first, shared, runs):
+        rec = string_records(b, _records(first), _keys(shared), _records(runs))
+        return _bucketed(block, rec, rec["a"], 64, buckets)
+
+    def final(block, ids, b, first, shared, runs, least):
+        gone = removed(b, _records(first), _keys(shared), _records(runs), _records(least))
         data = np.frombuffer(b.raw, dtype=np.uint8)
         for i, s, e in zip(ids, b.begin.tolist(), b.end.tolist()):
             g = gone[s:e]
             spans = int(np.count_nonzero(np.diff(np.concatenate(([0], g.view(np.int8)))) == 1))
             yield i, e - s, int(g.sum()), spans, hashlib.sha256(data[s:e][~g].tobytes()).hexdigest()
 
-    rows = "bucket long, block long, part binary"
-    first = materialise(_exchange(_per_block(blocks, [], chunks, rows), _smaller_elsewhere), "suffix-chunks")
-    shared = materialise(_exchange(_per_block(blocks, [first], keys, rows), _in_two_blocks), "suffix-keys")
-    least = materialise(_exchange(_per_block(blocks, [first, shared], strings, rows), _smaller_elsewhere), "suffix-strings")
-    return _per_block(blocks, [first, shared, least], final,
+    def asked(sides, ask, answer, name):
+        rows = _per_block(blocks, sides, ask, "bucket long, block long, part binary")
+        return materialise(_exchange(rows, answer), f"suffix-{name}")
+
+    first = asked([], chunks, _smaller_elsewhere, "chunks")
+    shared = asked([first], keys, _in_two_blocks, "keys")
+    runs = asked([first, shared], same_runs, _smaller_or_mixed, "runs")
+    least = asked([first, shared, runs], strings, _smaller_elsewhere, "strings")
+    return _per_block(blocks, [first, shared, runs, least], final,
                       "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
