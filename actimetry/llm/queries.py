@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from actimetry.llm import url_trust, suffix_dedup, merkle, mixing, quality, decontaminate, simhash, secret_scan
+from actimetry.llm import personal_data, toxicity, url_trust, suffix_dedup, merkle, mixing, quality, decontaminate, simhash, secret_scan
 from actimetry.llm.common import table
 
 
@@ -40,6 +40,14 @@ def op1_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_trust.report(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_trust, op9_suffix_dedup, op4_merkle_fingerprint, op2_mixing, op10_quality_classifier, op3_decontaminate, op6_simhash_near_dedup, op8_secret_scan,)}
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op7_personal_data, op5_toxicity, op1_url_trust, op9_suffix_dedup, op4_merkle_fingerprint, op2_mixing, op10_quality_classifier, op3_decontaminate, op6_simhash_near_dedup, op8_secret_scan,)}
 ORACLE: dict[str, str] = {"op1_url_trust": url_trust.REPORT_SQL, "op3_decontaminate": decontaminate.REPORT_SQL,
                           "op4_merkle_fingerprint": merkle.REPORT_SQL}
