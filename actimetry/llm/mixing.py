@@ -68,20 +68,16 @@ def with_cells(docs: DataFrame, topics: int = TOPICS, keep: list[str] | None = N
 def _target(cells: DataFrame, dim: str, want: dict | float) -> DataFrame:
     """(value, goal): tokens that each value of ``dim`` should have."""
     own = cells.groupBy(F.col(dim).alias("value")).agg(F.sum("tokens").cast("double").alias("t"))
-    total = own.agg(F.sum("t").alias("total"))
     if isinstance(want, dict):
-        listed = F.create_map(*[F.lit(x) for kv in want.items() for x in (str(kv[0]), float(kv[1]))]) if want \
-            else F.lit(None).cast("map<string,double>")
-        own = own.withColumn("share", listed[F.col("value")])
-        rest = own.where("share IS NULL").agg(F.sum("t").alias("rest"))
+        listed = F.coalesce(*[F.when(F.col("value") == str(v), F.lit(float(x))) for v, x in want.items()])
+        own = own.withColumn("share", listed)
+        rest = own.where("share IS NULL").agg(F.sum("t")).first()[0]
         left = max(0.0, 1.0 - sum(want.values()))
-        own = own.join(F.broadcast(rest)).withColumn("g", F.coalesce("share", F.col("t") / F.col("rest") * left))
+        own = own.withColumn("g", F.coalesce("share", F.col("t") / F.lit(rest) * left, F.lit(0.0)))
     else:
         own = own.withColumn("g", F.when(F.col("t") > 0, F.pow("t", F.lit(float(want)))).otherwise(0.0))
-    # both broadcast sides are one row
-    scale = own.agg(F.sum("g").alias("gs"))
-    return own.join(F.broadcast(scale)).join(F.broadcast(total)).select(
-        "value", (F.col("g") / F.col("gs") * F.col("total")).alias("goal"))
+    sums = own.agg(F.sum("t").alias("t"), F.sum("g").alias("g")).first()
+    return own.select("value", (F.col("g") / F.lit(sums["g"] or 1.0) * F.lit(sums["t"] or 0.0)).alias("goal"))
 
 
 def rake(cells: DataFrame, targets: dict | None = None, sweeps: int = SWEEPS,
@@ -122,30 +118,34 @@ def rake(cells: DataFrame, targets: dict | None = None, sweeps: int = SWEEPS,
 
 
 def _drawn(df: DataFrame, rate: float, seed: int) -> DataFrame:
-    """``df`` (doc_id, weight) with expected and copies."""
-    expected = F.lit(float(rate)) * F.col("weight")
+    """``df`` (doc_id, weight__) with expected__ and copies__."""
+    expected = F.lit(float(rate)) * F.col("weight__")
     u = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    return (df.withColumn("expected", expected)
-            .withColumn("copies", (F.floor("expected") + (u < F.col("expected") - F.floor("expected")).cast("long")).cast("long")))
+    whole = F.floor("expected__")
+    return (df.withColumn("expected__", expected)
+            .withColumn("copies__", (whole + (u < F.col("expected__") - whole).cast("long")).cast("long")))
 
 
-def _weights(parts: DataFrame, targets: dict | None) -> DataFrame:
+def _weights(parts: DataFrame, targets: dict | None, sweeps: int) -> DataFrame:
     cells = materialise(parts.groupBy("source__", "lang__", "topic__").agg(F.sum("n_tokens__").alias("tokens")), "mix-cells")
-    return materialise(rake(cells, targets).select("source__", "lang__", "topic__", "weight"), "mix-weights")
+    return materialise(rake(cells, targets, sweeps).select("source__", "lang__", "topic__", F.col("weight").alias("weight__")), "mix-weights")
 
 
-def report(docs: DataFrame, targets: dict | None = None, rate: float = 0.5, seed: int = SEED) -> DataFrame:
+def report(docs: DataFrame, targets: dict | None = None, rate: float = 0.5, seed: int = SEED,
+           sweeps: int = SWEEPS) -> DataFrame:
     """Every document with its cell, its weight, its expected and its drawn number of copies."""
     parts = materialise(with_cells(docs, keep=["doc_id"]), "mix-parts")
-    weights = _weights(parts, targets)
+    weights = _weights(parts, targets, sweeps)
     done = _drawn(parts.join(weights, ["source__", "lang__", "topic__"]), rate, seed)
     return done.select("doc_id", F.col("source__").alias("source"), F.col("lang__").alias("lang"),
-                       F.col("topic__").alias("topic"), F.col("n_tokens__").alias("n_tokens"), "weight", "expected", "copies")
+                       F.col("topic__").alias("topic"), F.col("n_tokens__").alias("n_tokens"), F.col("weight__").alias("weight"),
+                       F.col("expected__").alias("expected"), F.col("copies__").alias("copies"))
 
 
-def sample(docs: DataFrame, targets: dict | None = None, rate: float = 1.0, seed: int = SEED) -> DataFrame:
+def sample(docs: DataFrame, targets: dict | None = None, rate: float = 1.0, seed: int = SEED,
+           sweeps: int = SWEEPS) -> DataFrame:
     """The drawn documents, each once, with ``copies`` beside their own columns."""
-    weights = _weights(with_cells(docs, keep=["doc_id"]), targets)
+    weights = _weights(with_cells(docs, keep=["doc_id"]), targets, sweeps)
     done = _drawn(with_cells(docs).join(weights, ["source__", "lang__", "topic__"]), rate, seed)
-    return done.where("copies > 0").select(*docs.columns, F.col("topic__").alias("mix_topic"),
-                                           F.col("weight").alias("mix_weight"), F.col("copies").alias("mix_copies"))
+    return done.where("copies__ > 0").select(*docs.columns, F.col("topic__").alias("mix_topic"),
+                                           F.col("weight__").alias("mix_weight"), F.col("copies__").alias("mix_copies"))

@@ -41,7 +41,7 @@ ALLOW = (
     re.compile(r"[-=_+/]+"),                                      # rules drawn with one sign
     re.compile(r"(?i).*(?:example|placeholder|changeme|xxxxx|12345678|abcdefgh).*"),
 )
-_CLOG = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
+_CLOG = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
 
 
 def char_class(s: str) -> str:
