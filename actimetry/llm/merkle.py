@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from actimetry.llm.common import materialise
 
 PIECE = 32
+NO_ID = -2 ** 63        # stands for a null doc_id inside the joins
 _PIECES = r"(?s).{1,31}[ \t]|.{1,32}"
 
 
@@ -77,8 +78,8 @@ def next_ids(sizes: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    key = F.coalesce(F.col("doc_id"), F.lit(-2 ** 63))
-    texts = docs.select(key.alias("k"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # the same two columns on both sides of the joins below, so the texts are dealt by k once
+    texts = docs.select(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
     sizes = texts.groupBy("k").agg(F.max(F.length("text")).alias("n"))
     following = materialise(next_ids(sizes), "merkle-next")
     # every document lends the one before it the start of its text and its fingerprint
@@ -88,7 +89,7 @@ def report(docs: DataFrame) -> DataFrame:
             .groupBy("to").agg(F.min(F.struct("next_fp", "start")).alias("next")))
     n, quarter = F.length("text"), F.expr("cast(floor(length(text) / 4) as int)")
     whole = texts.join(lent, texts["k"] == lent["to"]).select(
-        "doc_id", "text", n.cast("long").alias("n_chars"), F.col("next.next_fp").alias("next_fp"),
+        F.when(F.col("k") != NO_ID, F.col("k")).alias("doc_id"), "text", n.cast("long").alias("n_chars"), F.col("next.next_fp").alias("next_fp"),
         F.concat(F.substring("text", F.lit(1), n - quarter), F.substring("next.start", F.lit(1), quarter)).alias("edited"))
     done = whole.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "next_fp",
                         fingerprint(F.col("text")).alias("fingerprint"), fingerprint(F.col("edited")).alias("edited_fingerprint"))
