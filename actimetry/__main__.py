@@ -93,7 +93,7 @@ def _firsts(spark, args):
     if not args.first_seen:
         return None
     from actimetry.streaming.first_seen import FirstSeenTable
-    return FirstSeenTable(spark, args.first_seen).read()
+    return FirstSeenTable(spark, args.first_seen, create=False).read()
 
 
 def cmd_total(spark, args) -> None:

@@ -6,7 +6,7 @@ fall back to a local temporary folder when it is unset (local runs, tests).
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -44,12 +44,6 @@ CLUSTER_CONF = {
 }
 
 
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 200 * 1024 * 1024,
-                           minimum: int = 200) -> int:
-    """Shuffle partition count for a stage reading ``input_bytes``."""
-    return max(minimum, -(-int(input_bytes) // target_bytes))
-
-
 _NOT_SQL = {"spark.ui.enabled", "spark.log.structuredLogging.enabled", "spark.ui.showConsoleProgress"}
 
 
@@ -94,10 +88,12 @@ def get_or_create_session(master: str | None = None, shuffle_partitions: int | N
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (or set with ``setCheckpointDir``).
-    Only when neither is set (a local run) a temporary folder is made and registered."""
+    When neither is set, a local run makes and registers a temporary folder; on a cluster that is an error."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) \
         or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.getConf().get("spark.master", "local")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="actimetry-ckpt-"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
@@ -107,6 +103,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark)
     path = f"{root}/actimetry/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
     return path

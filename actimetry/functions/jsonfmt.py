@@ -23,7 +23,7 @@ def parse_logs(df: DataFrame, value_col: str = "value", schema: T.StructType = L
                keep: list[str] | None = None) -> DataFrame:
     """Parse JSON text in ``value_col`` into typed columns.
 
-    PERMISSIVE mode: a malformed line yields null fields and its text in
+    PERMISSIVE mode: a malformed line, or one with text after the object, yields null fields and its text in
     ``_corrupt_record``; the batch goes on. A null line is marked corrupt with
     empty text. ``keep`` lists input columns to carry along.
     """
@@ -31,9 +31,10 @@ def parse_logs(df: DataFrame, value_col: str = "value", schema: T.StructType = L
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
     parsed = F.from_json(F.col(value_col), with_corrupt,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
-    out = df.select(*keep, parsed.alias("_r"))
+    out = df.select(*keep, parsed.alias("_r"), F.col(value_col).alias("_text"), is_one_document(value_col).alias("_one"))
     fields = [F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields]
-    corrupt = F.when(F.col("_r").isNull(), F.lit("")).otherwise(F.col(f"_r.{CORRUPT_COL}"))
+    corrupt = F.when(F.col("_r").isNull(), F.lit("")).otherwise(
+        F.coalesce(F.col(f"_r.{CORRUPT_COL}"), F.when(~F.col("_one"), F.col("_text"))))
     return out.select(*keep, *fields, corrupt.alias(CORRUPT_COL))
 
 
@@ -48,10 +49,19 @@ def json_value(value, path: str, type_name: str = "string") -> Column:
     return F.try_variant_get(F.try_parse_json(_col(value)), path, type_name)
 
 
+def is_one_document(value) -> Column:
+    """True if the text is one JSON value and nothing after it (as the only element of an array)."""
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), _col(value), F.lit("]"))) == 1, F.lit(False))
+
+
 def json_object(value) -> Column:
-    """JSON object text → ``map<string, variant>`` (every field, in order, any type);
-    null for text that is not a JSON object."""
-    return F.from_json(_col(value), "map<string,variant>")
+    """JSON object text → ``map<string, variant>`` (every field, in order, any type; of a
+    repeated key the last value); null for text that is not one JSON object."""
+    obj = F.when(is_one_document(value), F.from_json(_col(value), "map<string,variant>"))
+    keys = F.array_distinct(F.map_keys(obj))
+    last = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(
+        F.filter(F.map_entries(obj), lambda e: e["key"] == k), -1)["value"]))
+    return F.when(F.size(keys) == F.size(F.map_keys(obj)), obj).otherwise(last)
 
 
 def object_field(obj, name: str, type_name: str = "string") -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from actimetry.schemas import DAU_KEY_PREFIX
+from actimetry.schemas import DAU_KEY_PREFIX, DAU_COLUMNS, DAU_SINK_NAMES
 
 
 def _col(c) -> Column:
@@ -28,6 +28,11 @@ def upper_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.upper() for c in df.columns])
 
 
+def sink_columns(df: DataFrame) -> DataFrame:
+    """The eleven columns of the wide sink table under its own names; absent ones are typed nulls."""
+    return select_columns(df, DAU_COLUMNS, fill_missing=True).toDF(*DAU_SINK_NAMES)
+
+
 def select_columns(df: DataFrame, cols: list[str], fill_missing: bool = False) -> DataFrame:
     """Select ``cols`` in the given order; with ``fill_missing`` absent ones become typed nulls."""
     present = set(df.columns)

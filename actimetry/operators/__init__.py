@@ -1,6 +1,6 @@
-"""DataFrame operators: routing and quarantine, dedup and anti-joins, metrics."""
+"""DataFrame operators: routing and dedup and anti-joins, metrics."""
 
-from actimetry.operators.route import route, with_topic, quarantine, split_valid
+from actimetry.operators.route import route, with_topic, split_valid
 from actimetry.operators.dedup import (
     first_per_key, anti_asof, anti_by_date, distinct_devices, dedup_batch,
 )
@@ -10,7 +10,7 @@ from actimetry.operators.metrics import (
 )
 
 __all__ = [
-    "route", "with_topic", "quarantine", "split_valid",
+    "route", "with_topic", "split_valid",
     "first_per_key", "anti_asof", "anti_by_date", "distinct_devices", "dedup_batch",
     "by_date", "dau_total", "dau_daily", "dau_hours", "gmv_total", "gmv_hours", "hour_map",
     "first_seen", "new_device_total", "new_device_hours", "money_sum", "stage_counts",

@@ -19,10 +19,10 @@ def by_date(df: DataFrame, date: str, date_col: str = "log_date") -> DataFrame:
 
 
 def money_sum(col) -> Column:
-    """Order-independent exact sum of 2-decimal money held as double: add whole cents
-    as longs, divide once. Same result whatever the partitioning or task order."""
+    """Order-independent sum of money held as double: each amount as a decimal with eight
+    places, so fractions of a cent count and the result doesn't depend on task order."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(F.round(c * 100).cast("long")) / F.lit(100.0)
+    return F.sum(c.cast("decimal(28,8)")).cast("double")
 
 
 def dau_total(dau: DataFrame, date: str) -> DataFrame:
@@ -112,11 +112,13 @@ def stage_counts(batch: DataFrame, seen: DataFrame) -> DataFrame:
     join with the distinct seen keys, then all three counts come from one aggregate.
     Returns ``(stage, n_rows)``."""
     keys = seen.select("mid", "log_date").distinct().withColumn("_seen", F.lit(True))
-    flagged = batch.select("mid", "log_date").join(keys, ["mid", "log_date"], "left")
+    # one row per key and task before the shuffle, so a hot device is one row in the join
+    per_key = batch.groupBy("mid", "log_date").agg(F.count(F.lit(1)).alias("n"))
+    flagged = per_key.join(keys, ["mid", "log_date"], "left")
     unseen = F.col("_seen").isNull()
     counts = flagged.agg(
-        F.count(F.lit(1)).alias("n_in"),
-        F.count(F.when(unseen, F.lit(1))).alias("n_anti"),
-        F.count_distinct(F.when(unseen, F.struct("mid", "log_date"))).alias("n_dedup"))
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_in"),
+        F.coalesce(F.sum(F.when(unseen, F.col("n"))), F.lit(0)).alias("n_anti"),
+        F.count(F.when(unseen, F.lit(1))).alias("n_dedup"))
     return counts.select(F.expr(
         "stack(3, 'input', n_in, 'after_anti', n_anti, 'after_dedup', n_dedup) AS (stage, n_rows)"))

@@ -46,8 +46,3 @@ def split_valid(df: DataFrame, required: tuple[str, ...] = ("mid", "ts")) -> tup
     good = tagged.where(F.col("reason").isNull()).drop("reason", CORRUPT_COL)
     bad = tagged.where(F.col("reason").isNotNull())
     return good, bad
-
-
-def quarantine(df: DataFrame, required: tuple[str, ...] = ("mid", "ts")) -> DataFrame:
-    """Only the bad rows, with ``reason``."""
-    return split_valid(df, required)[1]

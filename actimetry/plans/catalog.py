@@ -17,34 +17,37 @@ from pyspark.sql import functions as F
 
 from actimetry.config import scratch_dir
 from actimetry.functions.jsonfmt import json_field, parse_logs, to_json_record
-from actimetry.functions.keys import composite_key, namespaced_key, select_columns, upper_columns
+from actimetry.functions.keys import composite_key, namespaced_key, select_columns, sink_columns
 from actimetry.functions.timefmt import (
     as_of_date, date_hour_text, epoch_ms_from_ntz, prev_day, prev_day_str, split_date_hour,
 )
 from actimetry.operators.dedup import anti_asof, anti_by_date, distinct_devices, first_per_key
 from actimetry.operators.metrics import (
     dau_daily, dau_hours, dau_total, first_seen, gmv_daily, gmv_hours, gmv_total, hour_map,
-    new_device_hours, new_device_total, new_devices_by_day, new_devices_by_hour, stage_counts,
+    new_devices_by_day, new_devices_by_hour, stage_counts,
 )
 from actimetry.operators.route import route, split_valid
 from actimetry.plans import stream_checks
 from actimetry.plans.report import (
-    dispatch, realtime_hours, realtime_total, to_json_doc, totals_json, two_day_pair,
+    METRICS, dispatch, realtime_hours, realtime_total, to_json_doc, totals_json, two_day_pair,
 )
 from actimetry.plans.sql import dau_hours_sql, dau_total_sql, gmv_hours_sql, gmv_total_sql
 from actimetry.schemas import DAU_COLUMNS
-from actimetry.sinks.files import preview, write_raw_archive, write_routed
+from actimetry.sinks.files import preview
 from actimetry.sources.logs import read_dau_table, read_raw_lines, seen_keys
 from actimetry.sources.tables import (
     LOG_COLUMNS as LOG_OUT, STARTUP_COLUMNS as DAU_OUT, events_in_days, logs_from_events,
     orders_from_events, orders_from_orders_table, raw_lines_from_events, read_table,
 )
-from actimetry.streaming.collector import stamp_lines
+from actimetry.streaming.collector import Collector, stamp_lines
 from actimetry.streaming.dau_stream import DauTable
 from actimetry.streaming.first_seen import FirstSeenTable
 
 DATE = "2024-01-15"
 SPLIT = "2024-01-15 12:00:00"
+NEW_DATE = "2024-01-03"         # a day with new devices, for the reports that count them
+SEED_DATE = "2024-01-26"        # the first-seen table is seeded up to here and then advanced day by day
+BREAK_EVERY = 50                # of so many lines four are broken for the quarantine query
 HOUR_IDS = ["dau", "order_amount", "new_mid"]
 DISPATCH_IDS = ["dau", "order_amount", "new_mid", "new_id", "no_such_metric"]
 
@@ -61,7 +64,12 @@ def startup_logs(spark, sf, first=None, last=None, before=None, since=None) -> D
 
 def dau(spark, sf, first=None, last=None) -> DataFrame:
     """The DAU rows (first startup log per device and day) of a day range."""
-    return first_per_key(startup_logs(spark, sf, first, last), tie_break=["seq"])
+    return first_per_key(split_valid(startup_logs(spark, sf, first, last))[0], tie_break=["seq"])
+
+
+def stored_dau(spark, sf, days: list[str] | None = None) -> DataFrame:
+    """DAU rows of the stored table; only the folders of ``days`` are listed and read."""
+    return _read_dau_table(spark, sf, dates=days).select(*DAU_OUT)
 
 
 def orders(spark, sf, first=None, last=None) -> DataFrame:
@@ -97,6 +105,20 @@ def dau_table(spark: SparkSession, sf: str) -> str:
     return _TABLES[key]
 
 
+_FIRSTS: dict[tuple[str, str], str] = {}
+
+
+def first_table(spark: SparkSession, sf: str) -> FirstSeenTable:
+    """The first-seen table over the stored DAU table, built once per application and input folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FIRSTS:
+        table = FirstSeenTable(spark, scratch_dir(spark, "first-seen"))
+        days = stored_dau(spark, sf)
+        table.build(days, upto=days.agg(F.max("log_date")).first()[0] or DATE)
+        _FIRSTS[key] = table.path
+    return FirstSeenTable(spark, _FIRSTS[key], create=False)
+
+
 def _read_dau_table(spark, sf, dates=None) -> DataFrame:
     schema = startup_logs(spark, sf).schema
     return read_dau_table(spark, dau_table(spark, sf), schema, dates=dates)
@@ -126,16 +148,22 @@ def s5_order_scan(spark, sf):
 
 
 # -------------------------------------------------------------------------- sinks
+def _collected(spark, sf) -> Collector:
+    """The collector's one writer over all lines, as batch 0."""
+    root = scratch_dir(spark, "collected")
+    collector = Collector(f"{root}/archive", f"{root}/routed")
+    collector.process(stamped_lines(spark, sf), 0)
+    return collector
+
+
 def k1_routed_sink(spark, sf):
-    path = scratch_dir(spark, "routed")
-    write_routed(stamped_lines(spark, sf), path)
-    return spark.read.text(path).select(F.col("topic").cast("string").alias("topic"), "value")
+    routed = _collected(spark, sf).routed_path
+    return spark.read.parquet(routed).select(F.col("topic").cast("string").alias("topic"), "value")
 
 
 def k2_raw_archive(spark, sf):
-    path = scratch_dir(spark, "archive")
-    write_raw_archive(stamped_lines(spark, sf), path)
-    return spark.read.text(path).select(F.col("dt").cast("string").alias("dt"), "value")
+    archive = _collected(spark, sf).archive_path
+    return spark.read.parquet(archive).select(F.col("dt").cast("string").alias("dt"), "value")
 
 
 def k3_dau_sink(spark, sf):
@@ -151,7 +179,7 @@ def k5_preview(spark, sf):
 
 
 def k6_json_result(spark, sf):
-    return totals_json(realtime_total(dau(spark, sf, last=DATE), orders(spark, sf, DATE), DATE))
+    return totals_json(u1_realtime_total(spark, sf))
 
 
 # -------------------------------------------------------------------- projections
@@ -202,7 +230,7 @@ def p10_prev_day(spark, sf):
 
 
 def p11_upper_columns(spark, sf):
-    return upper_columns(dau(spark, sf))
+    return sink_columns(dau(spark, sf))
 
 
 def p12_select_cols(spark, sf):
@@ -237,13 +265,14 @@ def f2_date_filter(spark, sf):
 
 
 def f3_metric_dispatch(spark, sf):
-    d, o = dau(spark, sf, last=DATE), orders(spark, sf, prev_day_str(DATE), DATE)
-    parts = []
+    days = [prev_day_str(NEW_DATE), NEW_DATE]
+    d, o, firsts = stored_dau(spark, sf, days), orders(spark, sf, *days), first_table(spark, sf).read(days)
+    aliases: dict = {}                   # ids of one metric are computed once
     for mid in DISPATCH_IDS:
-        long = dispatch(mid, d, o, DATE)
-        if long is not None:
-            parts.append(long.select(F.lit(mid).alias("id"), "period", "hour",
-                                     F.col("value").cast("double").alias("value")))
+        aliases.setdefault(METRICS.get(mid), []).append(mid)
+    parts = [dispatch(ids[0], d, o, NEW_DATE, firsts).select(
+        F.explode(F.array(*map(F.lit, ids))).alias("id"), "period", "hour", F.col("value").cast("double").alias("value"))
+        for builder, ids in aliases.items() if builder is not None]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -259,13 +288,13 @@ def j2_anti_by_date(spark, sf):
 
 
 def j3_two_day_pair(spark, sf):
-    return two_day_pair(dau(spark, sf, prev_day_str(DATE), DATE), DATE, "log_date", "log_hour",
+    return two_day_pair(stored_dau(spark, sf, [prev_day_str(DATE), DATE]), DATE, "log_date", "log_hour",
                         F.count(F.lit(1)))
 
 
 # ------------------------------------------------------------------- aggregations
 def a1_dau_total(spark, sf):
-    return dau_total(dau(spark, sf, DATE), DATE)
+    return dau_total(stored_dau(spark, sf, [DATE]), DATE)
 
 
 def a1_dau_daily(spark, sf):
@@ -273,7 +302,7 @@ def a1_dau_daily(spark, sf):
 
 
 def a2_dau_hours(spark, sf):
-    return dau_hours(dau(spark, sf, DATE), DATE)
+    return dau_hours(stored_dau(spark, sf, [DATE]), DATE)
 
 
 def a3_first_per_key(spark, sf):
@@ -299,17 +328,17 @@ def a6_gmv_hours(spark, sf):
 
 
 def a7_hour_map(spark, sf):
-    per_hour = dau(spark, sf).groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("ct"))
+    per_hour = stored_dau(spark, sf).groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("ct"))
     m = hour_map(per_hour, "log_hour", "ct", ["log_date"], "hours")
     return m.select("log_date", F.to_json("hours").alias("hours"))
 
 
 def a8_new_device_total(spark, sf):
-    return new_device_total(dau(spark, sf, last=DATE), DATE)
+    return first_table(spark, sf).new_device_total(NEW_DATE)
 
 
 def a9_new_device_hours(spark, sf):
-    return new_device_hours(dau(spark, sf, last=DATE), [prev_day_str(DATE), DATE])
+    return first_table(spark, sf).new_device_hours([prev_day_str(NEW_DATE), NEW_DATE])
 
 
 def a8_new_device_daily(spark, sf):
@@ -324,10 +353,12 @@ def a9_new_device_hours_all(spark, sf):
 
 def a9_first_seen_table(spark, sf):
     """New devices by first day and hour from the incremental first-seen table:
-    seeded from history up to the day before ``DATE``, then advanced by ``DATE``."""
+    seeded from history up to ``SEED_DATE``, then advanced by every later day there is."""
     table = FirstSeenTable(spark, scratch_dir(spark, "first-seen"))
-    table.build(dau(spark, sf, last=prev_day_str(DATE)), upto=prev_day_str(DATE))
-    table.advance(dau(spark, sf, DATE), DATE)
+    table.build(dau(spark, sf, last=SEED_DATE), upto=SEED_DATE)
+    later = startup_logs(spark, sf, first=SEED_DATE).where(F.col("log_date") > SEED_DATE).select("log_date").distinct()
+    for day in sorted(r[0] for r in later.collect()):          # one row per day
+        table.advance(dau(spark, sf, day, day), day)
     return new_devices_by_hour(table.read())
 
 
@@ -353,19 +384,29 @@ def a10_distinct_devices(spark, sf):
 
 # ------------------------------------------------------------------------- unions
 def u1_realtime_total(spark, sf):
-    return realtime_total(dau(spark, sf, last=DATE), orders(spark, sf, DATE), DATE)
+    return realtime_total(stored_dau(spark, sf, [NEW_DATE]), orders(spark, sf, NEW_DATE, NEW_DATE), NEW_DATE,
+                          firsts=first_table(spark, sf).read([NEW_DATE]))
 
 
 def u2_realtime_hours(spark, sf):
-    d, o = dau(spark, sf, last=DATE), orders(spark, sf, prev_day_str(DATE), DATE)
-    parts = [to_json_doc(realtime_hours(m, d, o, DATE)).select(F.lit(m).alias("id"), "doc")
+    days = [prev_day_str(NEW_DATE), NEW_DATE]
+    d, o, firsts = stored_dau(spark, sf, days), orders(spark, sf, *days), first_table(spark, sf).read(days)
+    parts = [to_json_doc(realtime_hours(m, d, o, NEW_DATE, firsts)).select(F.lit(m).alias("id"), "doc")
              for m in HOUR_IDS]
     return reduce(DataFrame.unionByName, parts)
 
 
 # ----------------------------------------------------------------------- quality
 def q1_quarantine(spark, sf):
-    parsed = parse_logs(stamped_lines(spark, sf), "value")
+    """Lines broken by a rule on the event id over the whole table: cut text, no device, no arrival time, text
+    after the object. Counts by reason."""
+    n = F.pmod("seq", F.lit(BREAK_EVERY))
+    lines = raw_lines_from_events(events(spark, sf)).select(
+        F.when(n == 1, F.substring("value", 1, 20)).when(n == 2, F.regexp_replace("value", '"mid":"[^"]*",', ""))
+        .when(n == 4, F.concat("value", F.lit(" trailing"))).otherwise(F.col("value")).alias("value"),
+        F.when(n != 3, F.col("arrival")).alias("arrival"))
+    stamped = stamp_lines(lines).select(F.coalesce("value", "_raw").alias("value"))
+    parsed = parse_logs(stamped, "value")
     good, bad = split_valid(parsed)
     return good.select(F.lit("ok").alias("reason")).unionByName(bad.select("reason")) \
         .groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -26,10 +26,6 @@ METRIC_GMV = "order_amount"
 METRIC_GMV_NAME = "新增交易额"
 # Prefix of the per-day device-set key.
 DAU_KEY_PREFIX = "DAU:"
-# Date and hour text patterns.
-DATE_PATTERN = "yyyy-MM-dd"
-HOUR_PATTERN = "HH"
-DATE_HOUR_PATTERN = "yyyy-MM-dd HH"
 # ---------------------------------------------------------------------------
 
 STARTUP_RAW = T.StructType([
@@ -44,20 +40,6 @@ STARTUP_RAW = T.StructType([
     T.StructField("ts", T.LongType()),
 ])
 
-EVENT_RAW = T.StructType([
-    T.StructField("type", T.StringType()),
-    T.StructField("mid", T.StringType()),
-    T.StructField("uid", T.StringType()),
-    T.StructField("os", T.StringType()),
-    T.StructField("appid", T.StringType()),
-    T.StructField("area", T.StringType()),
-    T.StructField("evid", T.StringType()),
-    T.StructField("pgid", T.IntegerType()),
-    T.StructField("npgid", T.IntegerType()),
-    T.StructField("itemid", T.IntegerType()),
-    T.StructField("ts", T.LongType()),
-])
-
 # Union of both log shapes plus ``seq`` (a record id some sources carry; used as
 # the tie-break when two logs of a device share a ts). Parsing every line with
 # one schema lets a single pass route and validate both kinds.

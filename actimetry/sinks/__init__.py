@@ -1,8 +1,8 @@
 """Writers: routed topics, the raw archive, the DAU table, previews."""
 
 from actimetry.sinks.files import (
-    write_routed, write_raw_archive, write_dau_batch, write_by_batch, init_table, preview,
+    write_by_batch, init_table, preview,
 )
 
-__all__ = ["write_routed", "write_raw_archive", "write_dau_batch", "write_by_batch", "init_table",
+__all__ = ["write_by_batch", "init_table",
            "preview"]

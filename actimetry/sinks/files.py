@@ -15,28 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def write_routed(df: DataFrame, path: str, value_col: str = "value", topic_col: str = "topic",
-                 fmt: str = "text", options: dict | None = None) -> None:
-    """Publish each row's JSON text to its topic. ``fmt='kafka'`` writes to brokers (the
-    sink honours the ``topic`` column); a file format writes ``topic=…`` folders.
-    No shuffle: each task writes its own file per topic it holds (two topics)."""
-    out = df.select(F.col(topic_col).alias("topic"), F.col(value_col).alias("value"))
-    if fmt == "kafka":
-        out.write.format("kafka").options(**(options or {})).save()
-        return
-    out.write.mode("append").partitionBy("topic").format(fmt).options(**(options or {})).save(path)
-
-
-def write_raw_archive(df: DataFrame, path: str, value_col: str = "value", ts_col: str = "ts",
-                      tz: str = "UTC") -> None:
-    """Archive stamped lines as text, one folder per stamp day (``dt=yyyy-MM-dd``). No
-    shuffle: logs arrive time-clustered, so an input split holds one or two days and a
-    task writes one file per day it holds."""
-    from actimetry.functions.timefmt import with_date_hour
-    out = with_date_hour(df.select(value_col, ts_col), ts_col, tz, "dt", "_h")
-    out.select(F.col(value_col).alias("value"), "dt").write.mode("append").partitionBy("dt").text(path)
-
-
 def init_table(spark: SparkSession, path: str, schema: T.StructType, partition_cols: list[str]) -> None:
     """Create an empty partitioned Parquet table (so the first batch can read it)."""
     spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition_cols).parquet(path)
@@ -61,11 +39,6 @@ def write_by_batch(df: DataFrame, path: str, batch_id: int, partition_cols=("log
        .partitionBy(*partition_cols, "run", "batch_id").parquet(path))
 
 
-def write_dau_batch(df: DataFrame, path: str, batch_id: int, run: str = "batch") -> None:
-    """K3: store a batch's new first-of-day rows (see module doc)."""
-    write_by_batch(df, path, batch_id, ("log_date",), run)
-
-
 def preview(df: DataFrame, n: int = 10, order=("ts",)) -> DataFrame:
     """First ``n`` rows in ``order`` (a top-k: each task keeps n, one merge)."""
     return df.orderBy(*order).limit(n)

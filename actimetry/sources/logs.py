@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 
 def read_raw_lines(spark: SparkSession, path: str, stream: bool = False,
@@ -61,6 +60,13 @@ def stored_before(run: str, batch_id: int):
     return ~((F.col("run") == F.lit(run)) & (F.col("batch_id") >= F.lit(int(batch_id))))
 
 
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches ``pattern`` in its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def read_partitioned(spark: SparkSession, root: str, schema: T.StructType | str,
                      column: str | None = None, values: list[str] | None = None) -> DataFrame:
     """Read a partitioned Parquet table with an explicit schema (partition values keep
@@ -73,12 +79,10 @@ def read_partitioned(spark: SparkSession, root: str, schema: T.StructType | str,
     values = sorted({v for v in values or [] if v is not None})
     if not values:
         return spark.createDataFrame([], schema)
-    try:
-        df = reader.parquet(f"{root}/{column}={{{','.join(values)}}}")
-    except AnalysisException as e:  # none of the folders exists yet
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
+    folders = f"{root}/{column}={{{','.join(values)}}}"
+    if not path_exists(spark, folders):
         return spark.createDataFrame([], schema)
+    df = reader.parquet(folders)
     return df.where(F.col(column).isin(values))
 
 

@@ -11,7 +11,7 @@
    only its own folders (idempotent);
 5. hourly partial counts of the new rows, keyed the same way (so the running
    hourly DAU costs O(batch), not O(day), and is replay-safe too);
-6. per-batch stage counts via ``observe`` (no extra jobs).
+6. per-batch stage counts, counted over the persisted frames.
 
 The first arrived batch wins for a key, even if a later batch has a smaller ts.
 """
@@ -24,13 +24,14 @@ from contextlib import contextmanager
 from zoneinfo import ZoneInfo
 from typing import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from actimetry.operators.dedup import anti_asof, anti_by_date, first_per_key
-from actimetry.sinks.files import init_table, spread_for_partitioned_write, write_by_batch
+from actimetry.operators.route import split_valid
+from actimetry.sinks.files import init_table, write_by_batch
 from actimetry.sources.logs import dau_table_schema, read_dau_table, read_partitioned
 
 STATS_SCHEMA = T.StructType([
@@ -40,6 +41,18 @@ STATS_SCHEMA = T.StructType([
     T.StructField("run", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
+AS_OF_SCHEMA = T.StructType([
+    T.StructField("day", T.StringType()),
+    T.StructField("run", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+])
+QUARANTINE_SCHEMA = T.StructType([
+    T.StructField("mid", T.StringType()),
+    T.StructField("ts", T.LongType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("run", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+])
 HOURS_SCHEMA = T.StructType([
     T.StructField("log_hour", T.StringType()),
     T.StructField("ct", T.LongType()),
@@ -89,59 +102,73 @@ class DauTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, record: T.StructType, tie_break=None,
-                 spread_above_days: int = 31, seen_mode: str = "record_date",
+                 seen_mode: str = "record_date",
                  as_of: Callable[[], str] | None = None, tz: str = "UTC", run: str = "batch"):
         if seen_mode not in ("record_date", "as_of"):
             raise ValueError(f"unknown seen_mode {seen_mode!r}")
         self.spark, self.path, self.record, self.tie_break = spark, path.rstrip("/"), record, tie_break
-        self.spread_above_days = spread_above_days
         self.seen_mode, self.as_of = seen_mode, as_of or today_in(tz)
         self.run = run
         self.dau_path = f"{self.path}/dau"
         self.hours_path = f"{self.path}/hours"
         self.stats_path = f"{self.path}/stats"
+        self.as_of_path = f"{self.path}/as_of"
+        self.quarantine_path = f"{self.path}/quarantine"
         init_table(spark, self.dau_path, dau_table_schema(record), ["log_date", "run", "batch_id"])
         init_table(spark, self.hours_path, HOURS_SCHEMA, ["log_date", "run", "batch_id"])
         init_table(spark, self.stats_path, STATS_SCHEMA, ["run", "batch_id"])
+        init_table(spark, self.as_of_path, AS_OF_SCHEMA, ["run", "batch_id"])
+        init_table(spark, self.quarantine_path, QUARANTINE_SCHEMA, ["run", "batch_id"])
+
+    def _day_of(self, batch_id: int) -> str:
+        """The as-of day of a batch: fixed when the batch first runs, so a replay uses the same."""
+        kept = read_partitioned(self.spark, self.as_of_path, AS_OF_SCHEMA).where(
+            (F.col("run") == self.run) & (F.col("batch_id") == int(batch_id))).first()
+        if kept is not None:
+            return kept["day"]
+        day = self.as_of()
+        write_by_batch(self.spark.createDataFrame([(day,)], "day string").coalesce(1), self.as_of_path,
+                       batch_id, (), self.run)
+        return day
 
     # -- the foreachBatch body ------------------------------------------------
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         cols = [f.name for f in self.record.fields]
+        # a null device or time can't be matched against what is stored: kept apart, not counted
+        batch, bad = split_valid(batch)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        new = None
+        first = new = None
         try:
+            write_by_batch(bad.select(*[F.col(f.name).cast(f.dataType) for f in QUARANTINE_SCHEMA.fields[:3]]),
+                           self.quarantine_path, batch_id, (), self.run)
             # days present in this batch: a handful of values, used as partition filters
             dates = sorted(r[0] for r in batch.select("log_date").distinct().collect() if r[0] is not None)
-            o_in, o_first, o_new = Observation(), Observation(), Observation()
-            counted = batch.observe(o_in, F.count(F.lit(1)).alias("n"))
-            first = first_per_key(counted, tie_break=self.tie_break).observe(o_first, F.count(F.lit(1)).alias("n"))
+            first = first_per_key(batch, tie_break=self.tie_break).persist(StorageLevel.MEMORY_AND_DISK)
             before = (self.run, batch_id)
             if self.seen_mode == "as_of":
-                day = self.as_of()
+                day = self._day_of(batch_id)
                 seen = read_dau_table(spark, self.dau_path, self.record, dates=[day], before=before)
                 kept = anti_asof(first, seen.select("mid", "log_date"), day)
             else:
                 seen = read_dau_table(spark, self.dau_path, self.record, dates=dates, before=before)
                 kept = anti_by_date(first, seen.select("mid", "log_date"))
             # the new rows (one per new key) are kept: written, then counted by hour
-            new = kept.observe(o_new, F.count(F.lit(1)).alias("n")).select(*cols) \
-                .persist(StorageLevel.MEMORY_AND_DISK)
-            out = new
-            if len(dates) > self.spread_above_days:   # a backfill: many day folders at once
-                out = spread_for_partitioned_write(new, ["log_date"], ["mid"])
-            write_by_batch(out, self.dau_path, batch_id, ("log_date",), self.run)
+            new = kept.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+            # one layout for all batches: adaptive execution joins small parts and splits large ones by size
+            write_by_batch(new.hint("rebalance", "log_date"), self.dau_path, batch_id, ("log_date",), self.run)
 
             hours = new.groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("ct"))
             write_by_batch(hours, self.hours_path, batch_id, ("log_date",), self.run)
 
             stats = spark.createDataFrame(
-                [(o_in.get.get("n", 0), o_first.get.get("n", 0), o_new.get.get("n", 0))],
-                "rows_in long, rows_first long, rows_new long")
+                [(batch.count(), first.count(), new.count())],
+                "rows_in long, rows_first long, rows_new long").coalesce(1)
             write_by_batch(stats, self.stats_path, batch_id, (), self.run)
         finally:
-            if new is not None:
-                new.unpersist()
+            for held in (new, first):
+                if held is not None:
+                    held.unpersist()
             batch.unpersist()
 
     # -- readers --------------------------------------------------------------
@@ -154,6 +181,9 @@ class DauTable:
                              "log_date" if dates is not None else None, dates)
         return h.groupBy("log_date", "log_hour").agg(F.sum("ct").cast("long").alias("ct"))
 
+    def quarantined(self) -> DataFrame:
+        return read_partitioned(self.spark, self.quarantine_path, QUARANTINE_SCHEMA)
+
     def stats(self) -> DataFrame:
         return read_partitioned(self.spark, self.stats_path, STATS_SCHEMA)
 

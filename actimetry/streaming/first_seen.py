@@ -16,7 +16,7 @@ from pyspark.storagelevel import StorageLevel
 
 from actimetry.operators.metrics import first_seen, new_devices_by_hour
 from actimetry.sinks.files import init_table, spread_for_partitioned_write
-from actimetry.sources.logs import read_partitioned
+from actimetry.sources.logs import path_exists, read_partitioned
 
 SCHEMA = T.StructType([
     T.StructField("mid", T.StringType()),
@@ -26,9 +26,14 @@ SCHEMA = T.StructType([
 
 
 class FirstSeenTable:
-    def __init__(self, spark: SparkSession, path: str):
+    """``create=False`` opens an existing table for reading; a path that isn't there is an error."""
+
+    def __init__(self, spark: SparkSession, path: str, create: bool = True):
         self.spark, self.path = spark, path.rstrip("/")
-        init_table(spark, self.path, SCHEMA, ["first_date"])
+        if create:
+            init_table(spark, self.path, SCHEMA, ["first_date"])
+        elif not path_exists(spark, self.path):
+            raise FileNotFoundError(self.path)
 
     def _write(self, df: DataFrame) -> None:
         (df.select("mid", "first_hour", "first_date").write.mode("overwrite")
@@ -44,7 +49,11 @@ class FirstSeenTable:
             fs.unpersist()
 
     def advance(self, dau: DataFrame, date: str) -> None:
-        """Add the devices first seen on ``date``; ``dau`` needs only that day's rows."""
+        """Add the devices first seen on ``date``; ``dau`` needs only that day's rows. A day before
+        one that is stored is refused: later first days would be wrong."""
+        last = self.read().agg(F.max("first_date")).first()[0]
+        if last is not None and date < last:
+            raise ValueError(f"{date} comes after {last} was advanced")
         known = self.read(before=date).select("mid")
         day = dau.where(F.col("log_date") == date)
         new = day.join(known, "mid", "left_anti")

@@ -6,6 +6,8 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from actimetry.operators.metrics import dau_hours
+from actimetry.plans import catalog as C
 from tests.conftest import SF_SMALL
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",
@@ -27,7 +29,7 @@ def test_no_python_in_plan(spark, name):
 
 
 def test_day_filter_is_pushed_to_parquet(spark):
-    plan = _plan(E.queries()["a2_dau_hours"](spark, SF_SMALL))
+    plan = _plan(dau_hours(C.dau(spark, SF_SMALL, C.DATE, C.DATE), C.DATE))
     assert "PushedFilters: [IsNotNull(ts), IsNotNull(event_type), GreaterThanOrEqual(ts," in plan
     assert "EqualTo(event_type,view)" in plan
     # only the needed columns are read
