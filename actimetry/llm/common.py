@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actimetry.config import scratch_dir
@@ -47,11 +47,23 @@ def map_text(df: DataFrame, fn: Callable[[dict], dict], schema: str,
     return df.mapInArrow(run, schema)
 
 
-def held_out(doc_id) -> "F.Column":
+def neutral(docs: DataFrame, *needed: str) -> DataFrame:
+    """``docs`` with every column but ``needed`` called x0, x1, ... by its place, so that no name of
+    an extra column can clash with one that an operator adds."""
+    return docs.toDF(*[n if n in needed else f"x{i}" for i, n in enumerate(docs.columns)])
+
+
+def restored(df: DataFrame, plain: DataFrame, docs: DataFrame, without: tuple[str, ...] = ()) -> list[Column]:
+    """The columns of ``df`` that ``plain`` = ``neutral(docs)`` had, under the names and in the order of
+    ``docs``; names in ``without`` are left out."""
+    return [df[p].alias(n) for p, n in zip(plain.columns, docs.columns) if n.lower() not in without]
+
+
+def held_out(doc_id) -> Column:
     """The held-out fifth: crc32 of the id as text divides by five. A null id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def ascii_lower(col) -> "F.Column":
+def ascii_lower(col) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actimetry.llm.common import map_text, materialise
+from actimetry.llm.common import map_text, materialise, neutral, restored
 
 WINDOW = 10
 BLOCK_WORDS = 500_000
@@ -229,8 +229,9 @@ def remove(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, min_span: int
            max_coverage: float = 0.0) -> DataFrame:
     """``docs`` without documents whose hit words are more than ``max_coverage`` of their words;
     in the rest, hit runs of at least ``min_span`` words are cut from the text."""
-    cols = docs.columns
-    schema = docs.schema
+    plain = neutral(docs, "doc_id", "text", "n_chars")
+    cols = plain.columns
+    schema = plain.schema
     word = re.compile(WORD)
 
     def cut(c):
@@ -250,10 +251,10 @@ def remove(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, min_span: int
         return {**{x: c[x] for x in cols}, "text": texts, "keep__": keep}
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    done = map_text(find(docs, benchmark, n), cut, ddl + ", keep__ boolean").where("keep__").drop("keep__")
+    done = map_text(find(plain, benchmark, n), cut, ddl + ", keep__ boolean").where("keep__").drop("keep__")
     if "n_chars" in cols:
         done = done.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType))
-    return done
+    return done.select(*restored(done, plain, docs))
 
 
 REPORT_SQL = r"""

@@ -30,7 +30,7 @@ from zlib import crc32
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actimetry.llm.common import map_text, materialise
+from actimetry.llm.common import map_text, materialise, neutral, restored
 
 TOPICS = 8
 LONG = 5
@@ -69,11 +69,12 @@ def _target(cells: DataFrame, dim: str, want: dict | float) -> DataFrame:
     """(value, goal): tokens that each value of ``dim`` should have."""
     own = cells.groupBy(F.col(dim).alias("value")).agg(F.sum("tokens").cast("double").alias("t"))
     if isinstance(want, dict):
-        listed = F.coalesce(*[F.when(F.col("value") == str(v), F.lit(float(x))) for v, x in want.items()])
+        listed = F.coalesce(F.lit(None).cast("double"),
+                            *[F.when(F.col("value") == str(v), F.lit(float(x))) for v, x in want.items()])
         own = own.withColumn("share", listed)
         rest = own.where("share IS NULL").agg(F.sum("t")).first()[0]
         left = max(0.0, 1.0 - sum(want.values()))
-        own = own.withColumn("g", F.coalesce("share", F.col("t") / F.lit(rest) * left, F.lit(0.0)))
+        own = own.withColumn("g", F.coalesce("share", F.col("t") / F.lit(rest or 1.0) * left, F.lit(0.0)))
     else:
         own = own.withColumn("g", F.when(F.col("t") > 0, F.pow("t", F.lit(float(want)))).otherwise(0.0))
     sums = own.agg(F.sum("t").alias("t"), F.sum("g").alias("g")).first()
@@ -144,8 +145,10 @@ def report(docs: DataFrame, targets: dict | None = None, rate: float = 0.5, seed
 
 def sample(docs: DataFrame, targets: dict | None = None, rate: float = 1.0, seed: int = SEED,
            sweeps: int = SWEEPS) -> DataFrame:
-    """The drawn documents, each once, with ``copies`` beside their own columns."""
+    """The drawn documents, each once, with mix_topic, mix_weight and mix_copies after their own columns
+    (which replace columns of these names)."""
     weights = _weights(with_cells(docs, keep=["doc_id"]), targets, sweeps)
-    done = _drawn(with_cells(docs).join(weights, ["source__", "lang__", "topic__"]), rate, seed)
-    return done.where("copies__ > 0").select(*docs.columns, F.col("topic__").alias("mix_topic"),
-                                           F.col("weight__").alias("mix_weight"), F.col("copies__").alias("mix_copies"))
+    plain = neutral(docs, "doc_id", "text", "source", "lang")
+    done = _drawn(with_cells(plain).join(weights, ["source__", "lang__", "topic__"]), rate, seed).where("copies__ > 0")
+    return done.select(*restored(done, plain, docs, ("mix_topic", "mix_weight", "mix_copies")), F.col("topic__").alias("mix_topic"),
+                       F.col("weight__").alias("mix_weight"), F.col("copies__").alias("mix_copies"))

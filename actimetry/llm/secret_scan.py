@@ -21,7 +21,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actimetry.llm.common import map_text
+from actimetry.llm.common import map_text, neutral, restored
 
 # Kinds in report order and their patterns.
 KINDS = ("assign", "access", "hex", "entropy")
@@ -132,7 +132,8 @@ def scan(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span (overlapping ones joined) replaced by ``mark``; other columns stay.
     A null text stays null. ``n_chars``, where present, follows the new text."""
-    cols = docs.columns
+    plain = neutral(docs, "text", "n_chars")
+    cols = plain.columns
     other = [c for c in cols if c != "text"]
 
     def clean(text):
@@ -147,9 +148,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             at = b
         return "".join(out) + text[at:] if out else text
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    done = map_text(docs, lambda c: {**{k: c[k] for k in other}, "text": [clean(t) for t in c["text"]]},
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
+    done = map_text(plain, lambda c: {**{k: c[k] for k in other}, "text": [clean(t) for t in c["text"]]},
                     schema)
     if "n_chars" in cols:
-        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return done
+        done = done.withColumn("n_chars", F.length("text").cast(plain.schema["n_chars"].dataType))
+    return done.select(*restored(done, plain, docs))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actimetry.llm.common import map_text, materialise
+from actimetry.llm.common import map_text, materialise, neutral, restored
 from actimetry.llm.components import components
 
 SHINGLE, DISTANCE, BLOCKS, SEED = 3, 2, 8, 42
@@ -149,4 +149,6 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
     """``docs`` without the documents whose component has a smaller doc_id. Rows that share the
     smallest doc_id, and rows without one, stay."""
     rest = near_duplicates(docs, shingle, distance).where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(rest, "doc_id", "left_anti").select(*docs.columns)
+    plain = neutral(docs, "doc_id")
+    kept = plain.join(rest, "doc_id", "left_anti")
+    return kept.select(*restored(kept, plain, docs))

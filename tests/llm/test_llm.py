@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from actimetry.llm import (decontaminate, merkle, mixing, personal_data, quality, queries, secret_scan, simhash,
                            suffix_dedup, toxicity, url_trust)
+from actimetry.llm.common import held_out
 from actimetry.llm.components import components
 from tools.oracle_check import canon
 
@@ -368,3 +369,33 @@ def test_pipeline_stages(spark):
             assert set(a) == set(b) and not any(secret_scan.base_spans(r.text) for r in b.values())
         ins = out
     assert corpus_pipeline.run(spark, SF).count() == ins.count()
+
+
+CLASHING = ("score__", "keep__", "hits__", "n_words__", "items__", "source__", "topic__", "weight__", "copies__", "mix_topic", "fp",
+            "component_id", "x0", "a.b")
+
+
+def test_stages_keep_extra_columns_whatever_their_names(spark):
+    rows = [(i, t, "en", "web", len(t or ""), *[f"{c}{i}" for c in CLASHING])
+            for i, t in enumerate(["a plain text of some words", None, "", "password = hunter22x and more words"])]
+    ins = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, "
+                                + ", ".join(f"`{c}` string" for c in CLASHING))
+    items = spark.createDataFrame([("i", "entirely other words")], "item_id string, text string")
+    known = spark.createDataFrame([(0, 1), (1, 1), (3, 1)], "doc_id long, quality int")
+    for out in (quality.keep_good(ins, known, 0.0), simhash.keep_one(ins), decontaminate.remove(ins, items), secret_scan.redact(ins),
+                mixing.sample(ins, targets={"lang": {"en": 1.0}, "source": {}, "topic": 1.0}, rate=1000.0, sweeps=1)):
+        assert out.columns[:len(ins.columns)] == ins.columns or "mix_weight" in out.columns
+        got = {r["doc_id"]: r for r in out.collect()}
+        assert got[0]["text"] == rows[0][1]
+        for c in CLASHING:
+            if c != "mix_topic" or "mix_weight" not in out.columns:
+                assert got[0][c] == f"{c}0"
+
+
+def test_sample_of_labels_is_bounded_and_the_same_with_more_partitions(spark):
+    ids = spark.range(5000).withColumn("quality", F.lit(1))
+    texts = spark.range(5000).selectExpr("id AS doc_id", "'t' AS text")
+    one, many = (sorted(r.doc_id for r in quality.sample(texts, ids.withColumnRenamed("id", "doc_id").repartition(n), "quality", 100)
+                        .collect()) for n in (1, 40))
+    want = ids.where(~held_out("id")).orderBy(F.xxhash64("id"), "id").limit(100)
+    assert one == many == sorted(r.id for r in want.collect())
