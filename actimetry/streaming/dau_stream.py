@@ -36,6 +36,7 @@ from actimetry.sources.logs import dau_table_schema, read_dau_table, read_partit
 
 STATS_SCHEMA = T.StructType([
     T.StructField("rows_in", T.LongType()),
+    T.StructField("rows_unseen", T.LongType()),
     T.StructField("rows_first", T.LongType()),
     T.StructField("rows_new", T.LongType()),
     T.StructField("run", T.StringType()),
@@ -161,9 +162,12 @@ class DauTable:
             hours = new.groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("ct"))
             write_by_batch(hours, self.hours_path, batch_id, ("log_date",), self.run)
 
+            # rows whose key was not stored before, counted by key first: a hot device is one row per task
+            unseen = (batch.groupBy("mid", "log_date").agg(F.count(F.lit(1)).alias("n"))
+                      .join(new.select("mid", "log_date"), ["mid", "log_date"], "left_semi").agg(F.sum("n")).first()[0])
             stats = spark.createDataFrame(
-                [(batch.count(), first.count(), new.count())],
-                "rows_in long, rows_first long, rows_new long").coalesce(1)
+                [(batch.count(), unseen or 0, first.count(), new.count())],
+                "rows_in long, rows_unseen long, rows_first long, rows_new long").coalesce(1)
             write_by_batch(stats, self.stats_path, batch_id, (), self.run)
         finally:
             for held in (new, first):

@@ -107,3 +107,13 @@ def test_processing_time_trigger_over_two_batches(spark, tmp_root):
     finally:
         q.stop()
     assert sorted((r.mid, r.batch_id) for r in t.dau().collect()) == [("a", 0), ("b", 1)]
+
+
+def test_stage_counts_are_those_of_raw_unseen_and_new_rows(spark, tmp_root):
+    t = DauTable(spark, tmp_root, rows(spark, []).schema, tie_break=["seq"])
+    t.process(rows(spark, [(1, "a", 1, "2024-01-15", "01"), (2, "a", 2, "2024-01-15", "01")]), 0)
+    t.process(rows(spark, [(3, "a", 3, "2024-01-15", "01"), (4, "b", 4, "2024-01-15", "01"), (5, "b", 5, "2024-01-15", "02"),
+                           (6, "a", 6, "2024-01-16", "01")]), 1)
+    t.process(rows(spark, [(7, "b", 7, "2024-01-15", "03")]), 2)
+    assert sorted((r.batch_id, r.rows_in, r.rows_unseen, r.rows_first, r.rows_new) for r in t.stats().collect()) == [
+        (0, 2, 2, 1, 1), (1, 4, 3, 3, 2), (2, 1, 0, 1, 0)]
