@@ -4,8 +4,10 @@ The patterns give the base spans. The entropy pass looks at every long unbroken
 key-like characters, slides a window of ``WINDOW`` characters over it, keeps the count of each
 symbol as one character leaves and one enters, and so gets the Shannon entropy of every window
 in constant time per step. Each character class (hex, letters and digits, base64-like) has
-its own threshold. Windows at or over it join to spans; a span that the allow-list explains or
-that a base span already touches is left out.
+its own threshold. Windows at or over it join to spans; a span that the allow-list explains is left out.
+A piece between ``/`` and ``=`` that holds a placeholder's marker is left out alone: what stands before and after it
+counts as strings of their own. What base spans cover is cut out of a span, and every rest that the
+allow-list does not explain is kept, however short.
 
 Defined results: a null or empty text has no spans; a very long text costs time in proportion
 to its length; repeated rows are scanned one by one; extra columns are ignored by the report and
@@ -17,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +42,10 @@ ALLOW = (
     re.compile(r"[A-Za-z]+(?:[-_/][A-Za-z]+)*"),                  # words, paths and slugs of letters
     re.compile(r"[0-9]+(?:[-_/=+][0-9]+)*"),                      # plain numbers and dates
     re.compile(r"[-=_+/]+"),                                      # rules drawn with one sign
-    re.compile(r"(?i).*(?:example|placeholder|changeme|xxxxx|12345678|abcdefgh).*"),
 )
+PIECE = re.compile(r"[^/=]+")
+MARKER = re.compile(r"(?i)example|placeholder|changeme|xxxxx|12345678|abcdefgh")
+SIGNS = "-=_+/"
 _CLOG = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
 
 
@@ -72,12 +77,31 @@ def allowed(s: str, allow=ALLOW) -> bool:
     return any(a.fullmatch(s) for a in allow)
 
 
+def _stripped(text: str, a: int, b: int) -> tuple[int, int]:
+    s = text[a:b]
+    return b - len(s.lstrip(SIGNS)), a + len(s.rstrip(SIGNS))
+
+
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """The long strings of key-like characters, without their pieces that hold a marker."""
+    for m in CANDIDATE.finditer(text):
+        if not MARKER.search(m.group()):
+            yield m.span()
+            continue
+        at = m.start()
+        for piece in PIECE.finditer(text, *m.span()):
+            if MARKER.search(piece.group()):
+                yield _stripped(text, at, piece.start())
+                at = piece.end()
+        yield _stripped(text, at, m.end())
+
+
 def entropy_spans(text: str, allow=ALLOW) -> list[tuple[int, int]]:
     """Joined windows over the threshold that hold a digit and a letter, allow-listed ones left out."""
     found: list[tuple[int, int]] = []
-    for m in CANDIDATE.finditer(text):
-        s, at = m.group(), m.start()
-        if allowed(s, allow):
+    for at, end in candidates(text):
+        s = text[at:end]
+        if len(s) < WINDOW or allowed(s, allow):
             continue
         least, runs = THRESHOLD[char_class(s)], []
         for i, h in enumerate(window_entropies(s)):
@@ -103,9 +127,31 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out, key=lambda s: (s[0], s[2]))
 
 
+def _uncovered(text: str, spans, base) -> Iterator[tuple[int, int]]:
+    """``spans`` without what ``base`` covers; both are in order."""
+    i = 0
+    for a, b in spans:
+        at, cut, rests = a, False, []
+        while i < len(base) and base[i][0] < b:
+            s, e, _ = base[i]
+            if e > at:
+                rests.append((at, s))
+                at, cut = e, True
+            if e > b:               # may reach into the next span too
+                break
+            i += 1
+        if not cut:
+            yield a, b
+            continue
+        for x, y in [*rests, (at, b)]:
+            x, y = _stripped(text, x, max(x, y))
+            if x < y and not allowed(text[x:y]):
+                yield x, y
+
+
 def all_spans(text: str, base=None) -> list[tuple[int, int, int]]:
     base = base_spans(text) if base is None else base
-    more = [(a, b, 3) for a, b in entropy_spans(text) if not any(a < e and s < b for s, e, _ in base)]
+    more = [(a, b, 3) for a, b in _uncovered(text, entropy_spans(text), base)]
     return sorted(base + more, key=lambda s: (s[0], s[2])) if more else base
 
 
