@@ -23,6 +23,7 @@ read. A block is one unit of memory (about 100 bytes for each of its own); a lon
 from __future__ import annotations
 
 import hashlib
+import itertools
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -30,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -339,14 +341,17 @@ def removed(block: Block, first: np.ndarray, shared: np.ndarray, runs: np.ndarra
 # ---- Spark ---------------------------------------------------------------------------------
 
 def pack(docs: DataFrame) -> DataFrame:
-    """Blocks (block, ids, sizes, blob) of consecutive documents."""
+    """Blocks (block, ids, sizes, blob) of consecutive documents. A block's id is its partition and its place
+    there: a task that runs again gives the same blocks as long as ``docs`` gives it the same rows in the same order,
+    as a scan of files does."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, size = [], [], 0
+        number = itertools.count(TaskContext.get().partitionId() << 32)
 
         def block():
             blob = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
             return pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().int & (2 ** 63 - 1)]), pa.array([ids], pa.list_(pa.int64())),
+                [pa.array([next(number)], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
                  pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([blob])],
                 names=["block", "ids", "sizes", "blob"])
 

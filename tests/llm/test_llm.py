@@ -346,6 +346,15 @@ def test_suffix_dedup_equals_brute_force(spark, docs, empty, monkeypatch):
     assert suffix_dedup.report(empty).count() == 0
 
 
+def test_blocks_are_the_same_when_a_task_runs_again(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 3000)
+    scan = spark.read.parquet(f"{SF}/documents.parquet")
+    one, two = ({r.block: (r.ids, bytes(r.blob)) for r in suffix_dedup.pack(scan).collect()} for _ in range(2))
+    assert one == two and len(one) > 1
+    both = [r.block for r in suffix_dedup.pack(scan.union(scan)).collect()]
+    assert len(set(both)) == len(both) == 2 * len(one)
+
+
 def test_blind_trie_orders_and_groups():
     raw = b"".join(bytes([97 + i % 3]) for i in range(200)) + b"abcabx" * 40 + bytes(range(60)) * 3
     at = np.arange(len(raw) - 50)
