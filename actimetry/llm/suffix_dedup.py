@@ -427,17 +427,27 @@ def _exchange(rows: DataFrame, fn) -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        for batch in batches:
-            for b, block, part in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                held.setdefault(b, []).append((block, part))
-        for b in list(held):
-            got = [(block, part) for block, part in fn(held.pop(b)) if len(part)]
+        for parts in _buckets(batches):
+            got = [(block, part) for block, part in fn(parts) if len(part)]
             if got:
                 yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()),
                                                   pa.array([g[1] for g in got], pa.binary())], names=["block", "part"])
 
-    return rows.repartition(n, "bucket").mapInArrow(run, "block long, part binary")
+    return rows.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "block long, part binary")
+
+
+def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
+    """The parts of one bucket after the other, from rows sorted by bucket: only one is held at a time."""
+    held, at = [], None
+    for batch in batches:
+        for b, block, part in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if held and b != at:
+                yield held
+                held = []
+            at = b
+            held.append((block, part))
+    if held:
+        yield held
 
 
 def _grouped(parts):

@@ -7,6 +7,7 @@ from zlib import crc32
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -355,6 +356,19 @@ def test_blocks_are_the_same_when_a_task_runs_again(spark, monkeypatch):
     assert len(set(both)) == len(both) == 2 * len(one)
 
 
+def test_a_bucket_is_answered_before_the_next_is_read():
+    read = []
+
+    def batches():
+        for b in range(3):
+            read.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array([b, b]), pa.array([7, 8]), pa.array([b"x", b"y"])], names=["bucket", "block", "part"])
+
+    got = suffix_dedup._buckets(batches())
+    assert next(got) == [(7, b"x"), (8, b"y")] and read == [0, 1]
+    assert len(list(got)) == 2
+
+
 def test_blind_trie_orders_and_groups():
     raw = b"".join(bytes([97 + i % 3]) for i in range(200)) + b"abcabx" * 40 + bytes(range(60)) * 3
     at = np.arange(len(raw) - 50)
