@@ -283,18 +283,42 @@ class BlindTrie:
                 yield node[1]
 
 
+def multikey(word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Multikey quicksort of the positions ``at`` by ``SHALLOW`` bytes, and which of them begin a group of equal ones. A step parts
+    every open group, all at once, by a pivot character of eight bytes: less, equal (these go on with the next
+    character) and greater."""
+    pos, lead, rng = at.copy(), np.arange(len(at)) == 0, np.random.default_rng(0)
+    start, size, depth = np.array([0]), np.array([len(at)]), np.array([0])
+    while True:
+        todo = (size > 1) & (depth < SHALLOW)
+        start, size, depth = start[todo], size[todo], depth[todo]
+        if not len(start):
+            return pos, lead
+        group, off = np.repeat(np.arange(len(start)), size), np.cumsum(size) - size
+        slot = np.arange(len(group)) + (start - off)[group]
+        p = pos[slot]
+        char = word[p + depth[group]].astype(np.uint64)
+        pivot = char[off + (rng.random(len(size)) * size).astype(np.int64)][group]
+        side = (char >= pivot).astype(np.int64) + (char > pivot)
+        count = np.bincount(3 * group + side, minlength=3 * len(start))
+        begin, to = np.cumsum(count) - count, np.empty(len(p), dtype=np.int64)
+        for k in range(3):
+            of = np.flatnonzero(side == k)
+            mine = count[k::3]
+            to[of] = np.arange(len(of)) + (begin[k::3] - np.cumsum(mine) + mine)[group[of]]
+        pos[slot[to]] = p
+        start = (np.repeat(start - off, 3) + begin)[count > 0]
+        depth = (np.repeat(depth, 3) + np.tile([0, 8, 0], len(depth)))[count > 0]
+        size = count[count > 0]
+        lead[start] = True
+
+
 def sorted_groups(raw: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The positions ``at`` in the order of the LENGTH bytes there, and where each group of equal strings begins."""
     if not len(at):
         return at, at
     word = np.ndarray(shape=(len(raw) - 7,), dtype=">u8", buffer=raw, strides=(1,))
-    pos, group = at, np.zeros(len(at), dtype=np.int64)
-    for depth in range(0, SHALLOW, 8):              # quicksort on the next eight bytes, all groups at once
-        char = word[pos + depth].astype(np.uint64)
-        order = np.lexsort((char, group))
-        pos, char, group = pos[order], char[order], group[order]
-        group = np.cumsum(np.concatenate(([False], (group[1:] != group[:-1]) | (char[1:] != char[:-1]))))
-    lead = np.concatenate(([True], group[1:] != group[:-1]))
+    pos, lead = multikey(word, at)
     cut = np.concatenate((np.flatnonzero(lead), [len(pos)]))
     several = np.flatnonzero(np.diff(cut) > 1)
     for s, e in zip(cut[several].tolist(), cut[several + 1].tolist()):

@@ -378,6 +378,18 @@ def test_blind_trie_orders_and_groups():
     assert [i for i in range(len(strings)) if i == 0 or strings[i] != strings[i - 1]] == lead.tolist()
 
 
+def test_shallow_pass_is_a_multikey_quicksort(monkeypatch):
+    raw = bytes(np.random.default_rng(4).integers(97, 99, 4000, dtype=np.uint8)) + b"ab" * 300
+    at = np.arange(len(raw) - 50)
+    word = np.ndarray(shape=(len(raw) - 7,), dtype=">u8", buffer=raw, strides=(1,))
+    for name in ("lexsort", "argsort", "sort"):
+        monkeypatch.setattr(np, name, None)
+    pos, lead = suffix_dedup.multikey(word, at)
+    keys = [raw[p:p + suffix_dedup.SHALLOW] for p in pos]
+    assert sorted(pos.tolist()) == at.tolist() and keys == sorted(keys)
+    assert lead.tolist() == [i == 0 or keys[i] != keys[i - 1] for i in range(len(keys))]
+
+
 # ---- pipeline
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
