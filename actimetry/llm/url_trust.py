@@ -8,7 +8,9 @@ their number. Trust is the personalised PageRank from the trusted seeds along th
 distrusted seeds against them. A host is blocked where its distrust is larger than its trust.
 
 Both rankings run in one table (kind, host), one join and one sum by key for each round; edges are
-summed by host pair before the first shuffle of them, and the ranks are written every few rounds.
+summed by host pair before the first shuffle of them. The ranks are written every few rounds, and go on until no verdict
+can change: what is left to move is at most a fixed part of what moved since the last write, and each
+host with a rank has a larger gap than that, or it is under ``TOLERANCE``.
 
 Defined results: a null url, or one without ``://``, has empty host and path and is blocked; a host that
 neither seed reaches is allowed; null html has no links; repeated pages are judged one by one (and count twice as
@@ -17,6 +19,8 @@ seeds); an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +30,10 @@ from actimetry.llm.common import ascii_lower, materialise
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 DAMPING = 0.85
-ROUNDS = 10
+ROUNDS = 10                 # of the SQL twin only
 WRITE_EVERY = 5
 MARGIN = 1e-12
+TOLERANCE = MARGIN / 10     # summed error of all ranks
 _LINK = r"""(?i)(?:href|src)\s*=\s*["']?((?:https?:)?//[^"'\s>]+)"""
 
 
@@ -67,7 +72,7 @@ def host_edges(judged: DataFrame) -> DataFrame:
     return (linked.union(both).where("src != '' AND dst != '' AND src != dst").groupBy("src", "dst").agg(F.sum("w").alias("w")))
 
 
-def host_scores(judged: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def host_scores(judged: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, trust, distrust) from ``judged`` (host, html, ruled)."""
     edges = materialise(host_edges(judged), "trust-edges")
     steps = edges.select(F.lit("t").alias("kind"), F.col("src").alias("u"), F.col("dst").alias("v"), "w").union(
@@ -82,16 +87,32 @@ def host_scores(judged: DataFrame, rounds: int = ROUNDS, damping: float = DAMPIN
     sums = nodes.groupBy("kind").agg(F.sum("n").alias("all"))        # two rows
     seeds = materialise(nodes.join(F.broadcast(sums), "kind").select(
         "kind", "host", F.when(F.col("all") > 0, F.col("n") / F.col("all")).otherwise(0.0).alias("seed")), "trust-seeds")
-    rank = seeds.withColumnRenamed("seed", "r")
-    for i in range(rounds):
-        given = (steps.join(rank.withColumnRenamed("host", "u"), ["kind", "u"])
-                 .groupBy("kind", F.col("v").alias("host")).agg(F.sum(F.col("r") * F.col("p")).alias("g")))
-        rank = seeds.join(given, ["kind", "host"], "left").select(
-            "kind", "host", (F.lit(1 - damping) * F.col("seed") + F.lit(damping) * F.coalesce("g", F.lit(0.0))).alias("r"))
-        if (i + 1) % WRITE_EVERY == 0:
-            rank = materialise(rank, "trust-rank")
+    rank, reached = seeds.withColumnRenamed("seed", "r"), -1
+    shrunk = damping ** WRITE_EVERY
+    # the two rankings start at most 4 from their limits, summed over all hosts, and no round grows that
+    for _ in range(math.ceil(math.log(tolerance / 4) / math.log(damping) / WRITE_EVERY)):
+        before = rank
+        for _ in range(WRITE_EVERY):
+            given = (steps.join(rank.withColumnRenamed("host", "u"), ["kind", "u"])
+                     .groupBy("kind", F.col("v").alias("host")).agg(F.sum(F.col("r") * F.col("p")).alias("g")))
+            rank = seeds.join(given, ["kind", "host"], "left").select(
+                "kind", "host", (F.lit(1 - damping) * F.col("seed") + F.lit(damping) * F.coalesce("g", F.lit(0.0))).alias("r"))
+        rank = materialise(rank, "trust-rank")
+        per_host = _per_host(rank.join(before.withColumnRenamed("r", "was"), ["kind", "host"]),
+                             F.sum(F.abs(F.col("r") - F.col("was"))).alias("moved"), F.sum((F.col("r") > 0).cast("long")).alias("n"))
+        now = per_host.agg(F.sum("moved").alias("moved"), F.sum("n").alias("n"), F.min(F.when(F.col("n") > 0, F.abs(
+            F.col("distrust") - F.col("trust") - F.lit(MARGIN)))).alias("gap")).first()
+        left = (now["moved"] or 0.0) * shrunk / (1 - shrunk)
+        # a host that no seed has reached so far has no gap to go by
+        if left <= tolerance or (now["n"] == reached and left < now["gap"]):
+            break
+        reached = now["n"]
+    return _per_host(rank)
+
+
+def _per_host(rank: DataFrame, *more: Column) -> DataFrame:
     return rank.groupBy("host").agg(F.sum(F.when(F.col("kind") == "t", F.col("r")).otherwise(0.0)).alias("trust"),
-                                    F.sum(F.when(F.col("kind") == "d", F.col("r")).otherwise(0.0)).alias("distrust"))
+                                    F.sum(F.when(F.col("kind") == "d", F.col("r")).otherwise(0.0)).alias("distrust"), *more)
 
 
 def report(pages: DataFrame, rules=RULES) -> DataFrame:

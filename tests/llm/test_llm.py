@@ -82,6 +82,35 @@ def test_url_trust_follows_links_and_rules(spark):
     assert url_trust.report(pages).count() == 12 and url_trust.report(pages.limit(0)).count() == 0
 
 
+def test_url_trust_goes_on_until_no_verdict_can_change(spark):
+    chain = [(100 + i, f"http://c{i}.net/", f'<a href="http://c{i + 1}.net/">') for i in range(14)]      # blocked at its far end
+    rows = chain + [(120, "http://c14.net/", '<a href="http://shop.com/">'), (121, "http://shop.com/de/1", "")]
+    # a.foo.com and foo.com: equal seed totals, more trust than distrust only near the limit
+    rows += [(200 + i, "http://a.foo.com/de/1", None) for i in range(5)] + [(210 + i, "http://foo.com/fr/1", None) for i in range(7)]
+    rows += [(220, "http://a.foo.com/x", None), (221, "http://foo.com/x", None), (222, "http://bar.com/fr/1", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    judged = pages.select("html", url_trust.host_of(F.col("url")).alias("host"), url_trust._decide(
+        url_trust.host_of(F.col("url")), url_trust.path_of(F.col("url")), url_trust.RULES, lambda v, h, p: v).alias("ruled")).cache()
+    edges = {(r.src, r.dst): r.w for r in url_trust.host_edges(judged).collect()}
+    names = sorted({r.host for r in judged.collect()} | {h for e in edges for h in e})
+    at = {h: i for i, h in enumerate(names)}
+    w = np.zeros((len(names), len(names)))
+    for (a, b), x in edges.items():
+        w[at[a], at[b]] = x
+    diff = {}
+    for m, ruled, sign in ((w, "allow", -1), (w.T, "block", 1)):
+        seed = np.zeros(len(names))
+        for r in judged.where(F.col("ruled") == ruled).collect():
+            seed[at[r.host]] += 1
+        p = m / np.maximum(m.sum(1, keepdims=True), 1e-300)
+        rank = np.linalg.solve(np.eye(len(names)) - 0.85 * p.T, 0.15 * seed / seed.sum())
+        for h in names:
+            diff[h] = diff.get(h, 0) + sign * rank[at[h]]
+    got = {r.host: r.distrust - r.trust for r in url_trust.host_scores(judged).collect()}
+    assert {h for h, x in got.items() if x > url_trust.MARGIN} == {h for h, x in diff.items() if x > url_trust.MARGIN}
+    assert got["c0.net"] > url_trust.MARGIN             # fifteen steps from the seed
+
+
 # ---- 2 mixing
 def test_mixing_rakes_as_a_plain_loop_and_draws_by_expectation(spark, docs, empty):
     got = mixing.report(docs, rate=0.7, sweeps=2).toPandas()
