@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from actimetry.llm import collocations, manifest, personal_data, toxicity, url_trust, suffix_dedup, merkle, mixing, quality, decontaminate, simhash, secret_scan
+from actimetry.llm import collocations, katz, manifest, personal_data, toxicity, url_trust, suffix_dedup, merkle, mixing, quality, decontaminate, simhash, secret_scan
 from actimetry.llm.common import table
 
 
@@ -56,7 +56,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op12_collocations, op13_merkle_manifest, op7_personal_data, op5_toxicity, op1_url_trust, op9_suffix_dedup, op4_merkle_fingerprint, op2_mixing, op10_quality_classifier, op3_decontaminate, op6_simhash_near_dedup, op8_secret_scan,)}
+def op11_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op11_katz_scoring, op12_collocations, op13_merkle_manifest, op7_personal_data, op5_toxicity, op1_url_trust, op9_suffix_dedup, op4_merkle_fingerprint, op2_mixing, op10_quality_classifier, op3_decontaminate, op6_simhash_near_dedup, op8_secret_scan,)}
 ORACLE: dict[str, str] = {"op1_url_trust": url_trust.REPORT_SQL, "op3_decontaminate": decontaminate.REPORT_SQL,
                           "op4_merkle_fingerprint": merkle.REPORT_SQL, "op13_merkle_manifest": manifest.REPORT_SQL,
                           "op12_collocations": collocations.REPORT_SQL}
