@@ -70,14 +70,14 @@ def cmd_dau(spark, args) -> None:
     from actimetry.streaming.collector import JsonDauConsumer, start_json_dau_stream
     from actimetry.streaming.dau_stream import DauTable
     table = DauTable(spark, args.table, _dau_record(), seen_mode=args.seen_mode, tz=args.tz)
-    q = start_json_dau_stream(_lines(spark, args), JsonDauConsumer(table, f"{args.table}/quarantine"),
+    q = start_json_dau_stream(_lines(spark, args), JsonDauConsumer(table, f"{args.table}/rejected"),
                               args.checkpoint, args.tz, _trigger(args), _partitions(spark, args))
     q.awaitTermination()
 
 
 def _dau(spark, args):
-    from actimetry.sources.logs import read_dau_table
-    return read_dau_table(spark, f"{args.table.rstrip('/')}/dau", _dau_record())
+    from actimetry.streaming.dau_table import DauTable
+    return DauTable(spark, args.table, _dau_record(), create=False).dau()
 
 
 def cmd_first_seen(spark, args) -> None:

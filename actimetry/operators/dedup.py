@@ -28,6 +28,19 @@ def first_per_key(df: DataFrame, keys=KEYS, order=("ts",), tie_break=None) -> Da
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def first_with_count(df: DataFrame, keys=KEYS, order=("ts",), tie_break=None, count: str = "rows__") -> DataFrame:
+    """``first_per_key`` with the number of rows of each key, in one grouped aggregate: a hot device is one row per task
+    before the shuffle. The other columns must be orderable (no map, no variant)."""
+    keys, order = list(keys), list(order)
+    rest = [c for c in df.columns if c not in keys]
+    ties = list(tie_break) if tie_break is not None else [c for c in rest if c not in order]
+    # nulls last, as in first_per_key
+    rank = [F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")).alias(f"k{i}") for i, c in enumerate(order + ties)]
+    least = F.min(F.struct(*rank, F.struct(*rest).alias("row"))).alias("least__")
+    return (df.groupBy(*keys).agg(least, F.count(F.lit(1)).alias(count))
+            .select(*[F.col(c) if c in keys else F.col("least__.row").getField(c).alias(c) for c in df.columns], count))
+
+
 def anti_asof(batch: DataFrame, seen: DataFrame, as_of: str) -> DataFrame:
     """Drop batch rows whose device is in the set of day ``as_of`` (the set of
     'today by the clock', whatever the record's own date is)."""
@@ -40,14 +53,6 @@ def anti_by_date(batch: DataFrame, seen: DataFrame) -> DataFrame:
     return batch.join(seen.select("mid", "log_date"), ["mid", "log_date"], "left_anti")
 
 
-def dedup_batch(batch: DataFrame, seen: DataFrame | None = None, tie_break=None) -> DataFrame:
-    """In-batch first-per-key, then drop keys already stored. Dedup first shrinks the
-    join input; both steps keep/drop whole ``(mid, log_date)`` groups, so the order
-    does not change the result."""
-    first = first_per_key(batch, tie_break=tie_break)
-    return first if seen is None else anti_by_date(first, seen)
-
-
 def distinct_devices(df: DataFrame) -> DataFrame:
     """Distinct devices per day ``(log_date, devices)``; equals the DAU count per day."""
     return df.groupBy("log_date").agg(F.count_distinct("mid").alias("devices"))

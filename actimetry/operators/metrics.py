@@ -83,12 +83,6 @@ def first_seen(dau: DataFrame, upto: str | None = None) -> DataFrame:
     )
 
 
-def new_device_total(dau: DataFrame, date: str) -> DataFrame:
-    """Devices whose first DAU day is ``date`` → one row ``(new_devices BIGINT)``."""
-    return first_seen(dau, upto=date).where(F.col("first_date") == date) \
-        .agg(F.count(F.lit(1)).alias("new_devices"))
-
-
 def new_devices_by_hour(firsts: DataFrame) -> DataFrame:
     """First-seen rows → new devices per first day and hour ``(log_date, log_hour, ct)``."""
     return firsts.groupBy(F.col("first_date").alias("log_date"), F.col("first_hour").alias("log_hour")) \
@@ -100,11 +94,6 @@ def new_devices_by_day(firsts: DataFrame) -> DataFrame:
     return firsts.groupBy(F.col("first_date").alias("log_date")).agg(F.count(F.lit(1)).alias("new_devices"))
 
 
-def new_device_hours(dau: DataFrame, dates: list[str]) -> DataFrame:
-    """New devices by first hour on each of ``dates``: ``(log_date, log_hour, ct)``."""
-    return new_devices_by_hour(first_seen(dau, upto=max(dates)).where(F.col("first_date").isin(list(dates))))
-
-
 def stage_counts(batch: DataFrame, seen: DataFrame) -> DataFrame:
     """Row counts at the three checkpoints of one batch, in the original order:
     ``input`` → after the set filter (``after_anti``) → after in-batch first-per-key

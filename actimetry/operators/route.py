@@ -36,13 +36,17 @@ def _problem(required: tuple[str, ...]) -> Column:
     return expr
 
 
-def split_valid(df: DataFrame, required: tuple[str, ...] = ("mid", "ts")) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, quarantined rows with ``reason``). Needs ``_corrupt_record`` (from
-    ``parse_logs``); a frame without it is treated as well-formed."""
+def tag_problems(df: DataFrame, required: tuple[str, ...] = ("mid", "ts")) -> DataFrame:
+    """``df`` with ``reason``: null for a good row, else why it is rejected. A frame without ``_corrupt_record`` (from
+    ``parse_logs``) is treated as well-formed."""
     if CORRUPT_COL not in df.columns:
         df = df.withColumn(CORRUPT_COL, F.lit(None).cast("string"))
-    reason = _problem(required)
-    tagged = df.withColumn("reason", reason)
+    return df.withColumn("reason", _problem(required))
+
+
+def split_valid(df: DataFrame, required: tuple[str, ...] = ("mid", "ts")) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, quarantined rows with ``reason``)."""
+    tagged = tag_problems(df, required)
     good = tagged.where(F.col("reason").isNull()).drop("reason", CORRUPT_COL)
     bad = tagged.where(F.col("reason").isNotNull())
     return good, bad

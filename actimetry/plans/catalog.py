@@ -34,13 +34,13 @@ from actimetry.plans.report import (
 from actimetry.plans.sql import dau_hours_sql, dau_total_sql, gmv_hours_sql, gmv_total_sql
 from actimetry.schemas import DAU_COLUMNS
 from actimetry.sinks.files import preview
-from actimetry.sources.logs import read_dau_table, read_raw_lines, seen_keys
+from actimetry.sources.logs import read_raw_lines, seen_keys
 from actimetry.sources.tables import (
     LOG_COLUMNS as LOG_OUT, STARTUP_COLUMNS as DAU_OUT, events_in_days, logs_from_events,
     orders_from_events, orders_from_orders_table, raw_lines_from_events, read_table,
 )
 from actimetry.streaming.collector import Collector, stamp_lines
-from actimetry.streaming.dau_stream import DauTable
+from actimetry.streaming.dau_table import DauTable
 from actimetry.streaming.first_seen import FirstSeenTable
 
 DATE = "2024-01-15"
@@ -89,19 +89,20 @@ def _split_batches(spark, sf):
 
 
 # ------------------------------------------------------------------- DAU table (K3)
-_TABLES: dict[tuple[str, str], str] = {}
+_TABLES: dict[tuple[str, str], DauTable] = {}
 
 
-def dau_table(spark: SparkSession, sf: str) -> str:
-    """Build the DAU table from two arriving batches (logs before / after SPLIT) with the
-    batch writer, once per application and input folder; returns its path."""
+def dau_table(spark: SparkSession, sf: str) -> DauTable:
+    """The DAU table of two arriving batches (logs before / after SPLIT), with the sample day compacted
+    after the first, built by the batch writer once per application and input folder."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _TABLES:
         path = scratch_dir(spark, "dau-table")
         table = DauTable(spark, path, startup_logs(spark, sf).schema, tie_break=["seq"])
         table.process(startup_logs(spark, sf, before=SPLIT), 0)
+        table.compact(DATE)
         table.process(startup_logs(spark, sf, since=SPLIT), 1)
-        _TABLES[key] = table.dau_path
+        _TABLES[key] = table
     return _TABLES[key]
 
 
@@ -120,8 +121,7 @@ def first_table(spark: SparkSession, sf: str) -> FirstSeenTable:
 
 
 def _read_dau_table(spark, sf, dates=None) -> DataFrame:
-    schema = startup_logs(spark, sf).schema
-    return read_dau_table(spark, dau_table(spark, sf), schema, dates=dates)
+    return dau_table(spark, sf).dau(dates)
 
 
 # ------------------------------------------------------------------------ sources

@@ -10,6 +10,8 @@ new run, and everything already stored counts as seen.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +41,32 @@ def write_by_batch(df: DataFrame, path: str, batch_id: int, partition_cols=("log
        .partitionBy(*partition_cols, "run", "batch_id").parquet(path))
 
 
+def write_bucketed(df: DataFrame, path: str, n: int, column: str) -> None:
+    """Write ``df`` to ``path`` in ``n`` files, one per bucket of ``column``, each sorted by it. The catalog needs a name for
+    that while it is written and forgets it at once; the files stay."""
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    try:
+        (df.repartition(n, column).write.format("parquet").bucketBy(n, column).sortBy(column)
+           .option("path", path).saveAsTable(name))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def bucketed_table(spark: SparkSession, path: str, schema: T.StructType, n: int, column: str) -> DataFrame:
+    """The files of ``write_bucketed`` as a frame that is known to be dealt by ``column``: joins on it exchange only their
+    other side."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path '{path}') "
+              f"CLUSTERED BY (`{column}`) SORTED BY (`{column}`) INTO {int(n)} BUCKETS")
+    try:
+        df = spark.table(name)
+        df.schema                     # resolved here; the name is not needed any more
+        return df
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def preview(df: DataFrame, n: int = 10, order=("ts",)) -> DataFrame:
     """First ``n`` rows in ``order`` (a top-k: each task keeps n, one merge)."""
     return df.orderBy(*order).limit(n)

@@ -53,13 +53,6 @@ def dau_table_schema(record: T.StructType) -> T.StructType:
                                   T.StructField("batch_id", T.LongType())])
 
 
-def stored_before(run: str, batch_id: int):
-    """Rows that count as already stored for batch ``batch_id`` of writer ``run``: every
-    other writer's rows, and this writer's earlier batches (its own current or later
-    folders are a previous attempt being replayed)."""
-    return ~((F.col("run") == F.lit(run)) & (F.col("batch_id") >= F.lit(int(batch_id))))
-
-
 def path_exists(spark: SparkSession, pattern: str) -> bool:
     """Whether any path matches ``pattern`` in its file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
@@ -86,17 +79,10 @@ def read_partitioned(spark: SparkSession, root: str, schema: T.StructType | str,
     return df.where(F.col(column).isin(values))
 
 
-def read_dau_table(spark: SparkSession, path: str, record: T.StructType,
-                   dates: list[str] | None = None, before: tuple[str, int] | None = None) -> DataFrame:
-    """Scan the DAU table. With ``dates`` only those ``log_date=`` folders are listed, so
-    the per-batch read does not walk the whole table; ``before=(run, batch_id)`` keeps
-    what counts as stored for that batch (a partition filter). The explicit schema keeps
-    ``log_date`` text."""
-    schema = dau_table_schema(record)
-    df = read_partitioned(spark, path, schema, "log_date" if dates is not None else None, dates)
-    if before is not None:
-        df = df.where(stored_before(*before))
-    return df
+def read_dau_table(spark: SparkSession, path: str, record: T.StructType, dates: list[str] | None = None) -> DataFrame:
+    """Scan a folder of DAU rows as it is on disk. With ``dates`` only those ``log_date=`` folders are listed; the
+    explicit schema keeps ``log_date`` text. Readers of a table that is being written use ``DauTable.dau``."""
+    return read_partitioned(spark, path, dau_table_schema(record), "log_date" if dates is not None else None, dates)
 
 
 def seen_keys(dau: DataFrame, date: str | None = None) -> DataFrame:

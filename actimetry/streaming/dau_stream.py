@@ -1,67 +1,16 @@
-"""Cross-batch "first startup log per device per day".
-
-``DauTable.process(batch, batch_id)`` is the ``foreachBatch`` body:
-
-1. persist the micro-batch (it is read twice: its dates, then the write);
-2. in-batch first-per-key (row_number = 1, partial limit before the shuffle);
-3. left-anti join against the stored rows of the *same days* and *earlier batch ids*
-   (partition-pruned read; AQE chooses broadcast or sort-merge by measured size);
-4. one dynamic-overwrite write into ``log_date=…/batch_id=…`` – the table is the
-   device set, so set and data cannot disagree, and replaying a batch id rewrites
-   only its own folders (idempotent);
-5. hourly partial counts of the new rows, keyed the same way (so the running
-   hourly DAU costs O(batch), not O(day), and is replay-safe too);
-6. per-batch stage counts, counted over the persisted frames.
-
-The first arrived batch wins for a key, even if a later batch has a smaller ts.
-"""
+"""Streams over the stored table (``dau_table``) and their forms with state in Spark's state store."""
 
 from __future__ import annotations
 
-import datetime as _dt
 import hashlib
 from contextlib import contextmanager
-from zoneinfo import ZoneInfo
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
-
-from actimetry.operators.dedup import anti_asof, anti_by_date, first_per_key
-from actimetry.operators.route import split_valid
-from actimetry.sinks.files import init_table, write_by_batch
-from actimetry.sources.logs import dau_table_schema, read_dau_table, read_partitioned
-
-STATS_SCHEMA = T.StructType([
-    T.StructField("rows_in", T.LongType()),
-    T.StructField("rows_unseen", T.LongType()),
-    T.StructField("rows_first", T.LongType()),
-    T.StructField("rows_new", T.LongType()),
-    T.StructField("run", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
-])
-AS_OF_SCHEMA = T.StructType([
-    T.StructField("day", T.StringType()),
-    T.StructField("run", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
-])
-QUARANTINE_SCHEMA = T.StructType([
-    T.StructField("mid", T.StringType()),
-    T.StructField("ts", T.LongType()),
-    T.StructField("reason", T.StringType()),
-    T.StructField("run", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
-])
-HOURS_SCHEMA = T.StructType([
-    T.StructField("log_hour", T.StringType()),
-    T.StructField("ct", T.LongType()),
-    T.StructField("log_date", T.StringType()),
-    T.StructField("run", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
-])
 
+from actimetry.sources.logs import read_partitioned
+from actimetry.streaming.dau_table import DauTable
 
 @contextmanager
 def stream_partitions(spark: SparkSession, n: int | None):
@@ -86,112 +35,6 @@ def run_token(checkpoint: str) -> str:
     return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
-def today_in(tz: str) -> Callable[[], str]:
-    def today() -> str:
-        return _dt.datetime.now(ZoneInfo(tz)).date().isoformat()
-    return today
-
-
-class DauTable:
-    """DAU table at ``path/dau`` + hourly partial counts ``path/hours`` + stats ``path/stats``.
-
-    ``seen_mode``: ``"record_date"`` (default) drops a row whose device is already stored
-    for the row's own day; ``"as_of"`` drops a row whose device is stored for the day
-    ``as_of()`` returns when the batch runs (today by the clock in ``tz``), whatever the
-    row's day – a late row of yesterday is then checked against today's set.
-    One writer per table at a time: concurrent writers would not see each other's rows.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, record: T.StructType, tie_break=None,
-                 seen_mode: str = "record_date",
-                 as_of: Callable[[], str] | None = None, tz: str = "UTC", run: str = "batch"):
-        if seen_mode not in ("record_date", "as_of"):
-            raise ValueError(f"unknown seen_mode {seen_mode!r}")
-        self.spark, self.path, self.record, self.tie_break = spark, path.rstrip("/"), record, tie_break
-        self.seen_mode, self.as_of = seen_mode, as_of or today_in(tz)
-        self.run = run
-        self.dau_path = f"{self.path}/dau"
-        self.hours_path = f"{self.path}/hours"
-        self.stats_path = f"{self.path}/stats"
-        self.as_of_path = f"{self.path}/as_of"
-        self.quarantine_path = f"{self.path}/quarantine"
-        init_table(spark, self.dau_path, dau_table_schema(record), ["log_date", "run", "batch_id"])
-        init_table(spark, self.hours_path, HOURS_SCHEMA, ["log_date", "run", "batch_id"])
-        init_table(spark, self.stats_path, STATS_SCHEMA, ["run", "batch_id"])
-        init_table(spark, self.as_of_path, AS_OF_SCHEMA, ["run", "batch_id"])
-        init_table(spark, self.quarantine_path, QUARANTINE_SCHEMA, ["run", "batch_id"])
-
-    def _day_of(self, batch_id: int) -> str:
-        """The as-of day of a batch: fixed when the batch first runs, so a replay uses the same."""
-        kept = read_partitioned(self.spark, self.as_of_path, AS_OF_SCHEMA).where(
-            (F.col("run") == self.run) & (F.col("batch_id") == int(batch_id))).first()
-        if kept is not None:
-            return kept["day"]
-        day = self.as_of()
-        write_by_batch(self.spark.createDataFrame([(day,)], "day string").coalesce(1), self.as_of_path,
-                       batch_id, (), self.run)
-        return day
-
-    # -- the foreachBatch body ------------------------------------------------
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        cols = [f.name for f in self.record.fields]
-        # a null device or time can't be matched against what is stored: kept apart, not counted
-        batch, bad = split_valid(batch)
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        first = new = None
-        try:
-            write_by_batch(bad.select(*[F.col(f.name).cast(f.dataType) for f in QUARANTINE_SCHEMA.fields[:3]]),
-                           self.quarantine_path, batch_id, (), self.run)
-            # days present in this batch: a handful of values, used as partition filters
-            dates = sorted(r[0] for r in batch.select("log_date").distinct().collect() if r[0] is not None)
-            first = first_per_key(batch, tie_break=self.tie_break).persist(StorageLevel.MEMORY_AND_DISK)
-            before = (self.run, batch_id)
-            if self.seen_mode == "as_of":
-                day = self._day_of(batch_id)
-                seen = read_dau_table(spark, self.dau_path, self.record, dates=[day], before=before)
-                kept = anti_asof(first, seen.select("mid", "log_date"), day)
-            else:
-                seen = read_dau_table(spark, self.dau_path, self.record, dates=dates, before=before)
-                kept = anti_by_date(first, seen.select("mid", "log_date"))
-            # the new rows (one per new key) are kept: written, then counted by hour
-            new = kept.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-            # one layout for all batches: adaptive execution joins small parts and splits large ones by size
-            write_by_batch(new.hint("rebalance", "log_date"), self.dau_path, batch_id, ("log_date",), self.run)
-
-            hours = new.groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("ct"))
-            write_by_batch(hours, self.hours_path, batch_id, ("log_date",), self.run)
-
-            # rows whose key was not stored before, counted by key first: a hot device is one row per task
-            unseen = (batch.groupBy("mid", "log_date").agg(F.count(F.lit(1)).alias("n"))
-                      .join(new.select("mid", "log_date"), ["mid", "log_date"], "left_semi").agg(F.sum("n")).first()[0])
-            stats = spark.createDataFrame(
-                [(batch.count(), unseen or 0, first.count(), new.count())],
-                "rows_in long, rows_unseen long, rows_first long, rows_new long").coalesce(1)
-            write_by_batch(stats, self.stats_path, batch_id, (), self.run)
-        finally:
-            for held in (new, first):
-                if held is not None:
-                    held.unpersist()
-            batch.unpersist()
-
-    # -- readers --------------------------------------------------------------
-    def dau(self, dates: list[str] | None = None) -> DataFrame:
-        return read_dau_table(self.spark, self.dau_path, self.record, dates=dates)
-
-    def hours(self, dates: list[str] | None = None) -> DataFrame:
-        """Running DAU by hour ``(log_date, log_hour, ct)``: sum of the per-batch counts."""
-        h = read_partitioned(self.spark, self.hours_path, HOURS_SCHEMA,
-                             "log_date" if dates is not None else None, dates)
-        return h.groupBy("log_date", "log_hour").agg(F.sum("ct").cast("long").alias("ct"))
-
-    def quarantined(self) -> DataFrame:
-        return read_partitioned(self.spark, self.quarantine_path, QUARANTINE_SCHEMA)
-
-    def stats(self) -> DataFrame:
-        return read_partitioned(self.spark, self.stats_path, STATS_SCHEMA)
-
-
 def start_dau_stream(logs: DataFrame, table: DauTable, checkpoint: str,
                      trigger: dict | None = None, partitions: int | None = None):
     """Start the cross-batch dedup stream. ``logs`` is a streaming frame of startup

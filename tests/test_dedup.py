@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from actimetry.functions.timefmt import check_date, prev_day, prev_day_str, with_date_hour
-from actimetry.operators.dedup import anti_asof, anti_by_date, dedup_batch, first_per_key
+from actimetry.operators.dedup import anti_asof, anti_by_date, first_per_key, first_with_count
 from actimetry.streaming.dau_stream import DauTable
 
 SCHEMA = "seq long, mid string, ts long"
@@ -76,8 +76,10 @@ def test_late_row_asof_vs_record_date(spark):
 
 def test_dedup_is_idempotent_and_equals_distinct_keys(spark):
     df = logs(spark, [(i, f"m{i % 7}", ms("2024-01-15 00:00:00") + i * 3_600_000) for i in range(60)])
-    once = dedup_batch(df, tie_break=["seq"])
-    twice = dedup_batch(once, tie_break=["seq"])
+    once = first_per_key(df, tie_break=["seq"])
+    twice = first_per_key(once, tie_break=["seq"])
+    counted = first_with_count(df, tie_break=["seq"])
+    assert counted.agg({"rows__": "sum"}).first()[0] == 60 and sorted(counted.drop("rows__").collect()) == sorted(once.collect())
     assert sorted(once.collect()) == sorted(twice.collect())
     assert once.count() == df.select("mid", "log_date").distinct().count()
 
