@@ -41,8 +41,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from actimetry.config import scratch_dir
-from actimetry.llm.token_blocks import BLOCK, hashes, mixed, numbering, slices, squeeze, unsqueeze
+from actimetry.llm.token_blocks import hashes, mixed, numbering, slices, squeeze, unsqueeze
 
+BLOCK = 1 << 21             # tokens of a block
 K = 5                       # counts up to this are discounted
 HOT = 17                    # no more than 2^HOT histories are dealt over several buckets
 BUCKET = 1 << 21            # tokens of a bucket, about

@@ -15,7 +15,7 @@ import numpy as np
 import xxhash
 import zstandard
 
-BLOCK = 1 << 21             # tokens of a block: what ends it is looked at after every slice of a text
+BLOCK = 1 << 20             # tokens of a block: what ends it is looked at after every slice of a text
 SLICE = 1 << 20             # bytes of a text that are split into words at once
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
