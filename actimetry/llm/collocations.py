@@ -71,7 +71,7 @@ def pack(docs: DataFrame) -> DataFrame:
                 names=["block", "lang", "n", "words", "tokens"])
 
         for batch in batches:
-            for lang, text in zip(*(map(pa.Scalar.as_py, batch.column(i)) for i in range(2))):
+            for lang, text in zip(*((v.as_py() for v in batch.column(i)) for i in range(2))):
                 for part in slices(text.translate(_FOLD).replace(BREAK, b" . "), b" . "):
                     if lang not in open_:
                         open_[lang] = numbering(BREAK), array("i")

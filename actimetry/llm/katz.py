@@ -41,9 +41,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from actimetry.config import scratch_dir
-from actimetry.llm.token_blocks import hashes, mixed, numbering, slices, squeeze, unsqueeze
+from actimetry.llm.token_blocks import BLOCK, hashes, mixed, numbering, slices, squeeze, unsqueeze
 
-BLOCK = 1 << 21             # tokens of a block
 K = 5                       # counts up to this are discounted
 HOT = 17                    # no more than 2^HOT histories are dealt over several buckets
 BUCKET = 1 << 21            # tokens of a bucket, about
@@ -123,7 +122,7 @@ def pack(docs: DataFrame) -> DataFrame:
                 names=["block", "uid", "doc", "held", "n", "words", "tokens"])
 
         for batch in batches:
-            for doc, held, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for doc, held, text in zip(*((v.as_py() for v in batch.column(i)) for i in range(3))):
                 row, n = next(uid), 0
                 for part in slices(text.translate(_FOLD), b" "):
                     got = part.split()
