@@ -18,12 +18,13 @@ Targets: a dict of value to share (values not listed keep their token shares of
 exponent p: shares in proportion to the token share to the power p (1 keeps, 0 is uniform).
 
 Defined results: a null source or language is the value "(none)"; a null or empty text has no tokens
-and the bucket of the empty word; a value without tokens gets factor 1; rows with equal or null doc_id
+and the bucket of the empty word; a value without tokens gets factor 1, one with tokens and a target of zero factor 0; rows with equal or null doc_id
 are drawn alike; an empty table gives no rows; extra columns are ignored, or kept by ``sample``.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections import Counter
 from zlib import crc32
 
@@ -78,7 +79,7 @@ def _target(cells: DataFrame, dim: str, want: dict | float) -> DataFrame:
     else:
         own = own.withColumn("g", F.when(F.col("t") > 0, F.pow("t", F.lit(float(want)))).otherwise(0.0))
     sums = own.agg(F.sum("t").alias("t"), F.sum("g").alias("g")).first()
-    return own.select("value", (F.col("g") / F.lit(sums["g"] or 1.0) * F.lit(sums["t"] or 0.0)).alias("goal"))
+    return own.select("value", "t", (F.col("g") / F.lit(sums["g"] or 1.0) * F.lit(sums["t"] or 0.0)).alias("goal"))
 
 
 def rake(cells: DataFrame, targets: dict | None = None, sweeps: int = SWEEPS,
@@ -102,13 +103,17 @@ def rake(cells: DataFrame, targets: dict | None = None, sweeps: int = SWEEPS,
                 rows, mass = rows.join(named(x), x), mass * F.col(f"f_{x}")
             got = rows.groupBy(F.col(d).alias("value")).agg(F.sum(mass).alias("got"))
             new = (goal[d].join(got, "value", "left").join(factor[d].withColumnRenamed("f", "old"), "value")
-                   .select("value", F.when((F.col("got") > 0) & (F.col("goal") > 0), F.col("goal") / F.col("got"))
+                   .select("value", F.when((F.col("goal") <= 0) & (F.col("t") > 0), F.lit(0.0))
+                           .when((F.col("got") > 0) & (F.col("goal") > 0), F.col("goal") / F.col("got"))
                            .otherwise(F.lit(1.0)).alias("f"), "old"))
             new = materialise(new, "mix-factor")
-            moved = max(moved, new.agg(F.max(F.abs(F.col("f") / F.col("old") - 1))).first()[0] or 0.0)
+            moved = max(moved, new.agg(F.max(F.when(F.col("old") > 0, F.abs(F.col("f") / F.col("old") - 1)).otherwise(0.0)))
+                        .first()[0] or 0.0)
             factor[d] = new.select("value", "f")
         if moved <= tolerance:
             break
+    else:
+        warnings.warn(f"no fit after {sweeps} sweeps: a factor still moved by {moved:.2g}", stacklevel=2)
     out = cells
     for d in dims:
         out = out.join(named(d), d)

@@ -112,7 +112,8 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, float]], epochs: int = EPOCHS)
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, bound: int = SAMPLE) -> DataFrame:
-    """(doc_id, text as bytes, label): at most ``bound`` labelled documents outside the held-out fold.
+    """(doc_id, text as bytes, label): at most ``bound`` labelled documents outside the held-out fold, of rows with the same
+    doc_id the one with the smallest text.
 
     Before the sort, hashes beyond the share that twice the bound needs go, so the rows that meet
     in one task stay near twice the bound however many labels and partitions there are."""
@@ -124,7 +125,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, bound: int = SAMPLE)
         known = known.where(order < int(2.0 ** 64 * (2 * bound / size) - 2.0 ** 63))
     picked = known.orderBy(order, "doc_id").limit(bound)
     return (docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-            .join(F.broadcast(picked), "doc_id"))
+            .join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int = SAMPLE) -> np.ndarray:

@@ -146,9 +146,23 @@ def report(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) ->
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """``docs`` without the documents whose component has a smaller doc_id. Rows that share the
-    smallest doc_id, and rows without one, stay."""
-    rest = near_duplicates(docs, shingle, distance).where("doc_id != component_id").select("doc_id").distinct()
-    plain = neutral(docs, "doc_id")
-    kept = plain.join(rest, "doc_id", "left_anti")
+    """``docs`` without the rows whose component has a smaller doc_id; a row follows its own text, so of rows that share a
+    doc_id some may go and others stay. Rows that share the smallest doc_id, and rows without one, stay."""
+    near = materialise(near_duplicates(docs, shingle, distance), "simhash-members")
+    gone = F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(False))
+    ids = near.groupBy("doc_id").agg(F.max(gone).alias("some"), F.min(gone).alias("every"))
+    plain = neutral(docs, "doc_id", "text")
+    kept = plain.join(ids.where("every").select("doc_id"), "doc_id", "left_anti")
+    mixed = materialise(ids.where("some AND NOT every").select("doc_id"), "simhash-mixed")
+    if not mixed.isEmpty():                                    # ids whose rows have texts of several components
+        ddl, columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema), plain.columns
+
+        def run(c):
+            fps = np.array([fingerprint(t if t is None else t.encode(), shingle) for t in c["text"]], dtype=np.uint64).view(np.int64)
+            return {**{n: c[n] for n in columns}, "fp__": pa.array(fps)}
+
+        told = map_text(kept.join(mixed, "doc_id", "left_semi").select(*columns), run, f"{ddl}, fp__ long")
+        pairs = near.where(gone).select(F.col("doc_id").alias("id__"), F.col("fp").alias("of__")).distinct()
+        stay = told.join(pairs, (told["doc_id"] == pairs["id__"]) & (told["fp__"] == pairs["of__"]), "left_anti")
+        kept = kept.join(mixed, "doc_id", "left_anti").select(*plain.columns).unionByName(stay.select(*plain.columns))
     return kept.select(*restored(kept, plain, docs))

@@ -11,8 +11,8 @@ exception phrase don't count.
 A text's features are the sum of the weights of its matches, once as it is and once over its
 length, both on a logarithmic scale; a logistic function of them, fitted on the same rows, is the score.
 
-At most ``SAMPLE`` labelled rows are read for training and at most ``LEXICON`` words kept, so the automaton has a
-fixed size bound. Scoring reads every whole text.
+At most ``SAMPLE`` labelled rows are read for training, and a word of the lexicon stands in ``SHARE`` of the toxic ones, so the automaton has a
+size bound. Scoring reads every whole text.
 
 Defined results: a null or empty text has no match and the score of that; a null doc_id is scored and
 never trained on; null labels are ignored, conflicting ones count as 1; with no labelled row every score is 0.5;
@@ -34,7 +34,6 @@ from actimetry.llm.common import held_out, map_text
 from actimetry.llm.quality import sample
 
 SAMPLE = 20_000
-LEXICON = 2_000
 LEAST = 4
 SHARE = 0.01
 WEIGHT = 3.0
@@ -80,7 +79,19 @@ def matches(folded: str, a: "ahocorasick.Automaton") -> list[tuple[int, int, flo
                 spared.append((s, e))
         elif weight and whole or stem and not whole:
             found.append((s, e, weight if whole else stem))
-    return [m for m in found if not any(s <= m[0] and m[1] <= e for s, e in spared)] if spared else found
+    if not spared:
+        return found
+    # both lists in order: of the phrases that start at or before a match only the one that ends last counts
+    spared.sort()
+    found.sort()
+    kept, at, end = [], 0, -1
+    for m in found:
+        while at < len(spared) and spared[at][0] <= m[0]:
+            end = max(end, spared[at][1])
+            at += 1
+        if m[1] > end:
+            kept.append(m)
+    return kept
 
 
 def features(text: str | None, a: "ahocorasick.Automaton") -> tuple[float, float]:
@@ -89,8 +100,9 @@ def features(text: str | None, a: "ahocorasick.Automaton") -> tuple[float, float
     return math.log1p(total), math.log1p(1000.0 * total / (folded.count(" ") + folded.count("\n") + 1))
 
 
-def lexicon(rows: DataFrame, bound: int = LEXICON) -> dict[str, float]:
-    """Weights of the words that mark label 1 in ``rows`` (text as bytes, label)."""
+def lexicon(rows: DataFrame) -> dict[str, float]:
+    """Weights of the words that mark label 1 in ``rows`` (text as bytes, label): every word that passes the test. As each has to stand in
+    ``SHARE`` of the texts with label 1, there are no more than 1 / ``SHARE`` times the words of such a text."""
     def count(c):
         by = (Counter(), Counter())
         n = [0, 0]
@@ -109,8 +121,7 @@ def lexicon(rows: DataFrame, bound: int = LEXICON) -> dict[str, float]:
     odds = F.log((F.col("toxic") + 0.5) / F.lit(all_["toxic"] + 1.0)) - F.log((F.col("clean") + 0.5) / F.lit(all_["clean"] + 1.0))
     error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     picked = (counts.where((F.col("word").isNotNull()) & (F.col("toxic") >= max(LEAST, SHARE * all_["toxic"])) & (F.length("word") > 1))
-              .select("word", odds.alias("w"), (odds / error).alias("z")).where((F.col("z") >= DEVIATIONS) & (F.col("w") > WEIGHT))
-              .orderBy(F.desc("z"), "word").limit(bound))
+              .select("word", odds.alias("w"), (odds / error).alias("z")).where((F.col("z") >= DEVIATIONS) & (F.col("w") > WEIGHT)))
     return {r["word"]: float(r["w"]) for r in picked.collect()}
 
 
