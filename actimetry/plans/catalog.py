@@ -26,7 +26,7 @@ from actimetry.operators.metrics import (
     dau_daily, dau_hours, dau_total, first_seen, gmv_daily, gmv_hours, gmv_total, hour_map,
     new_devices_by_day, new_devices_by_hour, stage_counts,
 )
-from actimetry.operators.route import route, split_valid
+from actimetry.operators.route import route, split_valid, tag_problems
 from actimetry.plans import stream_checks
 from actimetry.plans.report import (
     METRICS, dispatch, realtime_hours, realtime_total, to_json_doc, totals_json, two_day_pair,
@@ -406,10 +406,8 @@ def q1_quarantine(spark, sf):
         .when(n == 4, F.concat("value", F.lit(" trailing"))).otherwise(F.col("value")).alias("value"),
         F.when(n != 3, F.col("arrival")).alias("arrival"))
     stamped = stamp_lines(lines).select(F.coalesce("value", "_raw").alias("value"))
-    parsed = parse_logs(stamped, "value")
-    good, bad = split_valid(parsed)
-    return good.select(F.lit("ok").alias("reason")).unionByName(bad.select("reason")) \
-        .groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    tagged = tag_problems(parse_logs(stamped, "value"))
+    return tagged.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # --------------------------------------------------------------------- streaming

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from actimetry.functions.jsonfmt import json_object, object_field, parse_logs, stamp_object
+from actimetry.functions.jsonfmt import is_object, parse_logs, stamp_text
 from actimetry.functions.timefmt import stamp_ms, with_date_hour
 from actimetry.operators.route import split_valid, with_topic
 from actimetry.schemas import STARTUP_RAW, TOPIC_EVENT, TOPIC_START
@@ -29,11 +29,9 @@ from actimetry.streaming.dau_stream import DauTable, run_token, stream_partition
 def stamp_lines(lines: DataFrame, arrival_col: str = "arrival",
                 topics: tuple[str, str] = (TOPIC_START, TOPIC_EVENT)) -> DataFrame:
     """``(value, arrival)`` → ``(value stamped, ts, type, topic)``; stateless, streams or batch."""
-    ms = stamp_ms(arrival_col)
-    parsed = lines.select(F.col("value").alias("_raw"), json_object("value").alias("_obj"), ms.alias("ts"))
-    # one parse per line: the stamped text and the routing type come from the same map
-    stamped = parsed.select(stamp_object("_obj", "ts").alias("value"), "ts", "_raw",
-                            object_field("_obj", "type").alias("type"))
+    raw = lines.select(F.col("value").alias("_raw"), stamp_ms(arrival_col).alias("ts"))
+    stamped = raw.select(stamp_text("_raw", "ts").alias("value"), "ts", "_raw",
+                         F.when(is_object("_raw"), F.from_json("_raw", "type string")["type"]).alias("type"))
     return with_topic(stamped, start_topic=topics[0], event_topic=topics[1])
 
 
