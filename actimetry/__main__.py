@@ -45,8 +45,8 @@ def _dau_record():
 
 def _lines(spark, args):
     from pyspark.sql import functions as F
-    from actimetry.sources.logs import read_log_stream
-    opts = _options(args.source_option)
+    from actimetry.sources.logs import admission, read_log_stream
+    opts = {**admission(args.max_files, args.max_bytes, args.archive_source), **_options(args.source_option)}
     if args.source == "parquet":
         df = read_log_stream(spark, "parquet", args.lines, schema="value string", options=opts)
         return df.select("value", F.col("_metadata.file_modification_time").alias("arrival"))
@@ -126,6 +126,9 @@ def main(argv=None) -> int:
         s.add_argument("--partitions", type=int, default=None,
                        help="shuffle/state partitions, fixed in the checkpoint (default: parallelism)")
         s.add_argument("--once", action="store_true")
+        s.add_argument("--max-files", type=int, help="files of a micro-batch at most")
+        s.add_argument("--max-bytes", help="bytes of a micro-batch, about, e.g. 256m")
+        s.add_argument("--archive-source", help="folder to which read files are moved")
         if name == "collect":
             s.add_argument("--archive", required=True)
             s.add_argument("--routed", required=True)

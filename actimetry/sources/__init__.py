@@ -4,11 +4,11 @@ from actimetry.sources.tables import (
     read_table, logs_from_events, orders_from_events, raw_lines_from_events, events_in_days,
 )
 from actimetry.sources.logs import (
-    read_raw_lines, read_log_stream, read_dau_table, seen_keys, dau_table_schema,
+    admission, read_raw_lines, read_log_stream, read_dau_table, seen_keys, dau_table_schema,
 )
 
 __all__ = [
     "read_table", "logs_from_events", "orders_from_events", "raw_lines_from_events",
-    "events_in_days", "read_raw_lines", "read_log_stream", "read_dau_table", "seen_keys",
+    "events_in_days", "admission", "read_raw_lines", "read_log_stream", "read_dau_table", "seen_keys",
     "dau_table_schema",
 ]

@@ -18,6 +18,23 @@ def read_raw_lines(spark: SparkSession, path: str, stream: bool = False,
     return df.select("value", F.col("_metadata.file_modification_time").alias("arrival"))
 
 
+def admission(max_files: int | None = None, max_bytes: str | int | None = None, archive: str | None = None,
+              delete: bool = False) -> dict[str, str]:
+    """Options of a file stream that bound a micro-batch and clean up behind it.
+
+    ``max_files`` / ``max_bytes``: a backlog is drained in batches of about so many files or bytes (one of them; the next
+    file always goes in). ``archive`` moves the files of committed batches below that folder, ``delete`` deletes
+    them; neither keeps them. A file is touched only once the batch after its own has been committed, so a restart finds what it needs.
+    """
+    if max_files is not None and max_bytes is not None:
+        raise ValueError("bound a batch by files or by bytes, not by both")
+    if archive and delete:
+        raise ValueError("archive or delete, not both")
+    out = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes,
+           "cleanSource": "archive" if archive else "delete" if delete else None, "sourceArchiveDir": archive}
+    return {k: str(v) for k, v in out.items() if v is not None}
+
+
 def read_log_stream(spark: SparkSession, source: str, path: str | None = None,
                     schema: T.StructType | str | None = None, options: dict | None = None) -> DataFrame:
     """A stream of log records.
@@ -26,6 +43,7 @@ def read_log_stream(spark: SparkSession, source: str, path: str | None = None,
       JSON text and the broker timestamp is the arrival clock (needs the Kafka jar).
     * ``text`` / ``json``: a directory (or glob) of raw lines.
     * ``parquet``: a directory (or glob) of already-typed records; ``schema`` required.
+    ``options`` may come from ``admission``, which bounds the files or bytes of a micro-batch (Kafka has ``maxOffsetsPerTrigger``).
     Offsets/file order are tracked by the query's checkpoint.
     """
     options = dict(options or {})
