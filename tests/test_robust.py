@@ -67,12 +67,12 @@ def test_fractions_of_a_cent_count(spark):
     assert gmv_total(o, "2024-01-01").first().gmv == pytest.approx(0.01)
 
 
-def test_first_seen_refuses_an_earlier_day_and_a_missing_path(spark, tmp_root):
-    dau = spark.createDataFrame([("m1", "2024-01-03", "05")], "mid string, log_date string, log_hour string")
+def test_first_seen_takes_an_earlier_day_and_refuses_a_missing_path(spark, tmp_root):
+    dau = spark.createDataFrame([("m1", "2024-01-03", "05"), ("m1", "2024-01-02", "07")], "mid string, log_date string, log_hour string")
     t = FirstSeenTable(spark, f"{tmp_root}/fs")
     t.advance(dau, "2024-01-03")
-    with pytest.raises(ValueError):
-        t.advance(dau, "2024-01-02")
+    assert t.advance(dau, "2024-01-02") == ["2024-01-03"]
+    assert [tuple(r) for r in t.read().collect()] == [("m1", "07", "2024-01-02")]
     with pytest.raises(FileNotFoundError):
         FirstSeenTable(spark, f"{tmp_root}/nowhere", create=False)
 
