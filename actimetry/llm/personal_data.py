@@ -39,7 +39,7 @@ _DIGIT = re.compile(r"[0-9]")
 LABELERS = ("regex", "gazetteer", "context", "shape", "checksum")
 _NUMBER = re.compile(r"(?<!\w)[+(]?[0-9][0-9 .()\-]{5,}+")
 _AT = re.compile(r"\s?[\[(]\s?at\s?[\])]\s?", re.I)
-_DOT = re.compile(r"([A-Za-z0-9-]+)\s?(?:\.|[\[(]\s?dot\s?[\])])\s?[A-Za-z]{2,}", re.I)
+_DOT = re.compile(r"([A-Za-z0-9-]+)\s?(?:\.|[\[(]\s?dot\s?[\])])\s?[A-Za-z]{2,}(?:\.[A-Za-z]{2,})*", re.I)
 _LAYOUT = re.compile(r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}")
 _PLAIN = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}.*|[0-9]+\.[0-9]+|[0-9]{1,3}(?:[ .][0-9]{3})+")
 PREFIXES = ("4", "51", "52", "53", "54", "55", "34", "37", "6011", "35", "36")
@@ -105,7 +105,8 @@ def _votes(text: str, kind: int, s: int, e: int) -> int:
         known = span.rpartition(".")[2].lower() in TLDS
         gazetteer, shape, check = (2 if known else 1), 2, 1
     else:
-        gazetteer = 2 if (13 <= len(d) <= 19 and d.startswith(PREFIXES)) or span.startswith("+") else 1 if len(d) < 13 else 0
+        # an issuer's prefix says nothing about a number whose check digit is wrong
+        gazetteer = 2 if (13 <= len(d) <= 19 and d.startswith(PREFIXES) and luhn(d)) or span.startswith("+") else 1 if len(d) < 13 else 0
         shape = 2 if 9 <= len(d) <= 19 else 0
         check = (2 if luhn(d) else 0) if len(d) >= 13 and kind != 1 and "+" not in span else 1
     near = _WORDS.findall(text[max(0, s - 40):s].lower()) + _WORDS.findall(text[e:e + 20].lower())
@@ -133,7 +134,24 @@ def candidates(text: str, base) -> list[tuple[int, int, int]]:
             tail = _DOT.match(text, m.end())
             if tail and s < m.start():
                 more.append((s, tail.end()))
-    return out + [(s, e, _votes(text, 4, s, e)) for s, e in more if not any(s < be and bs < e for _, bs, be in base)]
+    return out + [(s, e, _votes(text, 4, s, e)) for s, e in _apart(more, base)]
+
+
+def _apart(spans: list[tuple[int, int]], base) -> list[tuple[int, int]]:
+    """The spans that meet no base span: two sorted lists, read once."""
+    taken: list[list[int]] = []
+    for s, e in sorted((s, e) for _, s, e in base):
+        if taken and s <= taken[-1][1]:
+            taken[-1][1] = max(e, taken[-1][1])
+        else:
+            taken.append([s, e])
+    out, at = [], 0
+    for s, e in sorted(spans):
+        while at < len(taken) and taken[at][1] <= s:
+            at += 1
+        if at == len(taken) or taken[at][0] >= e:
+            out.append((s, e))
+    return out
 
 
 def decode(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -380,7 +380,7 @@ def pack(docs: DataFrame) -> DataFrame:
                 names=["block", "ids", "sizes", "blob"])
 
         for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for i, t in zip(*((v.as_py() for v in batch.column(k)) for k in range(2))):
                 t = t or b""
                 if ids and size + len(t) > BLOCK:
                     yield block()
@@ -391,7 +391,6 @@ def pack(docs: DataFrame) -> DataFrame:
         if ids:
             yield block()
 
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).mapInArrow(
         run, "block long, ids array<long>, sizes array<long>, blob binary")
 
@@ -423,13 +422,13 @@ def _per_block(blocks: DataFrame, sides: list[DataFrame], fn, schema: str) -> Da
     names = [c.split()[0] for c in schema.split(", ")]
     types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
     target = pa.schema([(c.split()[0], types[c.split()[1]]) for c in schema.split(", ")])
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):                      # one block at a time, whatever the batch holds
+                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
                 got = list(fn(row["block"], row["ids"], Block(row["ids"], row["sizes"], row["blob"]),
-                              *(row[f"side{i}"] or [] for i in range(n))))
+                              *(row[f"side{k}"] or [] for k in range(n))))
                 if got:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*got), target)], names=names)
 
@@ -437,18 +436,19 @@ def _per_block(blocks: DataFrame, sides: list[DataFrame], fn, schema: str) -> Da
 
 
 def _bucketed(block: int, values: np.ndarray, high: np.ndarray, bits: int, buckets: int, pack=lambda v: v.tobytes()):
-    """Rows (bucket, block, bytes) of values sorted by ``high``, dealt by equal ranges of its ``bits`` bits."""
-    edge = np.searchsorted(high, np.array([(b << bits) // buckets for b in range(1, buckets)], dtype=np.uint64))
-    for b, part in enumerate(np.split(values, edge)):
-        if len(part):
-            yield b, block, pack(part)
+    """Rows (bucket, block, bytes) of values sorted by ``high``, dealt by its first bits. ``buckets`` is a power of two; the
+    work is that of the values, however many buckets there are."""
+    if not len(values):
+        return
+    bucket = (high >> np.uint64(bits - (buckets.bit_length() - 1))).astype(np.int64)
+    cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
+    for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        yield int(bucket[i]), block, pack(values[i:j])
 
 
-def _exchange(rows: DataFrame, fn) -> DataFrame:
+def _exchange(rows: DataFrame, fn, buckets: int) -> DataFrame:
     """(block, part): ``fn`` sees the parts of one bucket from all blocks and gives each block its answer."""
-    spark = rows.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
+    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts in _buckets(batches):
@@ -464,7 +464,7 @@ def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple[int, byte
     """The parts of one bucket after the other, from rows sorted by bucket: only one is held at a time."""
     held, at = [], None
     for batch in batches:
-        for b, block, part in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for b, block, part in zip(*((v.as_py() for v in batch.column(i)) for i in range(3))):
             if held and b != at:
                 yield held
                 held = []
@@ -533,14 +533,17 @@ def _by_block(blocks: DataFrame) -> DataFrame:
     name = f"suffix_blocks_{uuid.uuid4().hex}"
     (blocks.repartition(n, "block").write.bucketBy(n, "block").option("path", scratch_dir(spark, "suffix-blocks") + "/t")
      .format("parquet").saveAsTable(name))
-    return spark.table(name)
+    stored = spark.table(name)
+    stored.schema                     # resolved here: the catalog can forget the name, the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return stored
 
 
 def report(docs: DataFrame) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans and the digest of the bytes kept."""
     blocks = _by_block(pack(docs))
     total = blocks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    buckets = max(16, -(-total // BUCKET))
+    buckets = 1 << max(4, (total // BUCKET).bit_length())
 
     def chunks(block, ids, b):
         rec = chunk_records(b)
@@ -571,7 +574,7 @@ def report(docs: DataFrame) -> DataFrame:
 
     def asked(sides, ask, answer, name):
         rows = _per_block(blocks, sides, ask, "bucket long, block long, part binary")
-        return materialise(_exchange(rows, answer), f"suffix-{name}")
+        return materialise(_exchange(rows, answer, buckets), f"suffix-{name}")
 
     first = asked([], chunks, _smaller_elsewhere, "chunks")
     shared = asked([first], keys, _in_two_blocks, "keys")
