@@ -30,10 +30,10 @@ from actimetry.llm.common import ascii_lower, materialise
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 DAMPING = 0.85
-ROUNDS = 10                 # of the SQL twin only
 WRITE_EVERY = 5
 MARGIN = 1e-12
 TOLERANCE = MARGIN / 10     # summed error of all ranks
+ROUNDS = math.ceil(math.log(TOLERANCE / 4) / math.log(DAMPING))        # after which it holds, whatever the graph; the SQL twin's
 _LINK = r"""(?i)(?:href|src)\s*=\s*["']?((?:https?:)?//[^"'\s>]+)"""
 
 
@@ -127,15 +127,6 @@ def report(pages: DataFrame, rules=RULES) -> DataFrame:
                 "ruled", "own", F.when(F.col("host") == "", "block").otherwise("allow")).alias("verdict")))
 
 
-def _rounds_sql(rounds: int) -> str:
-    out = []
-    for i in range(rounds):
-        out.append(f"""r{i + 1} AS MATERIALIZED (SELECT s.kind, s.host, {1 - DAMPING} * s.seed + {DAMPING} * coalesce(g.g, 0) AS r
-  FROM seeds s LEFT JOIN (SELECT q.kind, q.v AS host, sum(k.r * q.p) AS g FROM steps q JOIN r{i} k ON q.kind = k.kind AND q.u = k.host
-    GROUP BY q.kind, q.v) g ON s.kind = g.kind AND s.host = g.host)""")
-    return ",\n".join(out)
-
-
 def _rules_sql(value) -> str:
     whens = " ".join(
         f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}') THEN '{value(v, h, p)}'"
@@ -145,7 +136,7 @@ def _rules_sql(value) -> str:
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 REPORT_SQL = f"""
-WITH u AS (SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+WITH RECURSIVE u AS (SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 h AS (SELECT page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), {_LOWER}) AS host,
   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 j AS (SELECT *, {_rules_sql(lambda v, h, p: h + p)} AS rule, {_rules_sql(lambda v, h, p: v)} AS ruled FROM h),
@@ -165,9 +156,13 @@ n2 AS (SELECT k.kind, n.host, CASE k.kind WHEN 't' THEN coalesce(t, 0) ELSE coal
   FROM nodes n CROSS JOIN (VALUES ('t'), ('d')) k(kind) LEFT JOIN votes v ON n.host = v.host),
 seeds AS MATERIALIZED (SELECT kind, host, CASE WHEN sum(n) OVER (PARTITION BY kind) > 0
   THEN n / CAST(sum(n) OVER (PARTITION BY kind) AS DOUBLE) ELSE 0 END AS seed FROM n2),
-r0 AS MATERIALIZED (SELECT kind, host, seed AS r FROM seeds),
-{_rounds_sql(ROUNDS)},
-bad AS (SELECT host FROM r{ROUNDS} GROUP BY host HAVING sum(CASE kind WHEN 'd' THEN r ELSE 0 END) > sum(CASE kind WHEN 't' THEN r ELSE 0 END) + {MARGIN})
+moves AS MATERIALIZED (SELECT kind, u, v, {DAMPING} * p AS p, CAST(0 AS DOUBLE) AS own FROM steps
+  UNION ALL SELECT kind, host, host, CAST(0 AS DOUBLE), {1 - DAMPING} * seed FROM seeds),
+ranks AS (SELECT kind, host, CAST(seed AS DOUBLE) AS r, 0 AS n FROM seeds
+  UNION ALL SELECT k.kind, m.v, sum(k.r * m.p + m.own), k.n + 1 FROM ranks k JOIN moves m ON k.kind = m.kind AND k.host = m.u
+  WHERE k.n < {ROUNDS} GROUP BY k.kind, m.v, k.n),
+bad AS (SELECT host FROM ranks WHERE n = {ROUNDS} GROUP BY host
+  HAVING sum(CASE kind WHEN 'd' THEN r ELSE 0 END) > sum(CASE kind WHEN 't' THEN r ELSE 0 END) + {MARGIN})
 SELECT page_id, j.host, path, rule, coalesce(ruled, CASE WHEN bad.host IS NOT NULL OR j.host = '' THEN 'block' ELSE 'allow' END) AS verdict
 FROM j LEFT JOIN bad ON j.host = bad.host
 """
