@@ -23,7 +23,7 @@ from actimetry.functions.timefmt import (
 )
 from actimetry.operators.dedup import anti_asof, anti_by_date, distinct_devices, first_per_key
 from actimetry.operators.metrics import (
-    dau_daily, dau_hours, dau_total, first_seen, gmv_daily, gmv_hours, gmv_total, hour_map,
+    dau_daily, dau_hours, dau_total, first_seen, gmv_daily, gmv_hours, gmv_total, hour_map, money_sum,
     new_devices_by_day, new_devices_by_hour, stage_counts,
 )
 from actimetry.operators.route import route, split_valid, tag_problems
@@ -238,11 +238,12 @@ def p12_select_cols(spark, sf):
 
 
 def p14_result_cast(spark, sf):
-    h = dau_hours(dau(spark, sf, DATE), DATE).select(
-        F.lit("dau").alias("metric"), F.col("lh").cast("string").alias("hour"),
+    """Typed result rows of both hourly series, for every day."""
+    h = dau(spark, sf).groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("ct")).select(
+        F.lit("dau").alias("metric"), F.col("log_date").alias("day"), F.col("log_hour").cast("string").alias("hour"),
         F.col("ct").cast("double").alias("value"))
-    g = gmv_hours(orders(spark, sf, DATE), DATE).select(
-        F.lit("order_amount").alias("metric"), F.col("create_hour").cast("string").alias("hour"),
+    g = orders(spark, sf).groupBy("create_date", "create_hour").agg(money_sum("amount").alias("sum_amount")).select(
+        F.lit("order_amount").alias("metric"), F.col("create_date").alias("day"), F.col("create_hour").cast("string").alias("hour"),
         F.col("sum_amount").cast("double").alias("value"))
     return h.unionByName(g)
 

@@ -132,10 +132,9 @@ SELECT '[' || string_agg(j, ',' ORDER BY o) || ']' AS doc FROM (
     "p12_select_cols": W_DAU + """SELECT mid, uid, NULL::VARCHAR AS appid, NULL::VARCHAR AS area,
   NULL::VARCHAR AS os, NULL::VARCHAR AS ch, type, NULL::VARCHAR AS vs, log_date, log_hour, ts FROM dau""",
     "p14_result_cast": W_DAU + W_ORD.replace("WITH ", ", ", 1) + f"""
-SELECT 'dau' AS metric, log_hour AS hour, CAST(count(*) AS DOUBLE) AS value FROM dau
-  WHERE log_date = '{D}' GROUP BY 2
+SELECT 'dau' AS metric, log_date AS day, log_hour AS hour, CAST(count(*) AS DOUBLE) AS value FROM dau GROUP BY 2, 3
 UNION ALL
-SELECT 'order_amount', create_hour, {MONEY} FROM ord WHERE create_date = '{D}' GROUP BY 2""",
+SELECT 'order_amount', create_date, create_hour, {MONEY} FROM ord GROUP BY 2, 3""",
     "p16_json_write": W_DAU + """SELECT CAST(json_object('seq', seq, 'mid', mid, 'uid', uid, 'type', type,
   'ts', ts, 'log_date', log_date, 'log_hour', log_hour) AS VARCHAR) AS line FROM dau""",
     # filters
