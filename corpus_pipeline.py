@@ -6,6 +6,12 @@
 4. secret scans: every secret found is replaced by a mark in the text, all documents stay;
 5. mixing: documents are drawn by probabilities raked to source, language and topic targets.
 
+Defined results: a null text counts as empty in every stage (it is scored, has the fingerprint zero like every wordless text, holds no
+test item and no secret, and has no tokens); a null doc_id is never trained on and never goes as a copy; null source and lang are the
+value "(none)" of the mixing. Rows with the same doc_id are judged by their own texts, are drawn alike, and of rows that tie for the
+smallest doc_id of a group all stay. Very long texts are read whole. An empty table gives an empty table with the stage's columns, at every
+stage. Extra columns are kept under their names, whatever these are; the last stage's three replace columns of the same names.
+
 All stages but the last return the columns of ``documents``; the last adds mix_topic, mix_weight and
 mix_copies. No stage can be expressed in plain SQL as a whole (a trained model, components, an
 iterated fit), so ORACLE_SQL is None and the stages are tested against brute force.
