@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from actimetry.config import scratch_dir
+from actimetry.llm.manifest import CRC_SQL
 from actimetry.llm.token_blocks import BLOCK, hashes, mixed, numbering, slices, squeeze, unsqueeze
 
 K = 5                       # counts up to this are discounted
@@ -483,3 +484,43 @@ def report(docs: DataFrame) -> DataFrame:
     unit = 10.0 ** PLACES
     return rows.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
                        (F.col("base") / unit).alias("base_score"), (F.col("score") / unit).alias("score"))
+
+
+def _discounts_sql(name: str, counts: str) -> str:
+    """CTEs ``name``_n (how many occur r times) and ``name`` (r, d) of a table with counts ``a``."""
+    return f"""{name}_n AS MATERIALIZED (SELECT a AS r, count(*) AS n FROM {counts} WHERE a <= {K + 1} GROUP BY a),
+{name}_k AS (SELECT k, list(d ORDER BY r) AS d FROM (
+  SELECT k, g.r, ((g.r + 1) * h.n / (g.r * g.n) - (k + 1) * t.n / o.n) / (1 - (k + 1) * t.n / o.n) AS d
+  FROM range(1, {K + 1}) s(k) JOIN {name}_n g ON g.r <= k JOIN {name}_n h ON h.r = g.r + 1 JOIN {name}_n o ON o.r = 1 JOIN {name}_n t ON t.r = k + 1
+  WHERE (k + 1) * t.n < o.n) x GROUP BY k HAVING count(*) = k AND min(d) > 0 AND max(d) < 1 ORDER BY k DESC LIMIT 1),
+{name} AS MATERIALIZED (SELECT unnest(range(1, k + 1)) AS r, unnest(d) AS d FROM {name}_k)"""
+
+
+REPORT_SQL = f"""
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(xor({CRC_SQL}, 4294967295) % 7 = {HELD_OUT}, false) AS held_out,
+  list_append(list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> ''), '') AS words FROM documents),
+seq AS (SELECT row, held_out, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM texts),
+tokens AS MATERIALIZED (SELECT row, held_out, w, coalesce(lag(w) OVER (PARTITION BY row ORDER BY i), '') AS h FROM seq),
+c1 AS MATERIALIZED (SELECT w, count(*) AS a FROM tokens WHERE NOT held_out GROUP BY w),
+c2 AS MATERIALIZED (SELECT h, w, count(*) AS a FROM tokens WHERE NOT held_out GROUP BY h, w),
+size AS (SELECT CAST(coalesce(sum(a), 0) AS BIGINT) AS n, count(*) AS v FROM c1),
+{_discounts_sql('d1', 'c1')},
+{_discounts_sql('d2', 'c2')},
+whole AS MATERIALIZED (SELECT n, v, CASE WHEN taken > 0 THEN n ELSE n + 1 END AS total, CASE WHEN taken > 0 THEN taken / n ELSE 1 / (n + 1) END AS unknown
+  FROM (SELECT size.n, size.v, (SELECT sum((1 - d) * d1.r * d1_n.n) FROM d1 JOIN d1_n ON d1_n.r = d1.r) AS taken FROM size) t),
+word AS MATERIALIZED (SELECT w, a, coalesce(d, 1.0) * a / total AS p FROM c1 LEFT JOIN d1 ON d1.r = a CROSS JOIN whole),
+history AS MATERIALIZED (SELECT h, c + CAST(free AS INT) AS total, CASE WHEN free THEN 1.0 ELSE taken END / (c + CAST(free AS INT)) / (1 - lower) AS alpha
+  FROM (SELECT h, sum(c2.a) AS c, count(d) = 0 AS free, sum((1 - d) * c2.a) AS taken, sum(p) AS lower
+    FROM c2 LEFT JOIN d2 ON d2.r = c2.a JOIN word ON word.w = c2.w GROUP BY h) t),
+each AS (SELECT t.row, word.w IS NOT NULL AS known, round(log10((coalesce(word.a, 0) + 1) / (n + v + 1)) * 1e{PLACES}) AS base,
+    round(log10(CASE WHEN c2.a IS NOT NULL THEN coalesce(d, 1.0) * c2.a / history.total
+      ELSE coalesce(alpha, 1.0) * coalesce(p, unknown) END) * 1e{PLACES}) AS score
+  FROM tokens t CROSS JOIN whole LEFT JOIN word ON word.w = t.w LEFT JOIN c2 ON c2.h = t.h AND c2.w = t.w LEFT JOIN d2 ON d2.r = c2.a
+  LEFT JOIN history ON history.h = t.h),
+sums AS (SELECT row, count(*) AS n_tokens, count(*) FILTER (known) AS n_known, sum(CAST(base AS BIGINT)) AS base, sum(CAST(score AS BIGINT)) AS score
+  FROM each GROUP BY row)
+SELECT doc_id, held_out, n_tokens, n_known, (SELECT n FROM size) AS train_tokens, CAST(base AS DOUBLE) / 1e{PLACES} AS base_score,
+  CAST(score AS DOUBLE) / 1e{PLACES} AS score
+FROM texts JOIN sums USING (row)
+"""

@@ -159,13 +159,13 @@ def _leaf_sql(text: str) -> str:
 
 
 _CRC_BITS = "range(0, 8)"
-_CRC = f"""list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ord(c))),
+CRC_SQL = f"""list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ord(c))),
   lambda a, b: list_reduce(list_prepend(xor(a, b), {_CRC_BITS}), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))"""
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 # levels and folds are recursive, so the depth is that of the data
 REPORT_SQL = f"""
-WITH RECURSIVE base AS (SELECT *, {_leaf_sql('text')} AS leaf, CASE WHEN doc_id IS NOT NULL AND xor({_CRC}, 4294967295) % 3 = 0
+WITH RECURSIVE base AS (SELECT *, {_leaf_sql('text')} AS leaf, CASE WHEN doc_id IS NOT NULL AND xor({CRC_SQL}, 4294967295) % 3 = 0
     THEN {_leaf_sql(_LOWER)} END AS other FROM documents),
 leaves AS (SELECT doc_id, lang, leaf, other, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
     count(*) OVER (PARTITION BY lang) - 1 AS last FROM base),

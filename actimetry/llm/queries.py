@@ -63,4 +63,4 @@ def op11_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op11_katz_scoring, op12_collocations, op13_merkle_manifest, op7_personal_data, op5_toxicity, op1_url_trust, op9_suffix_dedup, op4_merkle_fingerprint, op2_mixing, op10_quality_classifier, op3_decontaminate, op6_simhash_near_dedup, op8_secret_scan,)}
 ORACLE: dict[str, str] = {"op1_url_trust": url_trust.REPORT_SQL, "op3_decontaminate": decontaminate.REPORT_SQL,
                           "op4_merkle_fingerprint": merkle.REPORT_SQL, "op13_merkle_manifest": manifest.REPORT_SQL,
-                          "op12_collocations": collocations.REPORT_SQL}
+                          "op12_collocations": collocations.REPORT_SQL, "op11_katz_scoring": katz.REPORT_SQL}
