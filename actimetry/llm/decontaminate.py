@@ -6,9 +6,10 @@ tracked, and where that length reaches a window (``n`` consecutive item words, o
 that has fewer) the window's words are hit and its items noted. Words and word pairs that no
 item has end every match, so the automaton only walks the stretches between them.
 
-An automaton holds at most ``BLOCK_WORDS`` item words; that bounds what is broadcast. A larger
-benchmark becomes several blocks, and the documents are scanned once per block, with the
-intermediate result written to the shared folder.
+An automaton holds at most ``BLOCK_WORDS`` item words; that bounds what is built in a task and what is broadcast. The
+items never pass through the driver: tasks cut the longer ones into pieces that overlap by a window less one word, running sums
+number the pieces into blocks, and one task per block builds its automaton and writes it to the shared folder. The
+documents are scanned once per block, with the intermediate result written there as well.
 
 Defined results: null texts have no words; a document without words has no hits; items without
 words are ignored, an item without an id hits words but is not listed; equal items and equal
@@ -24,14 +25,16 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from actimetry.llm.common import map_text, materialise, neutral, restored
 
 WINDOW = 10
-BLOCK_WORDS = 500_000
+BLOCK_WORDS = 250_000
+BUCKETS = 256               # of pieces, each numbered by itself
 # Fixed value: the words of a text after A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -162,17 +165,49 @@ class Automaton:
         return hit, found
 
 
-def blocks(benchmark: DataFrame, n: int, limit: int = BLOCK_WORDS) -> Iterator[Automaton]:
-    """Automata over consecutive items, none of over ``limit`` words unless one item is longer."""
-    held, size = [], 0
-    for name, text in benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("binary")).toLocalIterator():
-        words = words_of(bytes(text) if text is not None else None)
-        if held and size + len(words) > limit:
-            yield Automaton(held, n)
-            held, size = [], 0
-        held.append((name, words))
-        size += len(words)
-    yield Automaton(held, n)
+def pieces(benchmark: DataFrame, n: int, most: int) -> DataFrame:
+    """(name, words, size): each different item once, those of over ``most`` words as pieces of at most ``most`` words in which
+    every window of ``n`` words lies whole. Items without words have none."""
+    def cut(c):
+        names, words = [], []
+        for name, text in zip(c["name"], c["text"]):
+            w = words_of(text)
+            if len(w) <= most:
+                parts = [w] if w else []
+            else:
+                parts = (w[i:i + most] for i in range(0, len(w) - n + 1, most - n + 1))
+            for part in parts:
+                names.append(name)
+                words.append(part)
+        return {"name": names, "words": [b" ".join(w) for w in words], "size": [len(w) for w in words]}
+
+    items = benchmark.select(F.col("item_id").cast("string").alias("name"), F.col("text").cast("binary").alias("text"))
+    return map_text(items, cut, "name string, words binary, size long").distinct()
+
+
+def numbered(cuts: DataFrame, half: int) -> DataFrame:
+    """``cuts`` with ``block``, from 0 without gaps: the pieces lie one after the other, and those that end in the same stretch of
+    ``half`` words share a block. As none is longer, a block has fewer than twice as many words."""
+    cuts = cuts.withColumn("bucket", F.pmod(F.xxhash64("name", "words"), F.lit(BUCKETS)))
+    sums = cuts.groupBy("bucket").agg(F.sum("size").alias("n"))
+    # one row per bucket, BUCKETS at most
+    first = sums.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("first"))
+    upto = F.sum("size").over(Window.partitionBy("bucket").orderBy("name", "words").rowsBetween(Window.unboundedPreceding, 0))
+    return (cuts.withColumn("upto", upto).join(F.broadcast(first), "bucket")
+            .select("name", "words", F.floor((F.col("first") + F.col("upto") - 1) / half).cast("long").alias("block")))
+
+
+def automata(benchmark: DataFrame, n: int, limit: int = BLOCK_WORDS) -> DataFrame:
+    """(block, automaton): one pickled automaton of at most ``limit`` words (four windows at least) per block, each built in its own task."""
+    half = max(limit // 2, 2 * n)
+
+    def build(part: pa.Table) -> pa.Table:
+        items = [(name, words.split()) for name, words in zip(part["name"].to_pylist(), part["words"].to_pylist())]
+        # pickled by value, so that executors need not have this package
+        return pa.table({"block": part["block"][:1], "automaton": pa.array([cloudpickle.dumps(Automaton(items, n))], pa.binary())})
+
+    cuts = materialise(pieces(benchmark, n, half), "decontaminate-pieces")
+    return materialise(numbered(cuts, half).groupBy("block").applyInArrow(build, "block long, automaton binary"), "decontaminate-automata")
 
 
 def runs(hit: np.ndarray) -> list[int]:
@@ -189,9 +224,11 @@ def find(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, limit: int = BL
     extra = ", n_words__ long, hits__ array<int>, items__ array<string>"
     done = docs.withColumns({"n_words__": F.lit(0).cast("long"), "hits__": F.array().cast("array<int>"),
                              "items__": F.array().cast("array<string>")})
-    for k, automaton in enumerate(blocks(benchmark, n, limit)):
-        # pickled by value, so that executors need not have this package
-        sent = spark.sparkContext.broadcast(cloudpickle.dumps(automaton))
+    built = automata(benchmark, n, limit)
+    # a benchmark without words still has the documents' words counted
+    for k in range(max(1, built.count())):
+        row = built.where(F.col("block") == k).first()
+        sent = spark.sparkContext.broadcast(bytes(row["automaton"]) if row else cloudpickle.dumps(Automaton([], n)))
         loaded: list[Automaton] = []
 
         def run(c, sent=sent, loaded=loaded):

@@ -173,6 +173,33 @@ def test_decontamination_equals_a_plain_search(spark, docs, empty, limit):
     assert cut.count() == docs.count() and not any(plain_hits(r.text, items[:1])[1] for r in cut.collect())
 
 
+def test_items_are_cut_into_bounded_blocks_without_losing_a_window(spark):
+    n, limit = 4, 60
+    long = " ".join(f"w{i % 37}{i}" for i in range(500))
+    rows = [("a", long), ("b", long), ("c", "one two three"), ("d", " ".join(["x"] * 90)), (None, "three four"), ("e", None)]
+    rows += [(f"i{i}", f"item {i} of many words {i}") for i in range(200)] + [("c", "one two three")] * 300
+    bench = spark.createDataFrame(rows, "item_id string, text string").repartition(5)
+    cuts = decontaminate.numbered(decontaminate.pieces(bench, n, limit // 2), limit // 2).collect()
+    size = Counter()
+    for r in cuts:
+        size[r.block] += len(bytes(r.words).split())
+    assert sorted(size) == list(range(len(size))) and max(size.values()) <= limit
+    windows = {}
+    for r in cuts:
+        w = bytes(r.words).decode().split()
+        windows.setdefault(r.name, set()).update(tuple(w[i:i + n]) for i in range(max(len(w) - n, 0) + 1))
+    for name, text in rows:
+        w = decontaminate.words_of(text.encode() if text else None)
+        w = [x.decode() for x in w]
+        if w:
+            assert windows[name] >= {tuple(w[i:i + n]) for i in range(max(len(w) - n, 0) + 1)}
+    assert windows["a"] == windows["b"] and all(len(w) == n for w in windows["a"]) and len(windows["c"]) == 1
+    assert decontaminate.automata(bench, n, limit).count() == len(size)
+    docs = spark.createDataFrame([(1, "z " + long + " z"), (2, "one two three"), (3, "one two")], "doc_id long, text string")
+    got = {r.doc_id: (r["hits__"], r["items__"]) for r in decontaminate.find(docs, bench.where("item_id IN ('a', 'c')"), n, limit).collect()}
+    assert got == {1: ([1, 501], ["a"]), 2: ([0, 3], ["c"]), 3: ([], [])}
+
+
 # ---- 4 Merkle fingerprints
 def test_fingerprints(spark, docs, empty):
     got = merkle.report(docs).toPandas()
