@@ -6,12 +6,15 @@ lexicon is learnt from labelled rows outside the held-out fold: a word enters wi
 log odds between the two labels if it is in at least ``LEAST`` toxic documents and the share ``SHARE`` of them,
 and its odds are over ``WEIGHT`` and ``DEVIATIONS`` standard errors above even. So does the stem (the first ``STEM``
 letters) of longer words, written with a star, which matches at the start of any longer word. Matches inside an
-exception phrase don't count.
+exception phrase don't count. Exception phrases are stated ones (a parameter) and learnt ones: two neighbouring words, one of them an
+entry, that stand in at least ``LEAST`` documents without the label and the share ``SPARED`` of them, and whose odds are over
+``DEVIATIONS`` standard errors below even.
 
 A text's features are the sum of the weights of its matches, once as it is and once over its
 length, both on a logarithmic scale; a logistic function of them, fitted on the same rows, is the score.
 
-At most ``SAMPLE`` labelled rows are read for training, and a word of the lexicon stands in ``SHARE`` of the toxic ones, so the automaton has a
+At most ``SAMPLE`` labelled rows are read for training; they are written once, in the shared folder, and every count reads them there. A
+word of the lexicon stands in ``SHARE`` of the toxic ones and a learnt phrase in ``SPARED`` of the others, so the automaton has a
 size bound. Scoring reads every whole text.
 
 Defined results: a null or empty text has no match and the score of that; a null doc_id is scored and
@@ -30,12 +33,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actimetry.llm.common import held_out, map_text
+from actimetry.llm.common import held_out, map_text, materialise
 from actimetry.llm.quality import sample
 
 SAMPLE = 20_000
 LEAST = 4
 SHARE = 0.01
+SPARED = 0.001
 WEIGHT = 3.0
 STEM = 5
 DEVIATIONS = 2.5
@@ -100,29 +104,62 @@ def features(text: str | None, a: "ahocorasick.Automaton") -> tuple[float, float
     return math.log1p(total), math.log1p(1000.0 * total / (folded.count(" ") + folded.count("\n") + 1))
 
 
-def lexicon(rows: DataFrame) -> dict[str, float]:
-    """Weights of the words that mark label 1 in ``rows`` (text as bytes, label): every word that passes the test. As each has to stand in
-    ``SHARE`` of the texts with label 1, there are no more than 1 / ``SHARE`` times the words of such a text."""
+def _counted(rows: DataFrame, found, name: str) -> tuple[DataFrame, int, int]:
+    """(counts, clean, toxic): in how many texts of ``rows`` (text as bytes, label) of either kind each string of ``found``(folded text)
+    stands, as (word, clean, toxic, odds, z), and how many there are of each kind."""
     def count(c):
         by = (Counter(), Counter())
         n = [0, 0]
         for t, y in zip(c["text"], c["label"]):
-            words = set(_WORD.findall(fold(t.decode() if t else "")))
-            by[int(y)].update(words | {w[:STEM] + "*" for w in words if len(w) > STEM})
+            by[int(y)].update(found(fold(t.decode() if t else "")))
             n[int(y)] += 1
         words = [w for w in {*by[0], *by[1]}]
         return {"word": [*words, None], "clean": [*(by[0][w] for w in words), n[0]], "toxic": [*(by[1][w] for w in words), n[1]]}
 
     counts = map_text(rows.select("text", "label"), count, "word string, clean long, toxic long")
-    counts = counts.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = materialise(counts.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), name)
     all_ = counts.where("word IS NULL").first()
-    if all_ is None or not all_["toxic"] or not all_["clean"]:
-        return {}
-    odds = F.log((F.col("toxic") + 0.5) / F.lit(all_["toxic"] + 1.0)) - F.log((F.col("clean") + 0.5) / F.lit(all_["clean"] + 1.0))
+    clean, toxic = (all_["clean"], all_["toxic"]) if all_ else (0, 0)
+    odds = F.log((F.col("toxic") + 0.5) / F.lit(toxic + 1.0)) - F.log((F.col("clean") + 0.5) / F.lit(clean + 1.0))
     error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    picked = (counts.where((F.col("word").isNotNull()) & (F.col("toxic") >= max(LEAST, SHARE * all_["toxic"])) & (F.length("word") > 1))
-              .select("word", odds.alias("w"), (odds / error).alias("z")).where((F.col("z") >= DEVIATIONS) & (F.col("w") > WEIGHT)))
-    return {r["word"]: float(r["w"]) for r in picked.collect()}
+    return counts.where("word IS NOT NULL").withColumns({"odds": odds, "z": odds / error}), clean, toxic
+
+
+def lexicon(rows: DataFrame) -> dict[str, float]:
+    """Weights of the words that mark label 1 in ``rows`` (text as bytes, label): every word that passes the test. As each has to stand in
+    ``SHARE`` of the texts with label 1, there are no more than 1 / ``SHARE`` times the words of such a text."""
+    def found(folded):
+        words = set(_WORD.findall(folded))
+        return words | {w[:STEM] + "*" for w in words if len(w) > STEM}
+
+    counts, clean, toxic = _counted(rows, found, "toxicity-words")
+    if not toxic or not clean:
+        return {}
+    picked = counts.where((F.col("toxic") >= max(LEAST, SHARE * toxic)) & (F.length("word") > 1)
+                          & (F.col("z") >= DEVIATIONS) & (F.col("odds") > WEIGHT))
+    return {r["word"]: float(r["odds"]) for r in picked.select("word", "odds").collect()}
+
+
+def neighbours(folded: str, weights: dict[str, float]) -> set[str]:
+    """Pairs of words with one space between them of which one is matched by an entry."""
+    out, before, end, was = set(), "", -1, False
+    for m in _WORD.finditer(folded):
+        w = m.group()
+        entry = w in weights or any(w[:k] + "*" in weights for k in range(1, min(len(w), STEM + 1)))
+        if (entry or was) and m.start() == end + 1 and folded[end] == " ":
+            out.add(f"{before} {w}")
+        before, end, was = w, m.end(), entry
+    return out
+
+
+def harmless(rows: DataFrame, weights: dict[str, float]) -> tuple[str, ...]:
+    """Learnt exception phrases, in order: every pair that passes the test. As each has to stand in ``SPARED`` of the texts without
+    the label, there are no more than 1 / ``SPARED`` times the pairs of such a text."""
+    if not weights:
+        return ()
+    counts, clean, _ = _counted(rows, lambda folded: neighbours(folded, weights), "toxicity-pairs")
+    picked = counts.where((F.col("clean") >= max(LEAST, SPARED * clean)) & (F.col("z") <= -DEVIATIONS))
+    return tuple(sorted(r["word"] for r in picked.select("word").collect()))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -139,32 +176,34 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50)
     return b
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = SAMPLE) -> tuple[dict[str, float], np.ndarray]:
-    """(lexicon, coefficients)."""
-    rows = sample(docs, labels, label, bound)
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = SAMPLE,
+          exceptions: tuple[str, ...] = EXCEPTIONS) -> tuple[dict[str, float], tuple[str, ...], np.ndarray]:
+    """(lexicon, exception phrases, coefficients)."""
+    rows = materialise(sample(docs, labels, label, bound), "toxicity-sample")
     words = lexicon(rows)
+    spared = tuple(dict.fromkeys([*exceptions, *harmless(rows, words)]))
 
     def featured(c):
-        a = automaton(words)
+        a = automaton(words, spared)
         got = [features(t.decode() if t else "", a) for t in c["text"]]
         return {"a": [g[0] for g in got], "b": [g[1] for g in got], "y": c["label"]}
 
     # at most ``bound`` rows of three numbers
     got = map_text(rows.select("text", "label"), featured, "a double, b double, y double").toPandas()
     if not len(got):
-        return words, np.zeros(3)
-    return words, logistic(got[["a", "b"]].to_numpy(), got["y"].to_numpy())
+        return words, spared, np.zeros(3)
+    return words, spared, logistic(got[["a", "b"]].to_numpy(), got["y"].to_numpy())
 
 
-def score(docs: DataFrame, model: tuple[dict[str, float], np.ndarray], column: str = "score") -> DataFrame:
-    words, b = model
+def score(docs: DataFrame, model: tuple[dict[str, float], tuple[str, ...], np.ndarray], column: str = "score") -> DataFrame:
+    words, spared, b = model
     cols = docs.columns
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     held: list = []
 
     def run(c):
         if not held:
-            held.append(automaton(words))
+            held.append(automaton(words, spared))
         out = []
         for t in c["text"]:
             x = features(t, held[0])
