@@ -39,12 +39,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from actimetry.llm.common import materialise
-from actimetry.llm.token_blocks import BLOCK, hashes, mixed, numbering, slices, squeeze, unsqueeze
+from actimetry.llm.token_blocks import hashes, mixed, numbering, slices, squeeze, unsqueeze
 
 LEAST = 30
 LONGEST = 4
 KEEP = 2000
 FACTOR = 2000000
+BLOCK = 1 << 19             # tokens of a block here: a scan holds several arrays of that length
 BITS = 27                   # of a bitmap at most: 16 MB
 NO_LANG = "und"
 BREAK = b"."                # stands for every separator; never part of a word
