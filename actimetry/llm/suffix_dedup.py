@@ -2,7 +2,7 @@
 
 A byte goes if it lies in a string of ``LENGTH`` bytes that also starts in a document with a smaller
 doc_id. The documents are packed into compressed blocks of about ``BLOCK`` bytes, and all that
-crosses the network is records of a block: per distinct string one record, whatever the number of copies.
+crosses the network is records of a block: per distinct string one record, or two, whatever the number of copies.
 
 1. Every text is cut into chunks where the hash of the next bytes says so. A chunk, together with the bytes
    that strings starting in it still reach, is compared by its 128-bit hash: where a
@@ -46,6 +46,8 @@ BLOCK = 500_000
 BUCKET = 16_000_000         # bytes of text for each bucket of an exchange
 NO_ID = -2 ** 63
 MIXED = 2 ** 63 - 1         # marks the key of several runs in an answer
+NO_ANSWER = 2 ** 63 - 1     # no document is smaller
+PIECE = 1 << 14             # positions hashed at a time, so that they stay in the cache
 
 REC = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8")])
 KEY_BYTES = 5               # of a key that are sent; equal keys stay equal
@@ -64,25 +66,28 @@ class Block:
         self.end = np.cumsum(self.sizes)
         self.begin = self.end - self.sizes
         self.n = len(self.raw)
-        self.owner = np.repeat(np.arange(len(sizes)), self.sizes)
-        self.start = np.arange(self.n) + LENGTH <= self.end[self.owner] if self.n else np.zeros(0, bool)
+        self.owner = np.repeat(np.arange(len(sizes), dtype=np.int32), self.sizes)
 
     def parts(self) -> np.ndarray:
         """Mixed hash of the ``K`` bytes (three words of eight) from each position, the last ones left out."""
         m = self.n - K + 1
         word = np.ndarray(shape=(self.n - 7,), dtype="<u8", buffer=self.raw, strides=(1,))
         h = np.zeros(m, dtype=np.uint64)
-        for i, odd in enumerate(_ODD):
-            h ^= h >> np.uint64(31)
-            h += word[8 * i:8 * i + m]
-            h *= np.uint64(odd)
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(29)
+        spare = np.empty(min(m, PIECE), dtype=np.uint64)
+        for at in range(0, m, PIECE):
+            g = h[at:at + PIECE]
+            t = spare[:len(g)]
+            for i, odd in enumerate(_ODD):
+                g ^= np.right_shift(g, np.uint64(31), out=t)
+                g += word[8 * i + at:8 * i + at + len(g)]
+                g *= np.uint64(odd)
+            g ^= np.right_shift(g, np.uint64(32), out=t)
+            g *= np.uint64(0xD6E8FEB86659FD93)
+            g ^= np.right_shift(g, np.uint64(29), out=t)
         return h
 
-    def chunks(self, h: np.ndarray) -> list[tuple[int, int, int]]:
-        """(first start, last start + 1, document) of every chunk that strings start in."""
+    def chunks(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First start, last start + 1 and document of every chunk that strings start in."""
         cut = np.zeros(self.n + 1, dtype=bool)
         cut[:len(h)] = (h & np.uint64(CHUNK - 1)) == 0
         cut[self.begin[self.sizes > 0]] = True
@@ -91,81 +96,118 @@ class Block:
         doc = self.owner[at[:-1]]
         last = np.minimum(at[1:], self.end[doc] - LENGTH + 1)
         ok = last > at[:-1]
-        return list(zip(at[:-1][ok].tolist(), last[ok].tolist(), doc[ok].tolist()))
+        return at[:-1][ok], last[ok], doc[ok]
 
 
-def _hash(piece) -> bytes:
-    return xxhash.xxh3_128_digest(piece)
+def _rec(a, b, doc) -> np.ndarray:
+    rec = np.empty(len(a), dtype=REC)
+    rec["a"], rec["b"], rec["doc"] = a, b, doc
+    return rec
 
 
-def _least(digests: list[bytes], docs: np.ndarray) -> np.ndarray:
-    """Records of the distinct digests with the smallest doc of each, sorted."""
-    rec = np.zeros(len(digests), dtype=REC)
-    if len(digests):
-        pair = np.frombuffer(b"".join(digests), dtype="<u8").reshape(-1, 2)
-        rec["a"], rec["b"], rec["doc"] = pair[:, 0], pair[:, 1], docs
-    return _merge(rec)
+def _order(rec: np.ndarray) -> np.ndarray:
+    """The order of the records by a, b and doc; b and doc are compared only where several records have one a."""
+    a = rec["a"].copy()
+    order = np.argsort(a)
+    a = a[order]
+    same = a[1:] == a[:-1]
+    if same.any():
+        tie = np.flatnonzero(np.concatenate((same, [False])) | np.concatenate(([False], same)))
+        of = order[tie]
+        order[tie] = of[np.lexsort((rec["doc"][of], rec["b"][of], rec["a"][of]))]
+    return order
+
+
+def _lead(rec: np.ndarray) -> np.ndarray:
+    """Which of the records, in order, are the first of their kind."""
+    lead = np.ones(len(rec), dtype=bool)
+    lead[1:] = (rec["a"][1:] != rec["a"][:-1]) | (rec["b"][1:] != rec["b"][:-1])
+    return lead
 
 
 def _merge(rec: np.ndarray) -> np.ndarray:
-    rec = rec[np.lexsort((rec["doc"], rec["b"], rec["a"]))]
-    if not len(rec):
-        return rec
-    new = np.concatenate(([True], (rec["a"][1:] != rec["a"][:-1]) | (rec["b"][1:] != rec["b"][:-1])))
-    return rec[new]
+    """The record with the smallest doc of every kind, sorted."""
+    rec = rec[_order(rec)]
+    return rec[_lead(rec)]
+
+
+def _lowest(own: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """For each of the records ``own`` the smallest doc of its kind among them and ``more``."""
+    every = np.concatenate((own, more))
+    order = _order(every)
+    s = every[order]
+    lead = _lead(s)
+    low = np.empty(len(s), dtype=np.int64)
+    low[order] = s["doc"][lead][np.cumsum(lead) - 1]
+    return low[:len(own)]
 
 
-def _lookup(rec: np.ndarray) -> dict[bytes, int]:
-    raw = rec.tobytes()
-    size = REC.itemsize
-    return {raw[i * size:i * size + 16]: d for i, d in enumerate(rec["doc"].tolist())}
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values the sorted ``known`` has."""
+    if not len(known):
+        return np.zeros(len(values), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def _chunk_digests(block: Block, chunks) -> list[bytes]:
-    view = memoryview(block.raw)
-    return [_hash(view[s:e + LENGTH - 1]) for s, e, _ in chunks]
+def _cover(s: np.ndarray, e: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` positions lie in the intervals from ``s`` to ``e``, which don't overlap."""
+    step = np.zeros(n + 1, dtype=np.int8)
+    step[s] += 1
+    step[e] -= 1
+    return np.cumsum(step[:n], dtype=np.int8).view(bool)
+
+
+def _chunk_recs(block: Block, s: np.ndarray, e: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    view, h128 = memoryview(block.raw), xxhash.xxh3_128_digest
+    pair = np.frombuffer(b"".join([h128(view[i:j]) for i, j in zip(s.tolist(), (e + LENGTH - 1).tolist())]), dtype="<u8")
+    return _rec(pair[::2], pair[1::2], block.ids[doc])
 
 
 def chunk_records(block: Block) -> np.ndarray:
-    chunks = block.chunks(block.parts()) if block.n >= LENGTH else []
-    return _least(_chunk_digests(block, chunks), block.ids[[d for _, _, d in chunks]] if chunks else np.zeros(0))
+    if block.n < LENGTH:
+        return np.zeros(0, REC)
+    return _merge(_chunk_recs(block, *block.chunks(block.parts())))
 
 
 def after_chunks(block: Block, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(repeated starts, starts still in play, key of every start). ``first`` has the chunks that a
     smaller document of another block holds."""
-    dup, play = np.zeros(block.n, bool), np.zeros(block.n, bool)
     if block.n < LENGTH:
-        return dup, play, np.zeros(0, np.uint64)
+        return np.zeros(block.n, bool), np.zeros(block.n, bool), np.zeros(0, np.uint64)
     h = block.parts()
-    chunks = block.chunks(h)
-    digests = _chunk_digests(block, chunks)
-    own = _lookup(_least(digests, block.ids[[d for _, _, d in chunks]])) if chunks else {}
-    own.update(_lookup(first))
-    ids = block.ids.tolist()
-    for (s, e, d), digest in zip(chunks, digests):
-        (dup if own[digest] < ids[d] else play)[s:e] = True
-    # least hash over the LENGTH - K + 1 parts of each start
-    key, width, parts = h, 1, LENGTH - K + 1
-    while width * 2 <= parts:
-        key = np.minimum(key[:-width], key[width:])
-        width *= 2
-    rest = parts - width
-    if rest:
-        key = np.minimum(key[:-rest], key[rest:])
-    return dup, play, key
+    s, e, d = block.chunks(h)
+    own = _chunk_recs(block, s, e, d)
+    again = _lowest(own, first) < own["doc"]
+    dup, play = _cover(s[again], e[again], block.n), _cover(s[~again], e[~again], block.n)
+    return dup, play, _least_part(h)
+
+
+def _least_part(h: np.ndarray) -> np.ndarray:
+    """The least hash over the LENGTH - K + 1 parts of each start."""
+    parts = LENGTH - K + 1
+    out = np.empty(len(h) - parts + 1, dtype=np.uint64)
+    for at in range(0, len(out), PIECE):
+        key, width = h[at:at + PIECE + parts - 1], 1
+        while width * 2 <= parts:
+            key = np.minimum(key[:-width], key[width:])
+            width *= 2
+        rest = parts - width
+        if rest:
+            key = np.minimum(key[:-rest], key[rest:])
+        out[at:at + PIECE] = key
+    return out
 
 
 def _runs(block: Block, play: np.ndarray, key: np.ndarray):
-    """Runs of starts in play that share their key and document: (first, last + 1, key, doc_id)."""
-    at = np.flatnonzero(play)
-    if not len(at):
-        return at, at, np.zeros(0, np.uint64), at
-    k, doc = key[at], block.owner[at]
-    lead = np.flatnonzero(np.concatenate(
-        ([True], (k[1:] != k[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1))))
-    end = at[np.concatenate((lead[1:], [len(at)])) - 1] + 1
-    return at[lead], end, k[lead], block.ids[doc[lead]]
+    """Runs of starts in play that share their key and document: (first, last + 1, key, doc_id). The last bytes of a
+    document are no starts, so no run goes on into the next."""
+    on = play[:len(key)]
+    alone = key[1:] != key[:-1]
+    lead, tail = on.copy(), on.copy()
+    lead[1:] &= alone | ~on[:-1]
+    tail[:-1] &= alone | ~on[1:]
+    s = np.flatnonzero(lead)
+    return s, np.flatnonzero(tail) + 1, key[s], block.ids[block.owner[s]]
 
 
 def _short(keys: np.ndarray) -> np.ndarray:
@@ -175,39 +217,38 @@ def _short(keys: np.ndarray) -> np.ndarray:
 
 def keys_in_play(block: Block, first: np.ndarray) -> np.ndarray:
     _, play, key = after_chunks(block, first)
-    return np.unique(_short(_runs(block, play, key)[2]))
+    k = np.sort(_short(_runs(block, play, key)[2]))
+    return k[np.concatenate(([True], k[1:] != k[:-1]))] if len(k) else k
 
 
 def _several(group: np.ndarray, value: np.ndarray) -> np.ndarray:
     """The groups that have more than one value, sorted."""
     if not len(group):
         return group
-    order = np.lexsort((value, group))
+    order = np.argsort(group)
     g, v = group[order], value[order]
     head = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
-    tail = np.concatenate((head[1:], [len(g)])) - 1
-    return g[head][v[head] != v[tail]]
+    return g[head][np.minimum.reduceat(v, head) != np.maximum.reduceat(v, head)]
 
 
 def shared_runs(block: Block, first: np.ndarray, shared: np.ndarray):
     """(repeated starts, runs): the runs in play whose key another block or another document of this one has."""
     dup, play, key = after_chunks(block, first)
     s, e, k, doc = _runs(block, play, key)
-    left = np.isin(_short(k), np.union1d(_several(_short(k), doc), shared))
+    short = _short(k)
+    left = _among(short, np.sort(np.concatenate((_several(short, doc), shared))))
     return dup, s[left], e[left], k[left], doc[left]
 
 
 def run_hashes(block: Block, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     view, h64 = memoryview(block.raw), xxhash.xxh3_64_intdigest
-    return np.array([h64(view[i:j + LENGTH - 1]) for i, j in zip(s.tolist(), e.tolist())], dtype=np.uint64)
+    return np.array([h64(view[i:j]) for i, j in zip(s.tolist(), (e + LENGTH - 1).tolist())], dtype=np.uint64)
 
 
 def run_records(block: Block, first: np.ndarray, shared: np.ndarray) -> np.ndarray:
     """One record per different run: its key, the hash of the bytes that its strings reach, its smallest doc_id."""
     _, s, e, k, doc = shared_runs(block, first, shared)
-    rec = np.zeros(len(s), dtype=REC)
-    rec["a"], rec["b"], rec["doc"] = k, run_hashes(block, s, e), doc
-    return _merge(rec)
+    return _merge(_rec(k, run_hashes(block, s, e), doc))
 
 
 def candidates(block: Block, first: np.ndarray, shared: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -218,20 +259,9 @@ def candidates(block: Block, first: np.ndarray, shared: np.ndarray, runs: np.nda
     if not len(s):
         return dup, s
     h = run_hashes(block, s, e)
-    own = np.zeros(len(s), dtype=REC)
-    own["a"], own["b"], own["doc"] = k, h, doc
-    least = _lookup(_merge(np.concatenate((own, runs))))
-    raw = own.tobytes()
-    low = np.array([least[raw[i:i + 16]] for i in range(0, len(raw), REC.itemsize)], dtype=np.int64)
-    again = low < doc
-    mixed = np.isin(k, np.union1d(_several(k, h), _several_keys(runs)))
-    at = []
-    for i, j, gone, left in zip(s.tolist(), e.tolist(), again.tolist(), mixed.tolist()):
-        if gone:
-            dup[i:j] = True
-        elif left:
-            at.append(np.arange(i, j))
-    return dup, np.concatenate(at) if at else np.zeros(0, np.int64)
+    again = _lowest(_rec(k, h, doc), runs) < doc
+    left = ~again & _among(k, np.sort(np.concatenate((_several(k, h), _several_keys(runs)))))
+    return dup | _cover(s[again], e[again], block.n), np.flatnonzero(_cover(s[left], e[left], block.n))
 
 
 def _several_keys(runs: np.ndarray) -> np.ndarray:
@@ -289,27 +319,34 @@ def multikey(word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     character) and greater."""
     pos, lead, rng = at.copy(), np.arange(len(at)) == 0, np.random.default_rng(0)
     start, size, depth = np.array([0]), np.array([len(at)]), np.array([0])
+    p, char = at.copy(), word[at].astype(np.uint64)          # of the open groups, one after the other
     while True:
         todo = (size > 1) & (depth < SHALLOW)
-        start, size, depth = start[todo], size[todo], depth[todo]
+        if not todo.all():
+            done, slot = np.repeat(~todo, size), np.repeat(start - np.cumsum(size) + size, size)
+            pos[(np.arange(len(p)) + slot)[done]] = p[done]
+            start, size, depth, p, char = start[todo], size[todo], depth[todo], p[~done], char[~done]
         if not len(start):
             return pos, lead
-        group, off = np.repeat(np.arange(len(start)), size), np.cumsum(size) - size
-        slot = np.arange(len(group)) + (start - off)[group]
-        p = pos[slot]
-        char = word[p + depth[group]].astype(np.uint64)
-        pivot = char[off + (rng.random(len(size)) * size).astype(np.int64)][group]
-        side = (char >= pivot).astype(np.int64) + (char > pivot)
-        count = np.bincount(3 * group + side, minlength=3 * len(start))
-        begin, to = np.cumsum(count) - count, np.empty(len(p), dtype=np.int64)
-        for k in range(3):
-            of = np.flatnonzero(side == k)
-            mine = count[k::3]
-            to[of] = np.arange(len(of)) + (begin[k::3] - np.cumsum(mine) + mine)[group[of]]
-        pos[slot[to]] = p
-        start = (np.repeat(start - off, 3) + begin)[count > 0]
-        depth = (np.repeat(depth, 3) + np.tile([0, 8, 0], len(depth)))[count > 0]
-        size = count[count > 0]
+        off = np.cumsum(size) - size
+        x, y, z = (char[off + (rng.random(len(size)) * size).astype(np.int64)] for _ in range(3))
+        pivot = np.repeat(np.maximum(np.minimum(x, y), np.minimum(np.maximum(x, y), z)), size)
+        above, least = char > pivot, char >= pivot
+        high, mid = np.cumsum(above), np.cumsum(least)       # so far, less those of the groups before
+        high0, mid0 = high[off] - above[off], mid[off] - least[off]
+        n_high, n_mid = high[off + size - 1] - high0, mid[off + size - 1] - mid0
+        to = np.where(above, high + np.repeat(off + size - n_high - high0 - 1, size), np.where(
+            least, mid - high + np.repeat(off + size - n_mid - mid0 + high0 - 1, size),
+            np.arange(len(p)) - mid + np.repeat(mid0, size)))
+        p[to], char[to] = p.copy(), char.copy()
+        count = np.stack((size - n_mid, n_mid - n_high, n_high), axis=1).ravel()
+        some = count > 0
+        start = (np.repeat(start - off, 3) + np.cumsum(count) - count)[some]
+        depth = np.repeat(depth, 3)
+        depth[1::3] += 8
+        further = np.repeat(np.tile([False, True, False], len(off)) & (depth < SHALLOW) & (count > 1), count)
+        char[further] = word[p[further] + np.repeat(depth, count)[further]]
+        depth, size = depth[some], count[some]
         lead[start] = True
 
 
@@ -332,36 +369,82 @@ def sorted_groups(raw: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pos, np.flatnonzero(lead)
 
 
-def _string_digests(block: Block, pos: np.ndarray, lead: np.ndarray) -> list[bytes]:
-    raw = block.raw
-    return [_hash(raw[p:p + LENGTH]) for p in pos[lead].tolist()]
+def string_hashes(raw: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves of the MurmurHash3 (x64, 128 bits, seed 0) of the LENGTH bytes at each position: three times two
+    words of eight bytes and two bytes more."""
+    word = np.ndarray(shape=(len(raw) - 7,), dtype="<u8", buffer=raw, strides=(1,))
+    one, two = np.uint64(0x87C37B91114253D5), np.uint64(0x4CF5AD432745937F)
+
+    def turned(x, r):
+        return (x << np.uint64(r)) | (x >> np.uint64(64 - r))
+
+    def mixed(x):
+        x ^= x >> np.uint64(33)
+        x *= np.uint64(0xFF51AFD7ED558CCD)
+        x ^= x >> np.uint64(33)
+        x *= np.uint64(0xC4CEB9FE1A85EC53)
+        x ^= x >> np.uint64(33)
+        return x
+
+    a, b = np.zeros(len(at), dtype=np.uint64), np.zeros(len(at), dtype=np.uint64)
+    for i in range(0, LENGTH - 15, 16):
+        a ^= turned(word[at + i] * one, 31) * two
+        a = (turned(a, 27) + b) * np.uint64(5) + np.uint64(0x52DCE729)
+        b ^= turned(word[at + i + 8] * two, 33) * one
+        b = (turned(b, 31) + a) * np.uint64(5) + np.uint64(0x38495AB5)
+    a ^= turned((word[at + LENGTH - 8] >> np.uint64(64 - 8 * (LENGTH % 16))) * one, 31) * two
+    a ^= np.uint64(LENGTH)
+    b ^= np.uint64(LENGTH)
+    a += b
+    b += a
+    a, b = mixed(a), mixed(b)
+    a += b
+    b += a
+    return a, b
 
 
 def string_records(block: Block, first: np.ndarray, shared: np.ndarray, runs: np.ndarray) -> np.ndarray:
-    """One record per string that is left: its hash and its smallest doc_id in the block."""
+    """One record per string that is left: its hash and its smallest doc_id in the block. A string that larger documents
+    of the block have too gets a second one, of the largest: its answer tells them that a smaller document has it."""
     pos, lead = sorted_groups(block.raw, candidates(block, first, shared, runs)[1])
     if not len(pos):
         return np.zeros(0, REC)
-    return _least(_string_digests(block, pos, lead), np.minimum.reduceat(block.ids[block.owner[pos]], lead))
+    ids = block.ids[block.owner[pos]]
+    low, high = np.minimum.reduceat(ids, lead), np.maximum.reduceat(ids, lead)
+    a, b = string_hashes(block.raw, pos[lead])
+    more = low < high
+    rec = np.concatenate((_rec(a, b, low), _rec(a[more], b[more], high[more])))
+    return rec[_order(rec)]
 
 
 def removed(block: Block, first: np.ndarray, shared: np.ndarray, runs: np.ndarray, strings: np.ndarray) -> np.ndarray:
-    """Which bytes of the block go."""
+    """Which bytes of the block go. ``strings`` has the strings that one document of the block has after a smaller one here
+    or elsewhere, with the smallest."""
     dup, at = candidates(block, first, shared, runs)
-    pos, lead = sorted_groups(block.raw, at)
-    if len(pos):
-        elsewhere = _lookup(strings)
-        ids = block.ids[block.owner[pos]]
-        least = np.minimum(np.minimum.reduceat(ids, lead), np.array(
-            [elsewhere.get(d, 2 ** 63 - 1) for d in _string_digests(block, pos, lead)], dtype=np.int64))
-        dup[pos[ids > np.repeat(least, np.diff(np.concatenate((lead, [len(pos)]))))]] = True
+    if len(at) and len(strings):
+        least = _lowest(_rec(*string_hashes(block.raw, at), NO_ANSWER), strings)
+        dup[at[least < block.ids[block.owner[at]]]] = True
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], dup.view(np.int8), [0]))))      # begin and end of every run of starts
     step = np.zeros(block.n + 1, dtype=np.int32)
-    s = np.flatnonzero(dup)
-    step[s] += 1
-    step[s + LENGTH] -= 1
+    step[edge[::2]] += 1
+    step[edge[1::2] + LENGTH - 1] -= 1
     return np.cumsum(step[:-1]) > 0
 
 
+def spans_of(block: Block, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per document: its bytes that go, and the runs they form."""
+    head = gone.copy()
+    head[1:] &= ~gone[:-1]
+    begin = block.begin[block.sizes > 0]
+    head[begin] = gone[begin]
+
+    def per_doc(flag):
+        upto = np.concatenate(([0], np.cumsum(flag)))
+        return upto[block.end] - upto[block.begin]
+
+    return per_doc(gone), per_doc(head)
+
+
 # ---- Spark ---------------------------------------------------------------------------------
 
 def pack(docs: DataFrame) -> DataFrame:
@@ -479,9 +562,9 @@ def _grouped(parts):
     recs = [np.frombuffer(p, dtype=REC) for _, p in parts]
     who = np.repeat(np.arange(len(recs)), [len(r) for r in recs])
     every = np.concatenate(recs)
-    order = np.lexsort((every["doc"], every["b"], every["a"]))
+    order = _order(every)
     s, who = every[order], who[order]
-    lead = np.concatenate(([True], (s["a"][1:] != s["a"][:-1]) | (s["b"][1:] != s["b"][:-1])))
+    lead = _lead(s)
     return s, who, lead, s["doc"][np.flatnonzero(lead)][np.cumsum(lead) - 1]
 
 
@@ -520,10 +603,10 @@ def _smaller_or_mixed(parts):
 def _in_two_blocks(parts):
     """For each block its keys that another block has too."""
     keys = [_unpack_keys(p) for _, p in parts]
-    value, count = np.unique(np.concatenate(keys), return_counts=True)
-    shared = value[count > 1]
+    every = np.sort(np.concatenate(keys))            # a block has each of its keys once
+    shared = every[1:][every[1:] == every[:-1]]
     for (block, _), k in zip(parts, keys):
-        yield block, _pack_keys(k[np.isin(k, shared, assume_unique=True)])
+        yield block, _pack_keys(k[_among(k, shared)])
 
 
 def _by_block(blocks: DataFrame) -> DataFrame:
@@ -567,10 +650,9 @@ def report(docs: DataFrame) -> DataFrame:
     def final(block, ids, b, first, shared, runs, least):
         gone = removed(b, _records(first), _keys(shared), _records(runs), _records(least))
         data = np.frombuffer(b.raw, dtype=np.uint8)
-        for i, s, e in zip(ids, b.begin.tolist(), b.end.tolist()):
-            g = gone[s:e]
-            spans = int(np.count_nonzero(np.diff(np.concatenate(([0], g.view(np.int8)))) == 1))
-            yield i, e - s, int(g.sum()), spans, hashlib.sha256(data[s:e][~g].tobytes()).hexdigest()
+        for i, s, e, n, spans in zip(ids, b.begin.tolist(), b.end.tolist(), *(x.tolist() for x in spans_of(b, gone))):
+            kept = data[s:e][~gone[s:e]] if n else data[s:e]
+            yield i, e - s, n, spans, hashlib.sha256(kept).hexdigest()
 
     def asked(sides, ask, answer, name):
         rows = _per_block(blocks, sides, ask, "bucket long, block long, part binary")

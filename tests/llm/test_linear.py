@@ -1,9 +1,11 @@
 """Work that follows the data: buckets of the suffix exchange, spans of personal data; and what the weak spans are worth."""
 
 import random
+import sys
 import time
 
 import numpy as np
+import zstandard
 
 from actimetry.llm import personal_data as P
 from actimetry.llm import suffix_dedup as S
@@ -35,6 +37,118 @@ def test_suffix_dedup_leaves_the_session_and_the_catalog_alone(spark):
     assert df.where("n_removed > 0").count() == 39
 
 
+def block_passes(blocks, monkeypatch):
+    """Every pass of the suffix dedup over blocks of (doc_id, bytes), without Spark; (doc_id, bytes kept) of all, and how often a block was sorted."""
+    sorts, plain = [], S.sorted_groups
+    monkeypatch.setattr(S, "sorted_groups", lambda raw, at: sorts.append(len(at)) or plain(raw, at))
+    parsed = [S.Block([i for i, _ in b], [len(t) for _, t in b], zstandard.ZstdCompressor().compress(b"".join(t for _, t in b))) for b in blocks]
+
+    def asked(answer, given, pack=lambda r: r.tobytes()):
+        got = {}
+        for k, part in answer([(k, pack(r)) for k, r in enumerate(given) if len(r)] or [(0, b"")]):
+            got.setdefault(k, []).append(part)
+        return got
+
+    first = asked(S._smaller_elsewhere, [S.chunk_records(b) for b in parsed])
+    one = [(b, S._records(first.get(k, []))) for k, b in enumerate(parsed)]
+    shared = asked(S._in_two_blocks, [S.keys_in_play(*x) for x in one], S._pack_keys)
+    two = [(*x, S._keys(shared.get(k, []))) for k, x in enumerate(one)]
+    runs = asked(S._smaller_or_mixed, [S.run_records(*x) for x in two])
+    three = [(*x, S._records(runs.get(k, []))) for k, x in enumerate(two)]
+    least = asked(S._smaller_elsewhere, [S.string_records(*x) for x in three])
+    out = []
+    for k, (x, b) in enumerate(zip(three, parsed)):
+        gone = S.removed(*x, S._records(least.get(k, [])))
+        n, spans = S.spans_of(b, gone)
+        for d, (i, t) in enumerate(blocks[k]):
+            flags = gone[b.begin[d]:b.end[d]].tolist()
+            assert n[d] == sum(flags) and spans[d] == sum(g and not (j and flags[j - 1]) for j, g in enumerate(flags))
+            out.append((i, bytes(c for c, g in zip(t, flags) if not g)))
+    return out, sorts
+
+
+def kept_by_brute_force(rows):
+    low, out = {}, []
+    for i, t in rows:
+        for j in range(len(t) - 49):
+            low[t[j:j + 50]] = min(low.get(t[j:j + 50], i), i)
+    for i, t in rows:
+        gone = set()
+        for j in range(len(t) - 49):
+            if low[t[j:j + 50]] < i:
+                gone.update(range(j, j + 50))
+        out.append((i, bytes(c for j, c in enumerate(t) if j not in gone)))
+    return out
+
+
+def test_a_block_is_sorted_once(monkeypatch):
+    rng = random.Random(11)
+    pool = [bytes(rng.choice(b"abcd ") for _ in range(rng.randint(60, 200))) for _ in range(9)]
+
+    def text():
+        pick = [rng.choice(pool) for _ in range(rng.randint(1, 4))]
+        return b"".join(p[rng.randint(0, 9):len(p) - rng.randint(0, 9)] + bytes([rng.randint(97, 122)]) for p in pick)
+
+    ids = rng.sample(range(-60, 60), 58) + [2 ** 63 - 1, 5, 5, -2 ** 63]      # one id twice, and both ends
+    rows = [(i, b"" if k % 11 == 0 else b"short" if k % 11 == 1 else text()) for k, i in enumerate(ids)]
+    blocks = [rows[:25], rows[25:26], [(7, b"x" * 49)], [(8, b"")], rows[26:]]
+    got, sorts = block_passes(blocks, monkeypatch)
+    assert got == kept_by_brute_force([r for b in blocks for r in b]) and sum(sorts) > 1000
+    assert len(sorts) <= len(blocks)
+
+
+def test_strings_are_hashed_without_a_call_each():
+    raw = bytes(random.Random(12).choices(b"ab", k=6000))
+    at = np.arange(0, len(raw) - 49)
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        a, b = S.string_hashes(raw, at)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 300
+    assert all((int(x), int(y)) == murmur(raw[p:p + 50]) for p, x, y in zip(at.tolist(), a, b))
+    assert len(set(zip(a.tolist(), b.tolist()))) == len({raw[p:p + 50] for p in at.tolist()})
+
+
+def murmur(s, full=2 ** 64 - 1):
+    def turned(x, r):
+        return (x << r | x >> (64 - r)) & full
+
+    def mixed(x):
+        x = (x ^ x >> 33) * 0xFF51AFD7ED558CCD & full
+        x = (x ^ x >> 33) * 0xC4CEB9FE1A85EC53 & full
+        return x ^ x >> 33
+
+    a = b = 0
+    one, two = 0x87C37B91114253D5, 0x4CF5AD432745937F
+    for i in range(0, len(s) // 16 * 16, 16):
+        a ^= turned(int.from_bytes(s[i:i + 8], "little") * one & full, 31) * two & full
+        a = ((turned(a, 27) + b) * 5 + 0x52DCE729) & full
+        b ^= turned(int.from_bytes(s[i + 8:i + 16], "little") * two & full, 33) * one & full
+        b = ((turned(b, 31) + a) * 5 + 0x38495AB5) & full
+    tail = s[len(s) // 16 * 16:]
+    b ^= turned(int.from_bytes(tail[8:], "little") * two & full, 33) * one & full
+    a ^= turned(int.from_bytes(tail[:8], "little") * one & full, 31) * two & full
+    a, b = a ^ len(s), b ^ len(s)
+    a = (a + b) & full
+    b = (b + a) & full
+    a, b = mixed(a), mixed(b)
+    a = (a + b) & full
+    return a, (b + a) & full
+
+
+def test_records_are_ordered_by_all_of_their_fields():
+    rng = np.random.default_rng(13)
+    rec = S._rec(rng.integers(0, 40, 500), rng.integers(0, 3, 500), rng.integers(-5, 5, 500))
+    assert rec[S._order(rec)].tolist() == sorted(rec.tolist())
+    low = {}
+    for a, b, d in rec.tolist():
+        low[a, b] = min(low.get((a, b), d), d)
+    assert S._lowest(rec[:100], rec[100:]).tolist() == [low[a, b] for a, b, _ in rec[:100].tolist()]
+    assert {(a, b): d for a, b, d in S._merge(rec).tolist()} == low and not len(S._merge(rec[:0]))
+
+
 def card(rng, ok, prefix):
     body = prefix + "".join(rng.choice("0123456789") for _ in range(15 - len(prefix)))
     good = next(c for c in "0123456789" if P.luhn(body + c))
